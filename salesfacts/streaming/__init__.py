@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The job this package rebuilds reads bounded tables only: it has no stream
+source, watermark, event-time window or state. Nothing here is needed to match
+it, so no streaming operator is provided.
+"""

@@ -108,6 +108,7 @@ class VariantConfig:
     output_renames: tuple[tuple[str, str], ...] = ()
     # physical knobs (never change results)
     broadcast_max_rows: int = 2_000_000
+    fuse_shared_scans: bool = True
     rate_month_horizon: date = date(2040, 12, 1)
 
     def with_(self, **kw) -> "VariantConfig":

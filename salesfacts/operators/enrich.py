@@ -7,16 +7,47 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.config import ACTION_TYPE, CRM_SOURCE_LABEL, VariantConfig
+from salesfacts.config import (ACTION_TYPE, CRM_SOURCE_LABEL, DIVISION_NAME, GLOBAL_CURRENCY,
+                               SEASON_CODE, VariantConfig)
 from salesfacts.functions.exprs import classify, norm_key
 from salesfacts.schemas import MONEY_COLUMNS, NUMERIC, OUTPUT_CONTRACT
 
 XREF_COLS = ("crm_account_id", "crm_account_classification_group_code",
              "crm_account_classification_code", "opl_source_system_code")
-# Columns that are literals for every row; they are added after DISTINCT,
-# since a constant cannot tell two rows apart.
-_CONSTANT_COLUMNS = ("crm_account_source_system_code", "action_type",
-                     "row_insert_timestamp", "row_update_timestamp")
+# Output columns that are always NULL (the job reserves them for later use).
+PLACEHOLDER_COLUMNS = (
+    "net_sales_quantity_global", "net_sales_quantity_global_unit_of_measure_code",
+    *[f"{stem}_{side}{suffix}" for stem in ("forecasted_sales_amount", "forecasted_gross_profit_amount",
+                                            "net_price_amount", "budget_price_amount")
+      for side in ("local", "global") for suffix in ("", "_currency_code")],
+    *[f"{stem}_global{suffix}" for stem in ("open_order_quantity", "return_quantity",
+                                            "shipped_quantity", "total_order_quantity")
+      for suffix in ("", "_unit_of_measure_code")],
+    "international_article_number",
+)
+
+
+def constant_columns(cfg: VariantConfig, load_ts: datetime | None) -> dict[str, Column]:
+    """Columns with one value for every output row. DISTINCT runs without
+    them (a constant cannot tell two rows apart) and they are added after it,
+    which keeps the shuffled rows narrow."""
+    stamp = F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp")
+    out = {n: F.lit(None) for n in PLACEHOLDER_COLUMNS}
+    out.update({
+        "crm_account_source_system_code": F.lit(CRM_SOURCE_LABEL),
+        "season_code": F.lit(SEASON_CODE),
+        "division_name": F.lit(DIVISION_NAME),
+        "gross_sales_amount_global_currency_code": F.lit(GLOBAL_CURRENCY),
+        "action_type": F.lit(ACTION_TYPE),
+        "row_insert_timestamp": stamp,
+        "row_update_timestamp": stamp,
+    })
+    for col, mode in (("gross_sales_amount_local_currency_code", cfg.gross_local_currency),
+                      ("net_sales_amount_local_currency_code", cfg.net_local_currency),
+                      ("net_sales_amount_global_currency_code", cfg.net_global_currency)):
+        if mode == "eur":
+            out[col] = F.lit(GLOBAL_CURRENCY)
+    return out
 
 
 def xref_keyed(xref: DataFrame, cfg: VariantConfig) -> DataFrame:
@@ -53,17 +84,11 @@ def crm_enrichment(opl: DataFrame, xref: DataFrame, cfg: VariantConfig,
         "opl_account_source_system_code": (xsrc if cfg.account_source_from_xref
                                            else F.col("opl_account_source_system_code")),
     }
+    constants = constant_columns(cfg, load_ts)
     body = [_typed(n, t, source_expr.get(n, F.col(n)), cfg)
-            for n, t in OUTPUT_CONTRACT if n not in _CONSTANT_COLUMNS]
+            for n, t in OUTPUT_CONTRACT if n not in constants]
     distinct = j.select(*body).distinct()
 
-    stamp = F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp")
-    constants = {
-        "crm_account_source_system_code": F.lit(CRM_SOURCE_LABEL),
-        "action_type": F.lit(ACTION_TYPE),
-        "row_insert_timestamp": stamp,
-        "row_update_timestamp": stamp,
-    }
     renames = dict(cfg.output_renames)
     return distinct.select(*[
         (constants[n].cast(t.simpleString()) if n in constants else F.col(n)).alias(renames.get(n, n))

@@ -74,3 +74,86 @@ def to_layout(daily: DataFrame, spec: FactSpec, cfg: VariantConfig) -> DataFrame
 
 def build_fact(lines: DataFrame, spec: FactSpec, cfg: VariantConfig) -> DataFrame:
     return to_layout(aggregate_daily(lines, spec), spec, cfg)
+
+
+def _provably_disjoint(a: FactSpec, b: FactSpec) -> bool:
+    """True when both specs require different values of the same column."""
+    return any(ca == cb and va != vb for ca, va in a.eq for cb, vb in b.eq)
+
+
+def build_facts_one_scan(lines: DataFrame, specs: list[FactSpec], cfg: VariantConfig) -> DataFrame:
+    """Several facts over the same table with one scan and one shuffle.
+
+    Each line is tagged with the fact(s) whose filter it passes; the daily
+    aggregate groups by (fact, keys), so every group still holds one fact's
+    lines and SUM keeps its NULL semantics. Specs whose filters are provably
+    disjoint get a CASE tag; otherwise a line may feed several facts, so it is
+    exploded once per matching fact. Equivalent to building each fact alone
+    and unioning, but the table is read once.
+    """
+    keys = daily_keys(specs[0])
+    assert all(daily_keys(s) == keys for s in specs), "one scan needs the same daily keys"
+    preds = [fact_predicate(s) for s in specs]
+    disjoint = all(_provably_disjoint(a, b) for i, a in enumerate(specs) for b in specs[i + 1:])
+    if disjoint:
+        tag = None
+        for i, p in enumerate(preds):
+            tag = F.when(p, F.lit(i)) if tag is None else tag.when(p, F.lit(i))
+    else:
+        tag = F.explode(F.filter(F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(preds)]),
+                                 lambda x: x.isNotNull()))
+    tagged = lines.where(reduce(lambda a, b: a | b, preds)).withColumn("_fact", tag)
+
+    # one SUM per distinct measure expression, shared by the facts that use it
+    exprs: dict[tuple, str] = {}
+    for s in specs:
+        for m in s.measures:
+            exprs.setdefault((m.source_col, m.only_types, m.type_col), f"_m{len(exprs)}")
+    daily = tagged.groupBy("_fact", *keys).agg(*[
+        measure_expr(Measure("_", src, types, tcol)).alias(name)
+        for (src, types, tcol), name in exprs.items()])
+
+    fact = F.col("_fact")
+    day = F.col(specs[0].date_col)
+    first_days = [i for i, s in enumerate(specs) if s.order_date_from_fact]
+    owned: dict[str, Column] = {}
+    for i, s in enumerate(specs):
+        for m in s.measures:
+            src = numeric(F.col(exprs[(m.source_col, m.only_types, m.type_col)]))
+            owned[m.target] = (F.when(fact == i, src) if m.target not in owned
+                               else owned[m.target].when(fact == i, src))
+    ccy = specs[0].currency_col
+    return daily.select(
+        F.lit(cfg.source_system_label).alias("source_system_code"),
+        F.substring(day, 5, 2).alias("calendar_month"),
+        F.substring(day, 1, 4).alias("calendar_year"),
+        F.col("ship_to__0country").alias("country_code"),
+        F.col("sales_grp").alias("position_level_1_code"),
+        F.col("sold_to").alias("operational_account_identifier_1"),
+        F.lit(cfg.account_source_label).alias("operational_account_identifier_1_source_system_code"),
+        F.lit(ACCOUNT_CLASSIFICATION).alias("operational_account_identifier_1_classification_code"),
+        F.lit(DIRECT_INDICATOR).alias("direct_indirect_indicator"),
+        F.when(fact.isin(*first_days), parse_ymd(day)).otherwise(date_lit(SENTINEL_DATE))
+        .alias("first_order_date"),
+        date_lit(SENTINEL_DATE).alias("invoice_date"),
+        F.col("material").alias("material_number"),
+        (F.col(ccy) if ccy else typed_null("string")).alias("local_currency_code"),
+        F.col("base_uom").alias("local_uom"),
+        *[(owned[m].otherwise(numeric_zero()) if m in owned else numeric_zero()).alias(m)
+          for m in FACT_MEASURES],
+    )
+
+
+def build_facts(tables, specs: tuple[FactSpec, ...], cfg: VariantConfig, fuse: bool = True) -> list[DataFrame]:
+    """All facts of a variant; facts sharing a source table and daily keys are
+    built from one scan when ``fuse`` is set. ``tables(name)`` returns a table."""
+    groups: dict[tuple, list[FactSpec]] = {}
+    for s in specs:
+        groups.setdefault((s.source, tuple(daily_keys(s))), []).append(s)
+    out = []
+    for (source, _), group in groups.items():
+        if fuse and len(group) > 1:
+            out.append(build_facts_one_scan(tables(source), group, cfg))
+        else:
+            out += [build_fact(tables(source), s, cfg) for s in group]
+    return out

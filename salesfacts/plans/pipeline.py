@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from salesfacts.config import VariantConfig
 from salesfacts.operators.dims import fx_rates_month_start, fx_rates_validity, material_list
 from salesfacts.operators.enrich import crm_enrichment
-from salesfacts.operators.facts import build_fact
+from salesfacts.operators.facts import build_facts
 from salesfacts.operators.rollup import monthly_sales, unified_facts
 from salesfacts.sources.catalog import SourceCatalog
 
@@ -27,7 +27,8 @@ def rates_for(catalog: SourceCatalog, cfg: VariantConfig) -> DataFrame:
 
 
 def facts_for(catalog: SourceCatalog, cfg: VariantConfig) -> list[DataFrame]:
-    return [build_fact(catalog.table(spec.source), spec, cfg) for spec in cfg.facts]
+    """The daily facts; returns and orders share one scan of the order lines."""
+    return build_facts(catalog.table, cfg.facts, cfg, fuse=cfg.fuse_shared_scans)
 
 
 def monthly(catalog: SourceCatalog, cfg: VariantConfig) -> DataFrame:

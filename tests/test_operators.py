@@ -69,3 +69,24 @@ def test_small_broadcast_cap_falls_back_to_shuffle_join(spark):
     a = P.monthly(c, NA_PBC)
     b = P.monthly(c, NA_PBC.with_(broadcast_max_rows=1))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fused_scan_equals_separate_facts(spark):
+    c = SourceCatalog.from_standins(spark, SF_SMALL)
+    for cfg in (NAF_PROD, NA_PBC):
+        fused = unified_facts(P.facts_for(c, cfg))
+        apart = unified_facts(P.facts_for(c, cfg.with_(fuse_shared_scans=False)))
+        assert fused.exceptAll(apart).count() == 0 and apart.exceptAll(fused).count() == 0
+
+
+def test_fused_scan_with_overlapping_filters_feeds_both_facts(spark):
+    from dataclasses import replace
+
+    c = SourceCatalog.from_standins(spark, SF_SMALL)
+    ret, orders = NAF_PROD.facts[0], NAF_PROD.facts[1]
+    # both facts now accept the same document type, so a line feeds both
+    overlap = NAF_PROD.with_(facts=(replace(ret, eq=(("doc_type", "Z4SD"),)), orders, *NAF_PROD.facts[2:]))
+    fused = unified_facts(P.facts_for(c, overlap))
+    apart = unified_facts(P.facts_for(c, overlap.with_(fuse_shared_scans=False)))
+    assert fused.count() == apart.count() > 0
+    assert fused.exceptAll(apart).count() == 0 and apart.exceptAll(fused).count() == 0

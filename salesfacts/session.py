@@ -20,6 +20,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Call-site capture on every Column call costs several py4j round trips
         # each; the job builds wide projections, so plan building is much faster off.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # The monthly roll-up and the final DISTINCT are wide aggregates whose
+        # generated methods exceed the JVM's 8000-byte JIT limit; let the JIT
+        # compile them instead of interpreting them (only applies when this
+        # builder starts the JVM).
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -70,15 +70,19 @@ class SourceCatalog:
         return cls(spark, {n: (lambda b=b: b(base)) for n, b in BUILDERS.items()})
 
 
-def write_standins(spark: SparkSession, root: str, out_dir: str) -> dict[str, str]:
+def write_standins(spark: SparkSession, root: str, out_dir: str, files: int | None = None) -> dict[str, str]:
     """Materialise the stand-ins as parquet once (e.g. for benchmarks), so later
-    runs scan real files with pushed filters. Returns logical name -> path."""
+    runs scan real files with pushed filters. Each table is written as
+    ``files`` files (default: the default parallelism), like a real table
+    that spans many files, so scans split across all cores.
+    Returns logical name -> path."""
     from salesfacts.sources.standins import BUILDERS, BaseTables
 
+    n = files or spark.sparkContext.defaultParallelism
     base = BaseTables(spark, root)
     paths = {}
     for name, build in BUILDERS.items():
         path = f"{out_dir}/{name}"
-        conform(build(base), name).write.mode("overwrite").parquet(path)
+        conform(build(base), name).repartition(n).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths

@@ -40,3 +40,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the bytes the job scans.
+
+    * scans split at ``partition_bytes`` (Parquet row groups permitting);
+    * the initial shuffle width covers the largest shuffle (the daily
+      aggregates are at most the scanned columns) at ``partition_bytes`` per
+      partition, at least 2 waves of the cluster's cores; AQE coalesces small
+      partitions and splits skewed ones at run time;
+    * broadcasts are decided from measured sizes (AQE), with a 64 MB cap;
+    * executors JIT the wide aggregate methods.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }

@@ -42,18 +42,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+                 shuffle_bytes: int | None = None, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Settings for a cluster run, sized from the bytes the job scans.
 
     * scans split at ``partition_bytes`` (Parquet row groups permitting);
-    * the initial shuffle width covers the largest shuffle (the daily
-      aggregates are at most the scanned columns) at ``partition_bytes`` per
-      partition, at least 2 waves of the cluster's cores; AQE coalesces small
-      partitions and splits skewed ones at run time;
+    * the initial shuffle width covers the largest shuffle, the daily
+      aggregates, at ``partition_bytes`` per partition. Only the pruned columns
+      are shuffled, after map-side partial aggregation, so ``shuffle_bytes``
+      defaults to an eighth of the input. At least 2 waves of the cluster's
+      cores, at most ``max_shuffle_partitions`` (map-status size on the
+      driver grows with maps x reducers); AQE coalesces small partitions and
+      splits skewed ones at run time;
     * broadcasts are decided from measured sizes (AQE), with a 64 MB cap;
     * executors JIT the wide aggregate methods.
     """
-    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    est = shuffle_bytes if shuffle_bytes is not None else input_bytes // 8
+    shuffle = min(max_shuffle_partitions, max(2 * total_cores, -(-est // partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

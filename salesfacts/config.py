@@ -7,7 +7,7 @@ branch on a variant *name*.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date
 
 # ---------------------------------------------------------------------------

@@ -105,3 +105,14 @@ def bucket_of(month: Column, horizon: date) -> Column:
     """The bucket a fact month falls in (its own month, or the overflow bucket)."""
     overflow = F.add_months(date_lit(horizon), 1)
     return F.when(month > date_lit(horizon), overflow).otherwise(month)
+
+
+def rate_overlaps(rates: DataFrame, horizon: date) -> DataFrame:
+    """Data-quality view for validity-range rates: the (currency, month) pairs
+    covered by more than one rate, i.e. where the range join fans out and a
+    fact row is summed once per rate (kept on purpose, as in the source).
+    Months after ``horizon`` are not enumerated."""
+    b = rate_month_buckets(rates, horizon).where(F.col("rate_month") <= date_lit(horizon))
+    return (b.groupBy("from_currency_code", "rate_month")
+             .agg(F.count(F.lit(1)).alias("n_rates"))
+             .where(F.col("n_rates") > 1))

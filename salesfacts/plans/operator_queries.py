@@ -16,7 +16,7 @@ from salesfacts.config import (EXCLUDED_BILL_CATEGORY, EXCLUDED_DOC_CATEGORIES,
 from salesfacts.functions.exprs import (classify, convert, difference, month_start, norm_key,
                                         numeric, numeric_zero, parse_ymd, season_name, to_global,
                                         typed_null)
-from salesfacts.operators.dims import (fx_rates_month_start, fx_rates_validity, material_list,
+from salesfacts.operators.dims import (fx_rates_month_start, material_list,
                                        rate_filter, top1_per_group)
 from salesfacts.operators.enrich import xref_keyed
 from salesfacts.operators.facts import aggregate_daily, build_fact, daily_keys, fact_predicate

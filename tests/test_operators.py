@@ -90,3 +90,11 @@ def test_fused_scan_with_overlapping_filters_feeds_both_facts(spark):
     apart = unified_facts(P.facts_for(c, overlap.with_(fuse_shared_scans=False)))
     assert fused.count() == apart.count() > 0
     assert fused.exceptAll(apart).count() == 0 and apart.exceptAll(fused).count() == 0
+
+
+def test_rate_overlaps_flags_the_fan_out_month(spark):
+    from salesfacts.operators.dims import fx_rates_validity, rate_overlaps
+
+    r = fx_rates_validity(golden_catalog(spark).table("exchange_rates"), NA_PBC)
+    got = {tuple(x) for x in rate_overlaps(r, date(2020, 12, 1)).where("rate_month <= date'2020-04-01'").collect()}
+    assert got == {("USD", date(2020, 3, 1), 2), ("USD", date(2020, 4, 1), 2)}

@@ -1,7 +1,6 @@
 """Plan shape of the flagship: no Python, no pairwise joins, filters at the scan,
 rank-one pushed below the shuffle, one scan of the order lines."""
 
-import os
 
 import pytest
 

@@ -66,7 +66,6 @@ _LINE_DIMS = f"""
 _LINES = ("lineitem JOIN orders ON l_orderkey = o_orderkey "
           "JOIN customer ON o_custkey = c_custkey")
 
-_RATE_LO, _RATE_HI = S.RATE_MONTHS
 
 STANDIN_CTES = {
     "order_lines": f"""SELECT
@@ -116,15 +115,14 @@ STANDIN_CTES = {
     {_ccy('n_nationkey')} AS from_currency_code,
     CASE WHEN k = 3 AND month(m) = 6 THEN 'USD' ELSE 'EUR' END AS to_currency_code,
     CASE WHEN k = 4 THEN m + 14 ELSE m END AS valid_from_date,
-    CASE WHEN k = 2 AND n_nationkey = 2 AND m = DATE '2024-12-01' THEN DATE '9999-12-31'
+    CASE WHEN k = 2 AND n_nationkey = 2 AND m = DATE '{S.OPEN_ENDED_MONTH}' THEN DATE '9999-12-31'
          WHEN k IN (1, 2) THEN last_day(m) + 31 ELSE last_day(m) END AS valid_to_date,
     CAST({_pick('(n_nationkey + month(m) + k) % 8', S.RATE_CYCLE)} AS DECIMAL(18,9)) AS exchange_rate,
     CASE WHEN k = 1 THEN 'x4s' ELSE 'xbc' END AS sap_src_sys_cd
-  FROM (SELECT n_nationkey, CAST(m AS DATE) AS m, k
-        FROM (SELECT n_nationkey,
-                     unnest(generate_series(DATE '{_RATE_LO}', DATE '{_RATE_HI}', INTERVAL 1 MONTH)) AS m
-              FROM nation),
-             (SELECT unnest([0, 1, 2, 3, 4]) AS k))
+  FROM (SELECT c_nationkey AS n_nationkey,
+               CAST(date_trunc('month', CAST(o_orderdate AS DATE) + INTERVAL {S.SHIFT_MONTHS} MONTH) AS DATE) AS m,
+               unnest([0, 1, 2, 3, 4]) AS k
+        FROM orders JOIN customer ON o_custkey = c_custkey)
   WHERE n_nationkey % 5 <> 4 AND (k = 0
         OR (k = 1 AND (n_nationkey % 7 = 3 OR n_nationkey = 1))
         OR (k = 2 AND (n_nationkey % 6 = 5 OR n_nationkey = 2) AND month(m) % 4 = 0)

@@ -27,7 +27,7 @@ BILL_TYPE_CYCLE = ("YB3D", "YG2W", "YF2D", "YRED", "YL2W", "YB4D", "YB1D", "YS1D
 RATE_CYCLE = ("0.5", "1.25", "2", "2.5", "4", "5", "8", "10")
 XREF_SOURCE_CYCLE = ("SAP-P4S-C", "SAP-PBC-C", "SAP-QBC-C", "SAP-Q4S-C", "SAP-QBC-C ")
 SHIFT_MONTHS = 288
-RATE_MONTHS = (date(2019, 1, 1), date(2026, 12, 1))
+OPEN_ENDED_MONTH = date(2024, 12, 1)
 
 
 def _pick(index: Column, values: tuple[str, ...]) -> Column:
@@ -159,18 +159,23 @@ def material_master(base: BaseTables) -> DataFrame:
 
 
 def exchange_rates(base: BaseTables) -> DataFrame:
-    """nation x months x five rate variants (generated, no join).
+    """Rate rows published per order: every order adds the rates of its
+    customer's currency for the order month, so the table grows with the data
+    and holds many exact duplicates (which DISTINCT / rank-one must collapse).
 
+    Five variants per (currency, month), generated per row (no join):
     k=0 month rate (xbc); k=1 a second system with a longer validity; k=2 an
-    overlapping xbc rate (validity-range fan-out); k=3 an exact duplicate of k=0
-    (or a non-EUR target); k=4 a rate that does not start on the 1st.
-    Nations with key mod 5 = 4 have no rate at all.
+    overlapping xbc rate (validity-range fan-out), open-ended for one month of
+    USD; k=3 a duplicate of k=0 (or a non-EUR target); k=4 a rate that does not
+    start on the 1st. Currencies with key mod 5 = 4 have no rate at all.
     """
-    n = base("nation").select("n_nationkey")
-    lo, hi = RATE_MONTHS
-    g = (n.withColumn("m", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("interval 1 month"))))
-          .withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(5)]))))
-    key, m, k = F.col("n_nationkey"), F.col("m"), F.col("k")
+    od = base("orders").select("o_custkey", "o_orderdate")
+    cu = base("customer").select("c_custkey", "c_nationkey")
+    g = (od.join(cu, od.o_custkey == cu.c_custkey)
+           .select(F.col("c_nationkey").alias("key"),
+                   F.trunc(F.add_months(F.to_date("o_orderdate"), SHIFT_MONTHS), "MM").alias("m"))
+           .withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(5)]))))
+    key, m, k = F.col("key"), F.col("m"), F.col("k")
     mon = F.month(m)
     keep = ((key % 5 != 4) & ((k == 0)
             | ((k == 1) & ((key % 7 == 3) | (key == 1)))
@@ -179,7 +184,7 @@ def exchange_rates(base: BaseTables) -> DataFrame:
             | ((k == 4) & (key % 3 == 0))))
     end = F.last_day(m)
     valid_to = (F.when(k.isin(1, 2), F.date_add(end, 31)).otherwise(end))
-    valid_to = F.when((k == 2) & (key == 2) & (m == F.lit(date(2024, 12, 1))),
+    valid_to = F.when((k == 2) & (key == 2) & (m == F.lit(OPEN_ENDED_MONTH)),
                       F.lit(date(9999, 12, 31))).otherwise(valid_to)
     return g.where(keep).select(
         currency_of_nation(key).alias("from_currency_code"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesfacts.config import VariantConfig
 from salesfacts.operators.dims import bucket_of, rate_month_buckets
 
+# columns that spread NULL-currency rows of the daily facts over reducers
+_SPREAD = ["operational_account_identifier_1", "material_number", "calendar_month"]
+
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
@@ -22,6 +25,20 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
+def null_spread_key(key: str, spread: list[str]) -> Column:
+    """The join key with NULLs replaced by a value that matches nothing.
+
+    A NULL key never matches in an equi-join, but in a shuffled outer join all
+    NULL-keyed rows hash to one reducer; order and delivery lines (no
+    currency) can be a large share of the facts. Prefixing a control character
+    to a hash of other columns spreads them over all reducers, stays
+    deterministic (retried tasks route rows the same way) and can never equal
+    a real code, so the result is unchanged.
+    """
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in spread]).cast("string"))
+    return F.coalesce(F.col(key), salt)
+
+
 def attach_rate(facts: DataFrame, rates: DataFrame, cfg: VariantConfig) -> DataFrame:
     """LEFT JOIN the rate of each fact row's currency and month start.
 
@@ -34,16 +51,19 @@ def attach_rate(facts: DataFrame, rates: DataFrame, cfg: VariantConfig) -> DataF
                          F.col("valid_from_date").alias("fx_month"),
                          F.col("exchange_rate").alias("fx_rate"))
         r = sized_broadcast(r, cfg.broadcast_max_rows)
-        cond = ((facts.local_currency_code == r.fx_ccy) & (facts.month_start == r.fx_month))
-        return facts.join(r, cond, "left").drop("fx_ccy", "fx_month")
+        f = facts.withColumn("fx_join_ccy", null_spread_key("local_currency_code", _SPREAD))
+        cond = ((f.fx_join_ccy == r.fx_ccy) & (f.month_start == r.fx_month))
+        return f.join(r, cond, "left").drop("fx_ccy", "fx_month", "fx_join_ccy")
     if cfg.rate_match == "validity":
         b = rate_month_buckets(rates, cfg.rate_month_horizon).select(
             F.col("from_currency_code").alias("fx_ccy"), F.col("rate_month").alias("fx_bucket"),
             F.col("valid_from_date").alias("fx_from"), F.col("valid_to_date").alias("fx_to"),
             F.col("exchange_rate").alias("fx_rate"))
         b = sized_broadcast(b, cfg.broadcast_max_rows)
-        f = facts.withColumn("fx_key", bucket_of(F.col("month_start"), cfg.rate_month_horizon))
-        cond = ((f.local_currency_code == b.fx_ccy) & (f.fx_key == b.fx_bucket)
+        f = (facts.withColumn("fx_key", bucket_of(F.col("month_start"), cfg.rate_month_horizon))
+                  .withColumn("fx_join_ccy", null_spread_key("local_currency_code", _SPREAD)))
+        cond = ((f.fx_join_ccy == b.fx_ccy) & (f.fx_key == b.fx_bucket)
                 & f.month_start.between(b.fx_from, b.fx_to))
-        return f.join(b, cond, "left").drop("fx_ccy", "fx_bucket", "fx_from", "fx_to", "fx_key")
+        return f.join(b, cond, "left").drop("fx_ccy", "fx_bucket", "fx_from", "fx_to", "fx_key",
+                                            "fx_join_ccy")
     raise ValueError(cfg.rate_match)

@@ -98,3 +98,14 @@ def test_rate_overlaps_flags_the_fan_out_month(spark):
     r = fx_rates_validity(golden_catalog(spark).table("exchange_rates"), NA_PBC)
     got = {tuple(x) for x in rate_overlaps(r, date(2020, 12, 1)).where("rate_month <= date'2020-04-01'").collect()}
     assert got == {("USD", date(2020, 3, 1), 2), ("USD", date(2020, 4, 1), 2)}
+
+
+def test_null_currency_rows_never_match_but_spread(spark):
+    from salesfacts.operators.joins import null_spread_key
+
+    df = spark.createDataFrame([(None, "A", "M1", "02"), (None, "B", "M2", "03"), ("EUR", "A", "M1", "02")],
+                               "local_currency_code string, operational_account_identifier_1 string, "
+                               "material_number string, calendar_month string")
+    keys = [r[0] for r in df.select(null_spread_key("local_currency_code", [
+        "operational_account_identifier_1", "material_number", "calendar_month"])).collect()]
+    assert keys[2] == "EUR" and keys[0] != keys[1] and all(k.startswith("\u0000") for k in keys[:2])

@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.config import (ACTION_TYPE, CRM_SOURCE_LABEL, DIVISION_NAME, GLOBAL_CURRENCY,
-                               SEASON_CODE, VariantConfig)
+from salesfacts.config import (ACCOUNT_CLASSIFICATION, ACTION_TYPE, CRM_SOURCE_LABEL,
+                               DIRECT_INDICATOR, DIVISION_NAME, GLOBAL_CURRENCY, SEASON_CODE,
+                               SENTINEL_DATE, VariantConfig)
 from salesfacts.functions.exprs import classify, norm_key
 from salesfacts.schemas import MONEY_COLUMNS, NUMERIC, OUTPUT_CONTRACT
 
@@ -42,6 +43,15 @@ def constant_columns(cfg: VariantConfig, load_ts: datetime | None) -> dict[str,
         "row_insert_timestamp": stamp,
         "row_update_timestamp": stamp,
     })
+    out.update({
+        "opl_account_classification_code": F.lit(ACCOUNT_CLASSIFICATION),
+        "direct_indirect_indicator": F.lit(DIRECT_INDICATOR),
+        "invoice_date": F.lit(SENTINEL_DATE),
+    })
+    if not cfg.source_system_patterns:
+        out["source_system_code"] = F.lit(cfg.source_system_label)
+    if not cfg.account_source_from_xref:
+        out["opl_account_source_system_code"] = F.lit(cfg.account_source_label)
     for col, mode in (("gross_sales_amount_local_currency_code", cfg.gross_local_currency),
                       ("net_sales_amount_local_currency_code", cfg.net_local_currency),
                       ("net_sales_amount_global_currency_code", cfg.net_global_currency)):

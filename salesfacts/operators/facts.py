@@ -49,6 +49,17 @@ def aggregate_daily(lines: DataFrame, spec: FactSpec) -> DataFrame:
                  .agg(*[measure_expr(m).alias(m.target) for m in spec.measures]))
 
 
+def fact_constants(cfg: VariantConfig) -> dict[str, Column]:
+    """Layout columns that every fact of a variant fills with the same literal."""
+    return {
+        "source_system_code": F.lit(cfg.source_system_label),
+        "operational_account_identifier_1_source_system_code": F.lit(cfg.account_source_label),
+        "operational_account_identifier_1_classification_code": F.lit(ACCOUNT_CLASSIFICATION),
+        "direct_indirect_indicator": F.lit(DIRECT_INDICATOR),
+        "invoice_date": date_lit(SENTINEL_DATE),
+    }
+
+
 def to_layout(daily: DataFrame, spec: FactSpec, cfg: VariantConfig) -> DataFrame:
     """Project a daily aggregate onto the 20-column layout shared by all facts."""
     day = F.col(spec.date_col)

@@ -11,6 +11,7 @@ from salesfacts.config import (DIVISION_NAME, GLOBAL_CURRENCY, SEASON_CODE, SENT
                                SENTINEL_YEAR, VariantConfig)
 from salesfacts.functions.exprs import (date_lit, difference, month_start, numeric, season_name,
                                         to_global, typed_null)
+from salesfacts.operators.facts import fact_constants
 from salesfacts.operators.joins import attach_rate
 from salesfacts.schemas import FACT_COLUMNS, FACT_KEYS, MATERIAL_ATTRS, NUMERIC
 
@@ -52,7 +53,11 @@ def monthly_sales(union: DataFrame, materials: DataFrame, rates: DataFrame,
     are joined to the (much smaller) monthly result, which keeps five strings
     out of the shuffled group key.
     """
-    f = union.join(materials.select("material_number"), "material_number", "left_semi")
+    # The variant's literal layout columns are left out of the group key (a
+    # constant does not split groups; Catalyst cannot see that through the
+    # UNION) and added back after the aggregate.
+    consts = fact_constants(cfg)
+    f = union.drop(*consts).join(materials.select("material_number"), "material_number", "left_semi")
     f = f.withColumn("month_start", month_start(F.col("calendar_year"), F.col("calendar_month")))
     f = attach_rate(f, rates, cfg)
 
@@ -60,8 +65,8 @@ def monthly_sales(union: DataFrame, materials: DataFrame, rates: DataFrame,
     key = currency_key(cfg)
     if key is not None:
         f = f.withColumn("_ccy_key", key)
-    group = [*FACT_KEYS, "invoice_date", *(["_ccy_key"] if key is not None else []),
-             "material_number", "local_uom"]
+    group = [*[k for k in (*FACT_KEYS, "invoice_date") if k not in consts],
+             *(["_ccy_key"] if key is not None else []), "material_number", "local_uom"]
 
     def conv(col: str) -> Column:
         return to_global(F.col(col), ccy, rate, cfg.conversion)
@@ -79,7 +84,8 @@ def monthly_sales(union: DataFrame, materials: DataFrame, rates: DataFrame,
         numeric(F.sum("return_quantity_local")).alias("return_quantity_local"),
         numeric(F.sum("shipped_quantity_local")).alias("shipped_quantity_local"),
         numeric(F.sum("total_order_quantity_local")).alias("total_order_quantity_local"),
-    ).join(materials, "material_number", "inner")
+    ).join(materials, "material_number", "inner").select(
+        "*", *[c.alias(n) for n, c in consts.items()])
 
     def co(c: str, d: str = "") -> Column:
         return F.coalesce(F.col(c), F.lit(d))

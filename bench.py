@@ -5,6 +5,7 @@ Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Steps, each timed:
   standins   derive the six ERP/CRM tables from the given TPC-H tables and
              write them as parquet once (the job's real inputs are tables)
+  warmup     one run of the first preset (JIT), reported but not in the metric
   <variant>  the full job per preset, reading those parquet tables; forced
              with a noop write so every row is produced
   flagship_on_the_fly  the registered flagship query exactly as the
@@ -51,6 +52,9 @@ def main() -> None:
         times[label] = best
 
     catalog = SourceCatalog.from_paths(spark, paths)
+    # one untimed-for-the-metric pass so JIT compilation of the wide aggregate
+    # code is not charged to whichever preset happens to run first
+    timed("warmup", lambda: run(catalog, PRESETS["naf_prod"], LOAD_TS), reps=1)
     for name, cfg in PRESETS.items():
         timed(name, lambda cfg=cfg: run(catalog, cfg, LOAD_TS))
     timed("flagship_on_the_fly", lambda: QUERIES["sales_fact_naf"](spark, sf_dir), reps=1)
@@ -64,7 +68,9 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
-        "note": "best of 2 warm runs per variant on materialised stand-ins; standins = one-off write",
+        "note": ("value = sum of the five presets, best of 2 runs each after one warmup run, on "
+                 "materialised stand-ins; standins = one-off write; flagship_on_the_fly = registered "
+                 "query with stand-ins derived in-plan"),
     }))
     spark.stop()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -24,7 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # generated methods exceed the JVM's 8000-byte JIT limit; let the JIT
         # compile them instead of interpreting them (only applies when this
         # builder starts the JVM).
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.driver.extraJavaOptions", os.environ.get("SALESFACTS_DRIVER_JAVA_OPTS", "-XX:-DontCompileHugeMethods"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -97,7 +97,11 @@ def crm_enrichment(opl: DataFrame, xref: DataFrame, cfg: VariantConfig,
     constants = constant_columns(cfg, load_ts)
     body = [_typed(n, t, source_expr.get(n, F.col(n)), cfg)
             for n, t in OUTPUT_CONTRACT if n not in constants]
-    distinct = j.select(*body).distinct()
+    # The normalised join keys are functions of output columns, so keeping
+    # them in the DISTINCT key splits no group; but when the join is a
+    # shuffle join they make its hash partitioning satisfy the DISTINCT, and
+    # the output is not shuffled a second time.
+    distinct = j.select(*body, "_k_account", "_k_class").distinct().drop("_k_account", "_k_class")
 
     renames = dict(cfg.output_renames)
     return distinct.select(*[

@@ -43,3 +43,21 @@ def test_pushed_filters_reach_billing_scan(parquet_catalog):
     pushed = next(ln for ln in lines[i:i + 6] if ln.startswith("PushedFilters:"))
     for f in ("In(bill_type", "EqualTo(distr_chan,00)", "GreaterThanOrEqual(bill_date,20200101)"):
         assert f in pushed
+
+
+def test_distinct_reuses_shuffle_join_partitioning(spark, parquet_catalog):
+    """When the xref is too big to broadcast, the final DISTINCT must not shuffle again."""
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in prev:
+            spark.conf.set(k, "-1")
+        df = run(parquet_catalog, NA_PBC.with_(broadcast_max_rows=0))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        above_xref_join = plan.split("SortMergeJoin")[0]
+        assert "Exchange" not in above_xref_join
+        assert df.count() > 0
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)

@@ -47,8 +47,8 @@ def test_pushed_filters_reach_billing_scan(parquet_catalog):
 
 def test_distinct_reuses_shuffle_join_partitioning(spark, parquet_catalog):
     """When the xref is too big to broadcast, the final DISTINCT must not shuffle again."""
-    prev = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    prev = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     try:
         for k in prev:
             spark.conf.set(k, "-1")
@@ -60,4 +60,7 @@ def test_distinct_reuses_shuffle_join_partitioning(spark, parquet_catalog):
         assert df.count() > 0
     finally:
         for k, v in prev.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -1,12 +1,13 @@
 """Run one preset end to end.
 
-    spark-submit -m salesfacts --preset naf_prod \\
+    python -m salesfacts --preset naf_prod \\
         --table material_master=s3://.../materials --table exchange_rates=... \\
         --table order_lines=... --table delivery_lines=... --table billing_lines=... \\
         --table account_xref=... --out s3://.../sales_fact [--format parquet] [--load-ts 2026-01-01T00:00:00]
 
 A ``--table`` value without ``/`` or ``:`` is read as a metastore table name.
-The session is the one the cluster provides (``getOrCreate``).
+The session is the one the cluster provides (``getOrCreate``); on a cluster,
+ship the package (``--py-files``) and submit ``salesfacts/__main__.py``.
 """
 
 from __future__ import annotations

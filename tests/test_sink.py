@@ -14,3 +14,16 @@ def test_partitioned_round_trip(spark, tmp_path):
     assert {r[0] for r in back.select("calendar_month").distinct().collect()} == {2, 3}
     write_sales_fact(df.where("calendar_month = 3"), path)      # dynamic overwrite: only March replaced
     assert spark.read.parquet(path).count() == 4
+
+
+def test_command_line_runs_a_preset(spark, tmp_path):
+    from conftest import SF_SMALL
+    from salesfacts.__main__ import main
+    from salesfacts.sources.catalog import write_standins
+
+    paths = write_standins(spark, SF_SMALL, str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    main(["--preset", "na_pbc", *[a for n, p in paths.items() for a in ("--table", f"{n}={p}")],
+          "--out", out, "--load-ts", "2026-01-01T00:00:00"])
+    back = spark.read.parquet(out)
+    assert len(back.columns) == 73 and back.count() > 0

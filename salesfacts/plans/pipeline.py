@@ -31,11 +31,29 @@ def facts_for(catalog: SourceCatalog, cfg: VariantConfig) -> list[DataFrame]:
     return build_facts(catalog.table, cfg.facts, cfg, fuse=cfg.fuse_shared_scans)
 
 
+def reuse_dimension(df: DataFrame, cfg: VariantConfig) -> DataFrame:
+    """With ``cfg.checkpoint_dims``, compute a dimension once: a reliable
+    checkpoint into the shared folder the session names in
+    ``spark.checkpoint.dir`` (never a machine-local folder). The material list
+    is referenced by every fact branch and the rate relation by its size check
+    and its join; a checkpoint also cuts their lineage, so a lost executor
+    does not recompute them."""
+    if not cfg.checkpoint_dims:
+        return df
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("checkpoint_dims needs spark.checkpoint.dir set to a shared folder")
+        sc.setCheckpointDir(shared)
+    return df.checkpoint(eager=True)
+
+
 def monthly(catalog: SourceCatalog, cfg: VariantConfig) -> DataFrame:
     """The 66-column monthly relation before CRM enrichment."""
     return monthly_sales(unified_facts(facts_for(catalog, cfg)),
-                         material_list(catalog.table("material_master"), cfg),
-                         rates_for(catalog, cfg), cfg)
+                         reuse_dimension(material_list(catalog.table("material_master"), cfg), cfg),
+                         reuse_dimension(rates_for(catalog, cfg), cfg), cfg)
 
 
 def run(catalog: SourceCatalog, cfg: VariantConfig, load_ts: datetime | None = None) -> DataFrame:

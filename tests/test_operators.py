@@ -109,3 +109,11 @@ def test_null_currency_rows_never_match_but_spread(spark):
     keys = [r[0] for r in df.select(null_spread_key("local_currency_code", [
         "operational_account_identifier_1", "material_number", "calendar_month"])).collect()]
     assert keys[2] == "EUR" and keys[0] != keys[1] and all(k.startswith("\u0000") for k in keys[:2])
+
+
+def test_checkpointed_dimensions_give_the_same_result(spark):
+    c = SourceCatalog.from_standins(spark, SF_SMALL)
+    for cfg in (NAF_PROD, NA_PBC):
+        a = P.monthly(c, cfg)
+        b = P.monthly(c, cfg.with_(checkpoint_dims=True))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -55,3 +55,22 @@ def test_classify_like_and_null(spark):
     pats = (("SAP%P4S%", "P"), ("SAP%PBC%", "B"))
     assert one(spark, classify(F.lit("SAP-PBC-C"), pats, "D")) == "B"
     assert one(spark, classify(F.lit(None).cast("string"), pats, "D")) == "D"
+
+
+def test_norm_key_matches_python_strip_on_random_strings(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from salesfacts.functions.exprs import WHITESPACE
+
+    samples = []
+
+    @settings(max_examples=300, database=None)
+    @given(st.text(alphabet=st.sampled_from(list(WHITESPACE) + list("aZ9-_ é")), max_size=12))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = [r[0] for r in df.select(norm_key("s")).collect()]
+    assert got == [s.strip(WHITESPACE) for s in samples]

@@ -25,11 +25,13 @@ from salesfacts.sources.sinks import write_sales_fact
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="salesfacts")
-    ap.add_argument("--preset", required=True, choices=sorted(PRESETS))
-    ap.add_argument("--table", action="append", default=[], metavar="NAME=PATH_OR_TABLE")
-    ap.add_argument("--format", default="parquet")
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--load-ts", type=datetime.fromisoformat, default=None)
+    ap.add_argument("--preset", required=True, choices=sorted(PRESETS), help="variant settings to run")
+    ap.add_argument("--table", action="append", default=[], metavar="NAME=PATH_OR_TABLE",
+                    help=f"bind a logical table ({', '.join(LOGICAL_TABLES)}); repeat for all six")
+    ap.add_argument("--format", default="parquet", help="format of path-bound tables")
+    ap.add_argument("--out", required=True, help="output path (partitioned by year and month)")
+    ap.add_argument("--load-ts", type=datetime.fromisoformat, default=None,
+                    help="pin the row stamps (ISO time); default: query time")
     args = ap.parse_args(argv)
 
     bindings = dict(t.split("=", 1) for t in args.table)

@@ -34,6 +34,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.secrets import BASE_RULES, find_secrets, span_text
+
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["ord"] < len(BASE_RULES))
+    counts = [F.expr(f"size(filter(spans, s -> s.ord = {i}))").cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.packing import pack
 
@@ -42,6 +51,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op6_secret_scan": op6_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}

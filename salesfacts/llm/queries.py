@@ -34,6 +34,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=20, query_every=20)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.secrets import BASE_RULES, find_secrets, span_text
 
@@ -43,6 +49,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=5, query_every=50)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.packing import pack
 
@@ -51,7 +63,9 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_hilbert_neighbours": op2_hilbert_neighbours,
     "op6_secret_scan": op6_secret_scan,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}

@@ -40,6 +40,13 @@ def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=20, query_every=20)
 
 
+def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.near_dup import near_duplicates
+
+    done = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, similarity=0.8)
+    return done.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.secrets import BASE_RULES, find_secrets, span_text
 
@@ -64,6 +71,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
+    "op5_chosen_path": op5_chosen_path,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_best_fit_packing": op8_best_fit_packing,

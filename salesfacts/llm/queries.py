@@ -40,6 +40,12 @@ def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=20, query_every=20)
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.near_dup import near_duplicates
 
@@ -71,6 +77,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
+    "op3_html_main_text": op3_html_main_text,
     "op5_chosen_path": op5_chosen_path,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_top_k": op7_exact_top_k,

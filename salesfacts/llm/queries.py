@@ -74,6 +74,21 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.toxicity import held_out, score_toxicity
+
+    scored = score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.quality import quality
+
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    done = quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), trusted)
+    return done.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
@@ -82,5 +97,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}

@@ -89,7 +89,10 @@ def context_key(h: np.ndarray, k: int) -> np.ndarray:
 
 
 def count_grams(texts: DataFrame, order: int, tokens: Callable[[str], list[str]]) -> DataFrame:
-    """(cls, k, gram, ctx, suffix, initial, c) from ``texts`` (cls int, text), counted map-side per run of rows and then by Spark."""
+    """(tag, gram, ctx, suffix, c) from ``texts`` (cls int, text), counted map-side per run of rows and then by Spark.
+
+    ``tag`` packs class, order and whether the n-gram starts its word (see ``_untag``).
+    """
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE_CHARS):
@@ -100,9 +103,13 @@ def count_grams(texts: DataFrame, order: int, tokens: Callable[[str], list[str]]
                     if words:
                         yield from _grams(cls, words, order)
 
-    schema = "cls int, k int, gram long, ctx long, suffix long, initial boolean, c long"
-    return texts.select("cls", "text").mapInArrow(run, schema).groupBy("cls", "k", "gram").agg(
-        F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.first("initial").alias("initial"), F.sum("c").alias("c"))
+    return texts.select("cls", "text").mapInArrow(run, "tag int, gram long, ctx long, suffix long, c long").groupBy("tag", "gram").agg(
+        F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.sum("c").alias("c"))
+
+
+def _untag(df: DataFrame) -> DataFrame:
+    return df.select(F.expr("tag div 64 - 1").cast("int").alias("cls"), F.expr("(tag & 63) div 2").cast("int").alias("k"),
+                     (F.col("tag") % 2 == 1).alias("initial"), *[c for c in df.columns if c != "tag"])
 
 
 def _grams(cls: int, words: Counter, order: int):
@@ -115,21 +122,22 @@ def _grams(cls: int, words: Counter, order: int):
         first = at[first]
         n = len(grams)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(n, cls, dtype=np.int32)), pa.array(np.full(n, k, dtype=np.int32)), pa.array(grams.view(np.int64)),
-            pa.array(h[k - 1][first - 1].view(np.int64)), pa.array(h[k - 1][first].view(np.int64)), pa.array(place[first] == k - 1),
-            pa.array(np.bincount(back, weights=times[at]).astype(np.int64))], names=["cls", "k", "gram", "ctx", "suffix", "initial", "c"])
+            pa.array((64 * (cls + 1) + 2 * k + (place[first] == k - 1)).astype(np.int32)), pa.array(grams.view(np.int64)),
+            pa.array(h[k - 1][first - 1].view(np.int64)), pa.array(h[k - 1][first].view(np.int64)),
+            pa.array(np.bincount(back, weights=times[at]).astype(np.int64))], names=["tag", "gram", "ctx", "suffix", "c"])
 
 
 def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> DataFrame:
     """The model's rows (key, v: one value a class) from ``count_grams``."""
-    counts = checkpointed(counts)
+    counts = _untag(checkpointed(counts))
     pooled = counts.groupBy("k", "gram").agg(F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.first("initial").alias("initial"),
                                              F.sum("c").alias("c")).withColumn("cls", F.lit(POOL)) if shared else None
     own = counts if not shared else counts.union(pooled.select(counts.columns))
     wanted = (F.col("k") > shared) if not shared else ((F.col("cls") == POOL) == (F.col("k") <= shared))
     left = own.where("k >= 2").groupBy("cls", (F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count("*").alias("n_left"))
-    adjusted = checkpointed(own.where(wanted).join(left, ["cls", "k", "gram"], "left").select(
-        "cls", "k", "gram", "ctx", F.when((F.col("k") == order) | F.col("initial"), F.col("c")).otherwise(F.coalesce("n_left", "c")).alias("c")))
+    adjusted = _untag(checkpointed(own.where(wanted).join(left, ["cls", "k", "gram"], "left").select(
+        F.expr("(cls + 1) * 64 + 2 * k").alias("tag"), "gram", "ctx",
+        F.when((F.col("k") == order) | F.col("initial"), F.col("c")).otherwise(F.coalesce("n_left", "c")).alias("c"))))
     rows = adjusted.where("c <= 4").groupBy("cls", "k", "c").count().collect()  # at most 4 a class and order
     n = {(r["cls"], r["k"], r["c"]): r["count"] for r in rows}
     discounts = []

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from salesfacts.llm.common import checkpointed
 from salesfacts.llm.kneser_ney import count_grams, score, train
 
-ORDER, SHARED = 5, 2
+ORDER, SHARED = 4, 2
 WINDOW = 16
 FIT_ROWS = 20_000
 THRESHOLD = 0.3

@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from salesfacts.llm.common import slices
+from salesfacts.llm.common import checkpointed, slices
 
 TEMPLATE_SHARE, TEMPLATE_LEAST = 0.5, 8
+SMALL_HOSTS = 20_000  # hosts with templates up to which their hashes are broadcast (a host has at most a few hundred)
+SALTS = 32  # shares of a host's pages in the join beyond that
 
 # HTML's void, inline and never-content elements, and words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -247,9 +249,15 @@ def site_templates(pages: DataFrame, url_col: str, html_col: str, share: float =
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = TEMPLATE_SHARE, least: int = TEMPLATE_LEAST) -> DataFrame:
     """``pages`` plus ``text`` (main text) and ``n_chars`` (its code points)."""
     fields = [StructField("text", StringType()), StructField("n_chars", LongType())]
-    found = site_templates(pages, url_col, html_col, share, least)
-    rows = pages.drop("text", "n_chars").withColumn("_host", host_of(F.col(url_col))).join(
-        found.withColumnRenamed("host", "_host").withColumnRenamed("templates", "_templates"), "_host", "left").drop("_host")
+    found = checkpointed(site_templates(pages, url_col, html_col, share, least)).select(
+        F.col("host").alias("_host"), F.col("templates").alias("_templates"))
+    rows = pages.drop("text", "n_chars").withColumn("_host", host_of(F.col(url_col)))
+    if found.limit(SMALL_HOSTS + 1).count() <= SMALL_HOSTS:
+        rows = rows.join(F.broadcast(found), "_host", "left").drop("_host")
+    else:  # a host may hold a third of all pages: its pages go to SALTS shares
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(url_col, html_col), F.lit(SALTS)).cast("int"))
+        found = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.join(found, ["_host", "_salt"], "left").drop("_host", "_salt")
     schema = StructType([f for f in rows.schema.fields if f.name != "_templates"] + fields)
     arrow = to_arrow_schema(schema)
 

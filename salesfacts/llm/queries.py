@@ -46,6 +46,12 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.near_dup import near_duplicates
 
@@ -93,6 +99,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
     "op3_html_main_text": op3_html_main_text,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_chosen_path": op5_chosen_path,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_top_k": op7_exact_top_k,

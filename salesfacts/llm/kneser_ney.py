@@ -27,6 +27,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -218,58 +219,61 @@ def _unpack(data: bytes) -> list[bytes]:
     return out
 
 
-def blocks(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(block, ids, payload): runs of ``texts`` (id binary, text) of about ``block_chars`` bytes, compressed. Materialised, so that a block's name stands."""
-    def run(batches):
-        ids, held, size = [], [], 0
-        for batch in batches:
-            for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                b = (t or "").encode()
-                if held and size + len(b) > block_chars:
-                    yield row(ids, held)
-                    ids, held, size = [], [], 0
-                ids.append(i)
-                held.append(b)
-                size += len(b)
-        if held:
-            yield row(ids, held)
-
-    def row(ids, held):
-        return pa.RecordBatch.from_arrays([pa.array([_pack(ids)], pa.binary()), pa.array([_pack(held)], pa.binary())], names=["ids", "payload"])
-
-    made = texts.select("id", "text").mapInArrow(run, "ids binary, payload binary")
-    return checkpointed(made.withColumn("block", F.monotonically_increasing_id()))
+def _runs(batches, block_chars: int):
+    """(name, ids, texts as bytes): runs of a task's rows of about ``block_chars`` bytes, named by their ids."""
+    ids, held, size = [], [], 0
+    for batch in batches:
+        for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            b = (t or "").encode()
+            if held and size + len(b) > block_chars:
+                yield xxhash.xxh3_64_intdigest(b"".join(ids)) - (1 << 63), ids, held
+                ids, held, size = [], [], 0
+            ids.append(i)
+            held.append(b)
+            size += len(b)
+    if held:
+        yield xxhash.xxh3_64_intdigest(b"".join(ids)) - (1 << 63), ids, held
 
 
-def _words_of(payload: bytes, tokens) -> list[str]:
+def _words_of(texts: list[bytes], tokens) -> list[str]:
     seen: set[str] = set()
-    for b in _unpack(payload):
+    for b in texts:
         seen.update(tokens(b.decode()))
     return sorted(seen)
 
 
 def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens: Callable[[str], list[str]],
           features: Callable[[np.ndarray, np.ndarray], list[float]], names: list[str]) -> DataFrame:
-    """(id, *names) for ``texts`` (id binary, text): ``features(logprobs (words, classes), symbols (words,))`` of each text."""
-    held = blocks(texts)
+    """(id, *names) for ``texts`` (id binary, text): ``features(logprobs (words, classes), symbols (words,))`` of each text.
+
+    The rows are read twice, for the blocks' keys and for their texts, and must come
+    in the same order and partitions both times, as from files. A block is named by
+    the ids in it, so if they did not, the job would fail instead of scoring wrongly.
+    """
+    rows = texts.select("id", "text")
+
+    def hold(batches):
+        for block, ids, held in _runs(batches, BLOCK_CHARS):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_pack(ids)], pa.binary()), pa.array([_pack(held)], pa.binary())],
+                                             names=["block", "ids", "payload"])
 
     def ask(batches):
         """A block's distinct keys by shard, sorted."""
-        for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                words = _words_of(payload.as_py(), tokens)
-                found = [np.empty(0, dtype=np.uint64)]
-                for at in range(0, len(words), 100_000):
-                    steps, _, _ = word_keys(words[at:at + 100_000], order)
-                    found.append(np.unique(np.concatenate([x for _, g, c in steps for x in (g, c)])))
-                keys = np.unique(np.concatenate(found))
-                shard = (keys % np.uint64(SHARDS)).astype(np.int64)
-                parts = [keys[shard == s] for s in range(SHARDS)]
-                some = [s for s in range(SHARDS) if len(parts[s])]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
-                                                  pa.array([parts[s].tobytes() for s in some], pa.binary())], names=["shard", "block", "keys"])
-
-    asked = held.select("block", "payload").mapInArrow(ask, "shard int, block long, keys binary")
+        for block, _, held in _runs(batches, BLOCK_CHARS):
+            words = _words_of(held, tokens)
+            found = [np.empty(0, dtype=np.uint64)]
+            for at in range(0, len(words), 100_000):
+                steps, _, _ = word_keys(words[at:at + 100_000], order)
+                found.append(np.unique(np.concatenate([x for _, g, c in steps for x in (g, c)])))
+            keys = np.unique(np.concatenate(found))
+            shard = (keys % np.uint64(SHARDS)).astype(np.int64)
+            parts = [keys[shard == s] for s in range(SHARDS)]
+            some = [s for s in range(SHARDS) if s == 0 or len(parts[s])]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
+                                              pa.array([parts[s].tobytes() for s in some], pa.binary())], names=["shard", "block", "keys"])
+
+    held = rows.mapInArrow(hold, "block long, ids binary, payload binary")
+    asked = rows.mapInArrow(ask, "shard int, block long, keys binary")
     known = model.select(F.expr(f"CAST(key & {SHARDS - 1} AS INT)").alias("shard"), "key", "v")
 
     def answer(key, left, right):
@@ -294,6 +298,9 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
 
     def finish(key, left, right):
         keys, vals = [np.empty(0, dtype=np.uint64)], [np.empty((0, classes), dtype=np.float32)]
+        left, right = list(left), list(right)
+        if sum(b.num_rows for b in left) and not sum(b.num_rows for b in right):
+            raise RuntimeError("a block of texts has no answers: the input's rows came in another order the second time")
         for b in right:
             for k, v in zip(b.column("keys"), b.column("vals")):
                 keys.append(np.frombuffer(k.as_py(), dtype=np.uint64))
@@ -328,7 +335,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             at += len(run)
 
     schema = "id binary, " + ", ".join(f"{n} double" for n in names)
-    return held.select("block", "ids", "payload").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(on_tables(finish, schema), schema)
+    return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(on_tables(finish, schema), schema)
 
 
 def on_tables(fn, schema: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,6 +24,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files, broadcasts and checkpoints of finished rounds.
+
+    It acts on objects that the driver's JVM has collected; an iterative job calls
+    this between rounds instead of waiting for the periodic collection.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``max_bytes`` (one long value makes a run of its own)."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed
+from salesfacts.llm.common import checkpointed, release
 from salesfacts.llm.components import components
 
 MIN_CHARS = 16
@@ -106,6 +106,7 @@ def _links(docs: DataFrame) -> DataFrame | None:
         tried = met.select("h", "rep").distinct()
         seen = checkpointed(tried if seen is None else seen.union(tried).distinct())
         active = checkpointed(left)
+        release(docs.sparkSession)
         if not active.limit(1).count():
             return links
 

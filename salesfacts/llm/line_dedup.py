@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed, release
+from salesfacts.llm.common import checkpointed, release, small
 from salesfacts.llm.components import components
 
 MIN_CHARS = 16
@@ -34,12 +34,6 @@ SIMILARITY = 0.8
 SHINGLE, WIDE = 5, 12
 BOTTOM = 4
 FEW = 6  # below this many sampled shingles a coarser sample says too little
-SMALL_ROWS = 2_000_000  # rows of a few numbers up to which a side is broadcast
-
-
-def small(df: DataFrame) -> DataFrame:
-    """``df`` (materialised, rows of a few numbers) marked for broadcast if it has at most ``SMALL_ROWS`` rows."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
 def _lines(docs: DataFrame) -> DataFrame:

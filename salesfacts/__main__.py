@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from salesfacts.config import PRESETS
 from salesfacts.plans.pipeline import run
+from salesfacts.session import cluster_conf
 from salesfacts.sources.catalog import LOGICAL_TABLES, SourceCatalog
 from salesfacts.sources.sinks import write_sales_fact
 
@@ -32,13 +33,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output path (partitioned by year and month)")
     ap.add_argument("--load-ts", type=datetime.fromisoformat, default=None,
                     help="pin the row stamps (ISO time); default: query time")
+    ap.add_argument("--input-gb", type=float, default=1024, help="GB that the job scans; sizes the shuffles")
+    ap.add_argument("--cores", type=int, default=None, help="cores of the cluster; default: those the session reports")
     args = ap.parse_args(argv)
 
     bindings = dict(t.split("=", 1) for t in args.table)
     missing = set(LOGICAL_TABLES) - set(bindings)
     if missing:
         ap.error(f"missing --table for {sorted(missing)}")
-    spark = SparkSession.builder.appName(f"salesfacts-{args.preset}").getOrCreate()
+    # settings that must be there when the JVM starts, then those that depend on the cluster
+    at_start = cluster_conf(int(args.input_gb * (1 << 30)), args.cores or 1)
+    spark = SparkSession.builder.appName(f"salesfacts-{args.preset}").config(map=at_start).getOrCreate()
+    cores = args.cores or spark.sparkContext.defaultParallelism
+    for key, value in cluster_conf(int(args.input_gb * (1 << 30)), cores).items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     factories = {
         n: (lambda v=v: spark.table(v) if ("/" not in v and ":" not in v)
             else spark.read.format(args.format).load(v))

@@ -107,7 +107,6 @@ class VariantConfig:
     round_money: bool = False
     output_renames: tuple[tuple[str, str], ...] = ()
     # physical knobs (never change results)
-    broadcast_max_rows: int = 2_000_000
     fuse_shared_scans: bool = True
     checkpoint_dims: bool = False           # compute material list and rates once (reliable checkpoint)
     rate_month_horizon: date = date(2040, 12, 1)

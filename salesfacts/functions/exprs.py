@@ -43,8 +43,9 @@ def month_start(year: Column, month: Column) -> Column:
     return F.to_date(F.concat(year, F.lit("-"), month, F.lit("-01")), "yyyy-MM-dd")
 
 
-# Whitespace stripped by the job's TRIM: the ASCII set of Java's \s.
-WHITESPACE = " \t\n\u000b\f\r"
+# The characters with the Unicode property White_Space, which the job's TRIM strips.
+WHITESPACE = "".join(chr(c) for c in (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                      0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def norm_key(c: Column | str) -> Column:
@@ -57,16 +58,16 @@ def norm_key(c: Column | str) -> Column:
 def convert(amount: Column, rate: Column, op: str) -> Column:
     """amount (x|/) rate, rounded once to 9 decimals like NUMERIC arithmetic.
 
-    Operand widths are chosen so Spark keeps the digits: amounts carry 2
-    decimals by contract, decimal(19,2) * decimal(18,9) is an exact
-    decimal(38,11); decimal(22,2) / decimal(18,9) is planned as decimal(38,9),
-    rounded half-up once.
+    Operand widths are chosen so that Spark types both results decimal(38,9),
+    rounded half-up once from the exact value: decimal(28,9) * decimal(18,9) and
+    decimal(29,9) / decimal(18,9). An amount with more integer digits (19 and 20)
+    raises under ANSI mode.
     """
     r = rate.cast("decimal(18,9)")
     if op == "multiply":
-        return (amount.cast("decimal(19,2)") * r).cast(NUMERIC_SQL)
+        return (amount.cast("decimal(28,9)") * r).cast(NUMERIC_SQL)
     if op == "divide":
-        return (amount.cast("decimal(22,2)") / r).cast(NUMERIC_SQL)
+        return (amount.cast("decimal(29,9)") / r).cast(NUMERIC_SQL)
     raise ValueError(op)
 
 
@@ -87,6 +88,13 @@ def difference(a: Column, b: Column) -> Column:
     return (a.cast("decimal(28,9)") - b.cast("decimal(28,9)")).cast(NUMERIC_SQL)
 
 
+def safe_integer(c: Column | str) -> Column:
+    """SAFE_CAST to an integer. The text is tested first, since a failing cast
+    costs an exception a row."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.when(col.rlike(r"^\s*[+-]?[0-9]+\s*$"), col.try_cast("bigint"))
+
+
 def classify(c: Column, patterns: tuple[tuple[str, str], ...], default: str) -> Column:
     """CASE WHEN c LIKE p1 THEN l1 WHEN c LIKE p2 THEN l2 ... ELSE default END."""
     out = None

@@ -85,16 +85,27 @@ def fx_rates_validity(rates: DataFrame, cfg: VariantConfig) -> DataFrame:
     return rates.where(rate_filter(cfg)).select(*RATE_COLS).distinct()
 
 
+def _overflow(horizon: date) -> tuple[Column, Column]:
+    """The last month with its own bucket, and the bucket of all later months."""
+    last = date_lit(horizon.replace(day=1))
+    return last, F.add_months(last, 1)
+
+
+def _first_month(valid_from: Column) -> Column:
+    """The first month start on or after a date."""
+    return F.when(F.dayofmonth(valid_from) == 1, valid_from).otherwise(F.add_months(F.trunc(valid_from, "MM"), 1))
+
+
 def rate_month_buckets(rates: DataFrame, horizon: date) -> DataFrame:
     """Key each validity interval by the month starts it covers, so the range
     join becomes an equi-join on (currency, month) with the BETWEEN kept as a
-    residual. Months after ``horizon`` share one overflow bucket, where the
-    residual does the exact work; the horizon only bounds the exploded size.
+    residual. Months after ``horizon``'s month share one overflow bucket, where
+    the residual does the exact work; the horizon only bounds the exploded size.
     """
-    overflow = F.add_months(date_lit(horizon), 1)
-    vf, vt = F.col("valid_from_date"), F.col("valid_to_date")
-    first = F.when(F.dayofmonth(vf) == 1, vf).otherwise(F.add_months(F.trunc(vf, "MM"), 1))
-    last = F.least(F.trunc(vt, "MM"), date_lit(horizon))
+    month, overflow = _overflow(horizon)
+    vt = F.col("valid_to_date")
+    first = _first_month(F.col("valid_from_date"))
+    last = F.least(F.trunc(vt, "MM"), month)
     months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month"))) \
               .otherwise(F.array().cast("array<date>"))
     keys = F.when(vt >= overflow, F.concat(months, F.array(overflow))).otherwise(months)
@@ -103,16 +114,27 @@ def rate_month_buckets(rates: DataFrame, horizon: date) -> DataFrame:
 
 def bucket_of(month: Column, horizon: date) -> Column:
     """The bucket a fact month falls in (its own month, or the overflow bucket)."""
-    overflow = F.add_months(date_lit(horizon), 1)
-    return F.when(month > date_lit(horizon), overflow).otherwise(month)
-
-
-def rate_overlaps(rates: DataFrame, horizon: date) -> DataFrame:
-    """Data-quality view for validity-range rates: the (currency, month) pairs
-    covered by more than one rate, i.e. where the range join fans out and a
-    fact row is summed once per rate (kept on purpose, as in the source).
-    Months after ``horizon`` are not enumerated."""
-    b = rate_month_buckets(rates, horizon).where(F.col("rate_month") <= date_lit(horizon))
-    return (b.groupBy("from_currency_code", "rate_month")
-             .agg(F.count(F.lit(1)).alias("n_rates"))
-             .where(F.col("n_rates") > 1))
+    last, overflow = _overflow(horizon)
+    return F.when(month > last, overflow).otherwise(month)
+
+
+def rate_overlaps(rates: DataFrame) -> DataFrame:
+    """Data-quality view for validity-range rates: the runs of months of a
+    currency that more than one rate covers, i.e. where the range join fans out
+    and a fact row is summed once per rate (kept on purpose, as in the source).
+
+    One row per run with the same number of rates (first_month, last_month,
+    n_rates): a running sum over the months where a rate starts or has ended, so
+    an open-ended rate costs two rows, not one for every month to come.
+    """
+    r = rates.select("from_currency_code", _first_month(F.col("valid_from_date")).alias("first"),
+                     F.trunc("valid_to_date", "MM").alias("last")).where("first <= last")
+    steps = r.select("from_currency_code", F.explode(F.array(
+        F.struct(F.col("first").alias("month"), F.lit(1).alias("step")),
+        F.struct(F.add_months("last", 1).alias("month"), F.lit(-1).alias("step")))).alias("s"))
+    net = steps.groupBy("from_currency_code", "s.month").agg(F.sum("s.step").alias("step")).where("step <> 0")
+    by_month = Window.partitionBy("from_currency_code").orderBy("month")
+    return (net.select("from_currency_code", F.col("month").alias("first_month"),
+                       F.add_months(F.lead("month").over(by_month), -1).alias("last_month"),
+                       F.sum("step").over(by_month).alias("n_rates"))
+               .where(F.col("n_rates") > 1))

@@ -82,7 +82,8 @@ def crm_enrichment(opl: DataFrame, xref: DataFrame, cfg: VariantConfig,
     """OPL x xref on trimmed (account, classification); one-to-many, then DISTINCT."""
     o = opl.withColumn("_k_account", norm_key("opl_account_id")) \
            .withColumn("_k_class", norm_key("opl_account_classification_code"))
-    j = o.join(xref_keyed(xref, cfg), ["_k_account", "_k_class"], "inner")
+    # Rows of the xref equal in keys and used columns count once: the DISTINCT would merge what they give.
+    j = o.join(xref_keyed(xref, cfg).distinct(), ["_k_account", "_k_class"], "inner")
 
     xsrc = F.col("x_opl_source_system_code")
     source_expr = {
@@ -97,11 +98,9 @@ def crm_enrichment(opl: DataFrame, xref: DataFrame, cfg: VariantConfig,
     constants = constant_columns(cfg, load_ts)
     body = [_typed(n, t, source_expr.get(n, F.col(n)), cfg)
             for n, t in OUTPUT_CONTRACT if n not in constants]
-    # The normalised join keys are functions of output columns, so keeping
-    # them in the DISTINCT key splits no group; but when the join is a
-    # shuffle join they make its hash partitioning satisfy the DISTINCT, and
-    # the output is not shuffled a second time.
-    distinct = j.select(*body, "_k_account", "_k_class").distinct().drop("_k_account", "_k_class")
+    # The join keys stay out of the DISTINCT: its own exchange on the output
+    # columns spreads a hot account, and lets AQE split the join before it.
+    distinct = j.select(*body).distinct()
 
     renames = dict(cfg.output_renames)
     return distinct.select(*[

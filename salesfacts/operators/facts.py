@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from salesfacts.config import (ACCOUNT_CLASSIFICATION, DIRECT_INDICATOR, SENTINEL_DATE, FactSpec,
                                Measure, VariantConfig)
 from salesfacts.functions.exprs import date_lit, numeric, numeric_zero, parse_ymd, typed_null
-from salesfacts.schemas import FACT_MEASURES
+from salesfacts.schemas import FACT_COLUMNS, FACT_MEASURES
 
 DIM_COLS = ("ship_to__0country", "sales_grp", "sold_to", "material")
 
@@ -60,27 +60,29 @@ def fact_constants(cfg: VariantConfig) -> dict[str, Column]:
     }
 
 
-def to_layout(daily: DataFrame, spec: FactSpec, cfg: VariantConfig) -> DataFrame:
+def _layout(daily: DataFrame, spec: FactSpec, cfg: VariantConfig, first_order_date: Column,
+            measures: dict[str, Column]) -> DataFrame:
     """Project a daily aggregate onto the 20-column layout shared by all facts."""
     day = F.col(spec.date_col)
-    owned = {m.target for m in spec.measures}
-    return daily.select(
-        F.lit(cfg.source_system_label).alias("source_system_code"),
-        F.substring(day, 5, 2).alias("calendar_month"),
-        F.substring(day, 1, 4).alias("calendar_year"),
-        F.col("ship_to__0country").alias("country_code"),
-        F.col("sales_grp").alias("position_level_1_code"),
-        F.col("sold_to").alias("operational_account_identifier_1"),
-        F.lit(cfg.account_source_label).alias("operational_account_identifier_1_source_system_code"),
-        F.lit(ACCOUNT_CLASSIFICATION).alias("operational_account_identifier_1_classification_code"),
-        F.lit(DIRECT_INDICATOR).alias("direct_indirect_indicator"),
-        (parse_ymd(day) if spec.order_date_from_fact else date_lit(SENTINEL_DATE)).alias("first_order_date"),
-        date_lit(SENTINEL_DATE).alias("invoice_date"),
-        F.col("material").alias("material_number"),
-        (F.col(spec.currency_col) if spec.currency_col else typed_null("string")).alias("local_currency_code"),
-        F.col("base_uom").alias("local_uom"),
-        *[(numeric(m) if m in owned else numeric_zero()).alias(m) for m in FACT_MEASURES],
-    )
+    cols = {
+        **fact_constants(cfg),
+        "calendar_month": F.substring(day, 5, 2),
+        "calendar_year": F.substring(day, 1, 4),
+        "country_code": F.col("ship_to__0country"),
+        "position_level_1_code": F.col("sales_grp"),
+        "operational_account_identifier_1": F.col("sold_to"),
+        "first_order_date": first_order_date,
+        "material_number": F.col("material"),
+        "local_currency_code": F.col(spec.currency_col) if spec.currency_col else typed_null("string"),
+        "local_uom": F.col("base_uom"),
+        **{m: measures.get(m, numeric_zero()) for m in FACT_MEASURES},
+    }
+    return daily.select(*[cols[c].alias(c) for c in FACT_COLUMNS])
+
+
+def to_layout(daily: DataFrame, spec: FactSpec, cfg: VariantConfig) -> DataFrame:
+    first = parse_ymd(F.col(spec.date_col)) if spec.order_date_from_fact else date_lit(SENTINEL_DATE)
+    return _layout(daily, spec, cfg, first, {m.target: numeric(m.target) for m in spec.measures})
 
 
 def build_fact(lines: DataFrame, spec: FactSpec, cfg: VariantConfig) -> DataFrame:
@@ -133,26 +135,8 @@ def build_facts_one_scan(lines: DataFrame, specs: list[FactSpec], cfg: VariantCo
             src = numeric(F.col(exprs[(m.source_col, m.only_types, m.type_col)]))
             owned[m.target] = (F.when(fact == i, src) if m.target not in owned
                                else owned[m.target].when(fact == i, src))
-    ccy = specs[0].currency_col
-    return daily.select(
-        F.lit(cfg.source_system_label).alias("source_system_code"),
-        F.substring(day, 5, 2).alias("calendar_month"),
-        F.substring(day, 1, 4).alias("calendar_year"),
-        F.col("ship_to__0country").alias("country_code"),
-        F.col("sales_grp").alias("position_level_1_code"),
-        F.col("sold_to").alias("operational_account_identifier_1"),
-        F.lit(cfg.account_source_label).alias("operational_account_identifier_1_source_system_code"),
-        F.lit(ACCOUNT_CLASSIFICATION).alias("operational_account_identifier_1_classification_code"),
-        F.lit(DIRECT_INDICATOR).alias("direct_indirect_indicator"),
-        F.when(fact.isin(*first_days), parse_ymd(day)).otherwise(date_lit(SENTINEL_DATE))
-        .alias("first_order_date"),
-        date_lit(SENTINEL_DATE).alias("invoice_date"),
-        F.col("material").alias("material_number"),
-        (F.col(ccy) if ccy else typed_null("string")).alias("local_currency_code"),
-        F.col("base_uom").alias("local_uom"),
-        *[(owned[m].otherwise(numeric_zero()) if m in owned else numeric_zero()).alias(m)
-          for m in FACT_MEASURES],
-    )
+    first = F.when(fact.isin(*first_days), parse_ymd(day)).otherwise(date_lit(SENTINEL_DATE))
+    return _layout(daily, specs[0], cfg, first, {m: c.otherwise(numeric_zero()) for m, c in owned.items()})
 
 
 def build_facts(tables, specs: tuple[FactSpec, ...], cfg: VariantConfig, fuse: bool = True) -> list[DataFrame]:

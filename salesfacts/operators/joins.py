@@ -1,4 +1,5 @@
-"""Join helpers: size-checked broadcast and the two ways to attach a rate."""
+"""Join helpers: the two ways to attach a rate. Which side is broadcast is left
+to the planner and AQE, which decide from bytes."""
 
 from __future__ import annotations
 
@@ -12,19 +13,6 @@ from salesfacts.operators.dims import bucket_of, rate_month_buckets
 _SPREAD = ["operational_account_identifier_1", "material_number", "calendar_month"]
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (the limit stops the scan
-    early), so it stays cheap when the side is large. Above the bound the side
-    is returned unhinted and Spark plans a shuffle join (AQE may still convert
-    it from measured sizes).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def null_spread_key(key: str, spread: list[str]) -> Column:
     """The join key with NULLs replaced by a value that matches nothing.
 
@@ -50,7 +38,6 @@ def attach_rate(facts: DataFrame, rates: DataFrame, cfg: VariantConfig) -> DataF
         r = rates.select(F.col("from_currency_code").alias("fx_ccy"),
                          F.col("valid_from_date").alias("fx_month"),
                          F.col("exchange_rate").alias("fx_rate"))
-        r = sized_broadcast(r, cfg.broadcast_max_rows)
         f = facts.withColumn("fx_join_ccy", null_spread_key("local_currency_code", _SPREAD))
         cond = ((f.fx_join_ccy == r.fx_ccy) & (f.month_start == r.fx_month))
         return f.join(r, cond, "left").drop("fx_ccy", "fx_month", "fx_join_ccy")
@@ -59,7 +46,6 @@ def attach_rate(facts: DataFrame, rates: DataFrame, cfg: VariantConfig) -> DataF
             F.col("from_currency_code").alias("fx_ccy"), F.col("rate_month").alias("fx_bucket"),
             F.col("valid_from_date").alias("fx_from"), F.col("valid_to_date").alias("fx_to"),
             F.col("exchange_rate").alias("fx_rate"))
-        b = sized_broadcast(b, cfg.broadcast_max_rows)
         f = (facts.withColumn("fx_key", bucket_of(F.col("month_start"), cfg.rate_month_horizon))
                   .withColumn("fx_join_ccy", null_spread_key("local_currency_code", _SPREAD)))
         cond = ((f.fx_join_ccy == b.fx_ccy) & (f.fx_key == b.fx_bucket)

@@ -52,12 +52,19 @@ def monthly_sales(union: DataFrame, materials: DataFrame, rates: DataFrame,
     therefore filtered by a semi-join before the aggregate and the attributes
     are joined to the (much smaller) monthly result, which keeps five strings
     out of the shuffled group key.
+
+    The semi-join's key is an expression of ``material_number``, so that its
+    partitioning does not also serve the roll-up: the roll-up gets its own
+    exchange on all its keys after a partial aggregation, and a best-seller's
+    lines do not meet in the one task of its material.
     """
     # The variant's literal layout columns are left out of the group key (a
     # constant does not split groups; Catalyst cannot see that through the
     # UNION) and added back after the aggregate.
     consts = fact_constants(cfg)
-    f = union.drop(*consts).join(materials.select("material_number"), "material_number", "left_semi")
+    in_scope = materials.select(F.concat("material_number", F.lit("")).alias("_scope"))
+    f = union.drop(*consts)
+    f = f.join(in_scope, F.concat(f["material_number"], F.lit("")) == in_scope["_scope"], "left_semi")
     f = f.withColumn("month_start", month_start(F.col("calendar_year"), F.col("calendar_month")))
     f = attach_rate(f, rates, cfg)
 

@@ -10,14 +10,14 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from salesfacts.config import (EXCLUDED_BILL_CATEGORY, EXCLUDED_DOC_CATEGORIES, GLOBAL_CURRENCY,
+from salesfacts.config import (ACCOUNT_CLASSIFICATION, DIRECT_INDICATOR, EXCLUDED_BILL_CATEGORY, EXCLUDED_DOC_CATEGORIES, GLOBAL_CURRENCY,
                                GOODS_ISSUE_SENTINEL, GROSS_BILL_TYPES, NA_P4S, NA_PBC, NA_TEST,
-                               NAF_NONPROD, NAF_PROD, SENTINEL_DATE)
+                               NAF_NONPROD, NAF_PROD, SEASON_CODE, SENTINEL_DATE)
 from salesfacts.functions.exprs import (classify, convert, difference, month_start, norm_key,
-                                        numeric, numeric_zero, parse_ymd, season_name, to_global,
+                                        numeric, numeric_zero, parse_ymd, safe_integer, season_name, to_global,
                                         typed_null)
-from salesfacts.operators.dims import (fx_rates_month_start, material_list,
-                                       rate_filter, top1_per_group)
+from salesfacts.operators.dims import (fx_rates_month_start, material_list, rate_filter,
+                                       rate_overlaps, top1_per_group)
 from salesfacts.operators.enrich import xref_keyed
 from salesfacts.operators.facts import aggregate_daily, build_fact, daily_keys, fact_predicate
 from salesfacts.operators.joins import attach_rate
@@ -43,6 +43,12 @@ MM_FLAT = ("material_number", "source", "attributes.business_group", "attributes
            "general_data.product_group", "general_data.division", "updated.time", "deleted.time")
 
 
+def _like_sql(cfg) -> str:
+    """The CASE of a preset's LIKE patterns on the xref's source system."""
+    return ("CASE " + " ".join(f"WHEN opl_source_system_code LIKE {q(p)} THEN {q(label)}" for p, label in cfg.source_system_patterns)
+            + f" ELSE {q(cfg.source_system_default)} END AS source_system_code")
+
+
 def _mm_flat_name(path: str) -> str:
     return path.replace(".", "_")
 
@@ -111,14 +117,15 @@ register("project_struct_field", W(
         "material_number", *[F.col(p).alias(a) for p, a in _STRUCT_FIELDS]))
 
 register("project_constant", W(
-    "SELECT material, 'DataOne' AS source_system_code, 'SAP' AS account_source_system_code, "
-    "'DISTRIBUTOR' AS classification_code, 'D' AS direct_indirect_indicator, 'MY' AS season_code, "
-    "'EUR' AS global_currency_code FROM delivery_lines"))(
+    f"SELECT material, {q(NAF_PROD.source_system_label)} AS source_system_code, "
+    f"{q(NAF_PROD.account_source_label)} AS account_source_system_code, "
+    f"{q(ACCOUNT_CLASSIFICATION)} AS classification_code, {q(DIRECT_INDICATOR)} AS direct_indirect_indicator, "
+    f"{q(SEASON_CODE)} AS season_code, {q(GLOBAL_CURRENCY)} AS global_currency_code FROM delivery_lines"))(
     lambda s, sf: T(s, sf, "delivery_lines").select(
-        "material", F.lit("DataOne").alias("source_system_code"),
-        F.lit("SAP").alias("account_source_system_code"),
-        F.lit("DISTRIBUTOR").alias("classification_code"),
-        F.lit("D").alias("direct_indirect_indicator"), F.lit("MY").alias("season_code"),
+        "material", F.lit(NAF_PROD.source_system_label).alias("source_system_code"),
+        F.lit(NAF_PROD.account_source_label).alias("account_source_system_code"),
+        F.lit(ACCOUNT_CLASSIFICATION).alias("classification_code"),
+        F.lit(DIRECT_INDICATOR).alias("direct_indirect_indicator"), F.lit(SEASON_CODE).alias("season_code"),
         F.lit(GLOBAL_CURRENCY).alias("global_currency_code")))
 
 register("project_zero_measure", W(
@@ -219,14 +226,8 @@ def q_filter_rank_eq_one(spark, sf):
     return material_list(T(spark, sf, "material_master"), NA_P4S)
 
 
-_filter_query("predicate_between", "exchange_rates",
-              lambda: F.add_months("valid_from_date", 1).between(F.col("valid_from_date"), F.col("valid_to_date")),
-              "CAST(valid_from_date + INTERVAL 1 MONTH AS DATE) BETWEEN valid_from_date AND valid_to_date", _RC)
-
 register("predicate_like", W(
-    "SELECT opl_source_system_code, CASE WHEN opl_source_system_code LIKE 'SAP%P4S%' THEN 'DataOne-P4S' "
-    "WHEN opl_source_system_code LIKE 'SAP%PBC%' THEN 'DataOne-PBC' ELSE 'DataOne' END AS source_system_code "
-    "FROM account_xref"))(
+    f"SELECT opl_source_system_code, {_like_sql(NAF_PROD)} FROM account_xref"))(
     lambda s, sf: T(s, sf, "account_xref").select(
         "opl_source_system_code",
         classify(F.col("opl_source_system_code"), NAF_PROD.source_system_patterns,
@@ -277,11 +278,46 @@ register("join_left_equi_computed_date", _rate_join_sql(_MONTH_RATES, 3))(
     lambda s, sf: _rate_join(s, sf, _MONTH_RATES, 3))
 register("join_left_range_validity", _rate_join_sql(NA_PBC, 3))(
     lambda s, sf: _rate_join(s, sf, NA_PBC, 3))
-_SMALL_HORIZON = NA_PBC.with_(rate_month_horizon=date(2021, 6, 1))
+_SMALL_HORIZON = NA_PBC.with_(rate_month_horizon=date(2021, 6, 15))
 register("join_left_range_overflow_bucket", _rate_join_sql(_SMALL_HORIZON, 3))(
     lambda s, sf: _rate_join(s, sf, _SMALL_HORIZON, 3))
 
 
+_MONTH_OF_FACT = "CAST(strptime(g.calendar_year || '-' || g.calendar_month || '-01', '%Y-%m-%d') AS DATE)"
+_BILLING_P4S = NA_P4S.facts[3]
+
+
+@register("predicate_between", W(
+    f"SELECT g.calendar_year, g.calendar_month, g.material_number, g.local_currency_code, "
+    f"r.exchange_rate AS fx_rate FROM fact g JOIN ccr r ON r.from_currency_code = g.local_currency_code "
+    f"AND {_MONTH_OF_FACT} BETWEEN r.valid_from_date AND r.valid_to_date",
+    {"ccr": O.rates_sql(NA_P4S), "fact": O.fact_sql(_BILLING_P4S, NA_P4S)}))
+def q_predicate_between(spark, sf):
+    """The rate join's BETWEEN: the fact months that a rate's validity covers."""
+    c = catalog(spark, sf)
+    f = build_fact(c.table(_BILLING_P4S.source), _BILLING_P4S, NA_P4S).withColumn(
+        "month_start", month_start(F.col("calendar_year"), F.col("calendar_month")))
+    return attach_rate(f, P.rates_for(c, NA_P4S), NA_P4S).where("fx_rate IS NOT NULL").select(
+        "calendar_year", "calendar_month", "material_number", "local_currency_code", "fx_rate")
+
+
+@register("rate_overlaps", W(
+    """SELECT from_currency_code, first_month, last_month, n_rates FROM (
+  SELECT b.from_currency_code, b.m AS first_month, CAST(b.next_m - INTERVAL 1 MONTH AS DATE) AS last_month,
+         (SELECT count(*) FROM ccr r WHERE r.from_currency_code = b.from_currency_code
+            AND b.m BETWEEN r.valid_from_date AND r.valid_to_date) AS n_rates
+  FROM (SELECT from_currency_code, m, lead(m) OVER (PARTITION BY from_currency_code ORDER BY m) AS next_m
+        FROM (SELECT from_currency_code, m, sum(s) AS s FROM (
+                SELECT from_currency_code, CAST(date_trunc('month', valid_from_date) AS DATE) AS m, 1 AS s FROM ccr
+                UNION ALL
+                SELECT from_currency_code, CASE WHEN valid_to_date >= DATE '9999-12-01' THEN DATE '10000-01-01'
+                  ELSE CAST(date_trunc('month', valid_to_date) + INTERVAL 1 MONTH AS DATE) END, -1 FROM ccr)
+              GROUP BY from_currency_code, m) WHERE s <> 0) b)
+WHERE n_rates > 1""", {"ccr": O.rates_sql(NA_PBC)}))
+def q_rate_overlaps(spark, sf):
+    return rate_overlaps(P.rates_for(catalog(spark, sf), NA_PBC))
+
+
 def _xref_join_sql(cfg):
     on = (f"{trimws('o.opl_account_id')} = {trimws('x.opl_account_id')} AND "
           f"{trimws('o.opl_account_classification_code')} = {trimws('x.opl_account_classification_code')}")
@@ -528,8 +564,7 @@ _fn("fn_classify_by_pattern", "account_xref",
     lambda: ["opl_source_system_code",
              classify(F.col("opl_source_system_code"), NAF_NONPROD.source_system_patterns,
                       NAF_NONPROD.source_system_default).alias("source_system_code")],
-    "opl_source_system_code, CASE WHEN opl_source_system_code LIKE 'SAP%Q4S%' THEN 'DataOne-Q4S' "
-    "WHEN opl_source_system_code LIKE 'SAP%QBC%' THEN 'DataOne-QBC' ELSE 'DataOne' END AS source_system_code")
+    f"opl_source_system_code, {_like_sql(NAF_NONPROD)}")
 _fn("fn_cast_numeric", "billing_lines",
     lambda: ["bill_date", numeric("subtotal_1").alias("gross_numeric"),
              numeric(F.lit("0.00")).alias("zero_numeric")],
@@ -543,25 +578,22 @@ _fn("fn_cast_string", "exchange_rates",
     lambda: ["from_currency_code", F.col("valid_to_date").cast("string").alias("valid_to_text")],
     "from_currency_code, CAST(valid_to_date AS VARCHAR) AS valid_to_text")
 _fn("fn_safe_cast", "order_lines",
-    lambda: ["sold_to", F.col("sold_to").try_cast("bigint").alias("sold_to_number"),
-             F.col("sales_grp").try_cast("bigint").alias("sales_group_number"),
+    lambda: ["sold_to", safe_integer("sold_to").alias("sold_to_number"),
+             safe_integer("sales_grp").alias("sales_group_number"),
              F.lit(None).try_cast("string").alias("local_currency_code")],
     "sold_to, TRY_CAST(sold_to AS BIGINT) AS sold_to_number, "
     "TRY_CAST(sales_grp AS BIGINT) AS sales_group_number, TRY_CAST(NULL AS VARCHAR) AS local_currency_code")
 _fn("fn_round_money", "billing_lines",
-    lambda: ["bill_date", F.round(numeric(F.col("subtotal_1") * F.lit(0.125).cast("decimal(3,3)")), 2)
-             .cast("decimal(38,9)").alias("rounded_amount")],
-    f"bill_date, CAST(round(CAST(subtotal_1 * 0.125 AS {DEC}), 2) AS {DEC}) AS rounded_amount")
+    lambda: ["bill_date", F.round(numeric("subtotal_1"), 2).cast("decimal(38,9)").alias("rounded_amount")],
+    f"bill_date, CAST(round(CAST(subtotal_1 AS {DEC}), 2) AS {DEC}) AS rounded_amount")
 _fn("fn_arith_mul", "billing_lines",
     lambda: ["bill_date", "subtotal_1",
-             convert(F.col("subtotal_1"), F.lit(0.8).cast("decimal(18,9)"), "multiply").alias("converted")],
-    f"bill_date, subtotal_1, CAST(CAST(subtotal_1 AS DECIMAL(18,2)) * CAST(0.8 AS DECIMAL(18,9)) AS {DEC}) "
-    "AS converted")
+             convert(F.col("subtotal_1"), F.lit("10.731234567").cast("decimal(18,9)"), "multiply").alias("converted")],
+    f"bill_date, subtotal_1, {O.converted_sql('subtotal_1', '10.731234567', 'multiply')} AS converted")
 _fn("fn_arith_div", "billing_lines",
     lambda: ["bill_date", "subtotal_1",
-             convert(F.col("subtotal_1"), F.lit(0.8).cast("decimal(18,9)"), "divide").alias("converted")],
-    f"bill_date, subtotal_1, CAST(CAST(subtotal_1 AS DECIMAL(18,2)) * CAST(1.25 AS DECIMAL(18,9)) AS {DEC}) "
-    "AS converted")
+             convert(F.col("subtotal_1"), F.lit("10.731234567").cast("decimal(18,9)"), "divide").alias("converted")],
+    f"bill_date, subtotal_1, {O.converted_sql('subtotal_1', '10.731234567', 'divide')} AS converted")
 
 
 @register("fn_arith_sub", W(

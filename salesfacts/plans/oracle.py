@@ -5,10 +5,10 @@ the same parquet tables, which it registers as views). Dialect notes that
 matter for equal results:
 
 * window ORDER BY spells out NULLS FIRST/LAST (DuckDB's default differs);
-* DuckDB divides decimals in DOUBLE, so the divide variant multiplies by the
-  rate's inverse; the stand-in rates all have exact decimal inverses;
+* DuckDB divides decimals in DOUBLE, so conversions are done on whole numbers of
+  billionths (HUGEINT), rounded half up once;
 * decimals are widened before a product so DuckDB does not overflow;
-* TRIM is the regex form that strips any whitespace, like the Spark side.
+* TRIM is given the same characters as on the Spark side.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from datetime import datetime
 from salesfacts.config import (ACCOUNT_CLASSIFICATION, ACTION_TYPE, CRM_SOURCE_LABEL,
                                DIRECT_INDICATOR, DIVISION_NAME, GLOBAL_CURRENCY, SEASON_CODE,
                                SEASON_PREFIX, SENTINEL_YEAR, FactSpec, VariantConfig)
+from salesfacts.functions.exprs import WHITESPACE
 from salesfacts.schemas import FACT_MEASURES, MONEY_COLUMNS, NUMERIC, OUTPUT_CONTRACT
 from salesfacts.sources import standins as S
 
@@ -32,8 +33,11 @@ def qlist(vs) -> str:
     return ", ".join(q(v) for v in vs)
 
 
+_BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
+
+
 def trimws(expr: str) -> str:
-    return f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({expr}, {_BLANKS})"
 
 
 def _pick(index: str, values) -> str:
@@ -49,6 +53,12 @@ def _ymd(ts: str) -> str:
     return f"strftime(CAST({ts} AS DATE) + INTERVAL {S.SHIFT_MONTHS} MONTH, '%Y%m%d')"
 
 
+def _measure(column: str, parts) -> str:
+    return (f"CAST(CAST({column} AS DECIMAL(18,2)) + CAST({_pick('l_linenumber - 1', parts)} AS DECIMAL(9,9)) "
+            f"AS DECIMAL(28,9))")
+
+
+_GROSS, _QUANTITY = _measure("l_extendedprice", S.AMOUNT_PART), _measure("l_quantity", S.QUANTITY_PART)
 _ORG = "CASE " + " ".join(f"WHEN c_mktsegment = {q(s)} THEN {q(c)}" for s, c in S.SALES_ORG_BY_SEGMENT) + " END"
 
 _LINE_DIMS = f"""
@@ -70,7 +80,7 @@ _LINES = ("lineitem JOIN orders ON l_orderkey = o_orderkey "
 STANDIN_CTES = {
     "order_lines": f"""SELECT
     {_ymd('o_orderdate')} AS derdato,{_LINE_DIMS},
-    CASE WHEN l_orderkey % 53 = 11 THEN NULL ELSE CAST(l_quantity AS DECIMAL(18,3)) END AS dorqtybu,
+    CASE WHEN l_orderkey % 53 = 11 THEN NULL ELSE {_QUANTITY} END AS dorqtybu,
     CASE WHEN l_returnflag = 'R'
          THEN CASE WHEN (l_orderkey + l_linenumber) % 2 = 0 THEN 'Z4RT' ELSE 'ZPRE' END
          ELSE CASE WHEN (l_orderkey + l_linenumber) % 2 = 0 THEN 'Z4SD' ELSE 'ZPVA' END END AS doc_type,
@@ -80,16 +90,15 @@ STANDIN_CTES = {
     "delivery_lines": f"""SELECT
     CASE WHEN l_linestatus = 'O' AND l_linenumber >= 6 THEN '00000000'
          ELSE {_ymd('l_shipdate')} END AS act_gi_dte,{_LINE_DIMS},
-    CAST(l_quantity AS DECIMAL(18,3)) AS act_dl_qty
+    {_QUANTITY} AS act_dl_qty
   FROM {_LINES}""",
     "billing_lines": f"""SELECT
     {_ymd('l_shipdate')} AS bill_date,{_LINE_DIMS},
     CASE WHEN l_orderkey % 41 = 5 THEN NULL ELSE {_ccy('c_nationkey')} END AS doc_currcy,
     {_pick('(l_orderkey + l_linenumber) % 10', S.BILL_TYPE_CYCLE)} AS bill_type,
-    CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal_1,
-    CAST(round(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,2))
-               * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS netval_inv,
-    CAST(l_quantity AS DECIMAL(18,3)) AS bill_qty,
+    {_GROSS} AS subtotal_1,
+    CAST(round({_GROSS} * CAST(1 - CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(4,2)), 3) AS DECIMAL(28,9)) AS netval_inv,
+    {_QUANTITY} AS bill_qty,
     CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'U' ELSE 'M' END AS bill_num__0doc_categ
   FROM {_LINES}""",
     "material_master": """SELECT
@@ -130,10 +139,8 @@ STANDIN_CTES = {
         OR (k = 4 AND n_nationkey % 3 = 0))""",
     "account_xref": f"""SELECT
     CASE WHEN r = 1 THEN CAST(c_custkey AS VARCHAR)
-         WHEN c_custkey % 4 = 0 THEN ' ' || CAST(c_custkey AS VARCHAR)
-         WHEN c_custkey % 4 = 1 THEN CAST(c_custkey AS VARCHAR) || '  '
-         WHEN c_custkey % 4 = 2 THEN chr(9) || CAST(c_custkey AS VARCHAR)
-         ELSE CAST(c_custkey AS VARCHAR) END AS opl_account_id,
+         ELSE {_pick(f'c_custkey % {len(S.PADDING)}', [a for a, _ in S.PADDING])} || CAST(c_custkey AS VARCHAR)
+              || {_pick(f'c_custkey % {len(S.PADDING)}', [b for _, b in S.PADDING])} END AS opl_account_id,
     CASE WHEN r = 1 THEN 'DISTRIBUTOR' WHEN c_custkey % 6 = 5 THEN 'RETAILER'
          WHEN c_custkey % 2 = 0 THEN 'DISTRIBUTOR ' ELSE 'DISTRIBUTOR' END
       AS opl_account_classification_code,
@@ -237,14 +244,18 @@ def fact_sql(spec: FactSpec, cfg: VariantConfig) -> str:
   GROUP BY {', '.join(keys)}"""
 
 
+def converted_sql(amount: str, rate: str, op: str) -> str:
+    """amount (x|/) rate in whole billionths, rounded half up (away from zero) once."""
+    a = f"CAST(CAST({amount} AS DECIMAL(28,9)) * CAST(1000000000 AS DECIMAL(10,0)) AS HUGEINT)"
+    r = f"CAST(CAST({rate} AS DECIMAL(28,9)) * CAST(1000000000 AS DECIMAL(10,0)) AS HUGEINT)"
+    whole = (f"(abs({a}) * {r} * 2 + 1000000000) // 2000000000" if op == "multiply"
+             else f"(abs({a}) * 2000000000 + {r}) // (2 * {r})")
+    return f"CAST(CAST(sign({a}) * ({whole}) AS DECIMAL(28,0)) * CAST(0.000000001 AS DECIMAL(9,9)) AS {DEC})"
+
+
 def convert_sql(amount: str, cfg: VariantConfig) -> str:
-    a = f"CAST({amount} AS DECIMAL(18,2))"
-    if cfg.conversion == "multiply":
-        r = "CAST(fx_rate AS DECIMAL(18,9))"
-    else:  # exact for rates whose inverse has at most 9 decimals
-        r = "CAST(1 / CAST(fx_rate AS DOUBLE) AS DECIMAL(18,9))"
     return (f"CASE WHEN local_currency_code = {q(GLOBAL_CURRENCY)} THEN CAST({amount} AS {DEC}) "
-            f"ELSE CAST({a} * {r} AS {DEC}) END")
+            f"ELSE {converted_sql(amount, 'fx_rate', cfg.conversion)} END")
 
 
 def _ccy_key_sql(cfg: VariantConfig) -> str | None:

@@ -16,6 +16,7 @@ from salesfacts.operators.dims import fx_rates_month_start, fx_rates_validity, m
 from salesfacts.operators.enrich import crm_enrichment
 from salesfacts.operators.facts import build_facts
 from salesfacts.operators.rollup import monthly_sales, unified_facts
+from salesfacts.session import require_ansi
 from salesfacts.sources.catalog import SourceCatalog
 
 
@@ -35,9 +36,8 @@ def reuse_dimension(df: DataFrame, cfg: VariantConfig) -> DataFrame:
     """With ``cfg.checkpoint_dims``, compute a dimension once: a reliable
     checkpoint into the shared folder the session names in
     ``spark.checkpoint.dir`` (never a machine-local folder). The material list
-    is referenced by every fact branch and the rate relation by its size check
-    and its join; a checkpoint also cuts their lineage, so a lost executor
-    does not recompute them."""
+    is referenced by every fact branch; a checkpoint also cuts its lineage, so a
+    lost executor does not recompute it."""
     if not cfg.checkpoint_dims:
         return df
     sc = df.sparkSession.sparkContext
@@ -58,5 +58,10 @@ def monthly(catalog: SourceCatalog, cfg: VariantConfig) -> DataFrame:
 
 def run(catalog: SourceCatalog, cfg: VariantConfig, load_ts: datetime | None = None) -> DataFrame:
     """The full job. ``load_ts`` pins the two row stamps (re-runs and retried
-    tasks then write identical rows); by default they are the query time."""
+    tasks then write identical rows); by default they are the query time.
+
+    Needs ANSI mode, under which bad dates, overflows and division by zero raise
+    instead of becoming NULL. Building it starts no Spark job (unless
+    ``checkpoint_dims`` asks for one)."""
+    require_ansi(catalog.spark)
     return crm_enrichment(monthly(catalog, cfg), catalog.table("account_xref"), cfg, load_ts)

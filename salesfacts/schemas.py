@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 NUMERIC = T.DecimalType(38, 9)     # the warehouse NUMERIC type
-AMOUNT = T.DecimalType(18, 2)      # source currency amounts
-QUANTITY = T.DecimalType(18, 3)    # source quantities
+MEASURE = T.DecimalType(28, 9)     # source amounts and quantities: all decimals that NUMERIC keeps
 RATE = T.DecimalType(18, 9)        # exchange rates
 
 S = T.StringType()
@@ -36,19 +35,18 @@ INPUT_SCHEMAS: dict[str, T.StructType] = {
         T.StructField("sap_src_sys_cd", S),
     ]),
     "order_lines": T.StructType([
-        T.StructField(n, QUANTITY if n == "dorqtybu" else S)
+        T.StructField(n, MEASURE if n == "dorqtybu" else S)
         for n in ("derdato", "ship_to__0country", "sales_grp", "sold_to", "material", "base_uom",
                   "dorqtybu", "comp_code", "salesorg", "doc_type", "g_cww007",
                   "doc_number__0doc_categ", "distr_chan")
     ]),
     "delivery_lines": T.StructType([
-        T.StructField(n, QUANTITY if n == "act_dl_qty" else S)
+        T.StructField(n, MEASURE if n == "act_dl_qty" else S)
         for n in ("act_gi_dte", "ship_to__0country", "sales_grp", "sold_to", "material", "base_uom",
                   "act_dl_qty", "comp_code", "salesorg", "g_cww007", "distr_chan")
     ]),
     "billing_lines": T.StructType([
-        T.StructField(n, AMOUNT if n in ("subtotal_1", "netval_inv")
-                      else QUANTITY if n == "bill_qty" else S)
+        T.StructField(n, MEASURE if n in ("subtotal_1", "netval_inv", "bill_qty") else S)
         for n in ("bill_date", "ship_to__0country", "sales_grp", "sold_to", "material", "base_uom",
                   "doc_currcy", "bill_type", "subtotal_1", "netval_inv", "bill_qty", "comp_code",
                   "salesorg", "g_cww007", "distr_chan", "bill_num__0doc_categ")

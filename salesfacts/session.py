@@ -33,10 +33,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """The job's results depend on ANSI mode: without it bad input becomes NULL silently."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled must be true")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's spark.checkpoint.dir; set a scratch one only when it is unset (local tests)."""
+    """Use the cluster's spark.checkpoint.dir. Where it is unset, a local session
+    (tests) gets a scratch folder; on a cluster that is an error, since executors
+    do not share a machine's folders."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="salesfacts-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -61,6 +71,7 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
     est = shuffle_bytes if shuffle_bytes is not None else input_bytes // 8
     shuffle = min(max_shuffle_partitions, max(2 * total_cores, -(-est // partition_bytes)))
     return {
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),

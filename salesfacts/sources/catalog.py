@@ -2,33 +2,81 @@
 
 The job never names a physical location: an environment binds each of the six
 logical tables to a path or a table, and the pipeline asks the catalog. Every
-read is conformed to the declared input contract (column subset + types), so a
-source with wider or differently typed columns still yields the same plan
-shape; Catalyst keeps column pruning and filter pushdown through the casts.
+read is conformed to the declared input contract by name, without case: wider
+tables and records, other column orders and upper-case names bind to the same
+columns. Only the declared fields are read, and filters on columns that need
+no cast reach the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesfacts.schemas import INPUT_SCHEMAS
 
 LOGICAL_TABLES = tuple(INPUT_SCHEMAS)
 
 
+def _find(fields: list[T.StructField], name: str, where: str) -> T.StructField:
+    found = [f for f in fields if f.name.lower() == name.lower()]
+    if not found:
+        raise ValueError(f"{where}: missing column {name}")
+    if len(found) > 1:
+        raise ValueError(f"{where}: column {name} is ambiguous: {[f.name for f in found]}")
+    return found[0]
+
+
+_INTEGER_DIGITS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+
+
+def _fits(have: T.DataType, want: T.DecimalType) -> bool:
+    """Whether every value of the type ``have`` is exactly a value of ``want``."""
+    if isinstance(have, T.DecimalType):
+        return have.scale <= want.scale and have.precision - have.scale <= want.precision - want.scale
+    return _INTEGER_DIGITS.get(have, 99) <= want.precision - want.scale
+
+
+def _typed(c: Column, have: T.DataType, want: T.DataType, where: str) -> Column:
+    """``c`` as ``want``; a number that would be rounded is an error, never a cut."""
+    if have == want:
+        return c
+    if isinstance(want, T.DecimalType) and not _fits(have, want):
+        raise ValueError(f"{where}: {have.simpleString()} is wider than the contract's {want.simpleString()}")
+    return c.cast(want.simpleString())
+
+
+def _record(c: Column, have: T.StructType, want: T.StructType, where: str) -> Column:
+    """A record with the declared fields, by name. A NULL record stays NULL, and
+    reading one of its fields still prunes the others at the scan."""
+    actual = {f.name: _find(have.fields, f.name, where) for f in want.fields}
+    extra = [f.name for f in have.fields if f.name not in {a.name for a in actual.values()}]
+    if extra:
+        c = c.dropFields(*[f"`{n}`" for n in extra])
+    for f in want.fields:
+        if actual[f.name].dataType != f.dataType:
+            name = actual[f.name].name
+            c = c.withField(f"`{name}`", _typed(c[name], actual[f.name].dataType, f.dataType, f"{where}.{name}"))
+    return c
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Project to the declared columns and cast where the type differs."""
-    schema = INPUT_SCHEMAS[name]
-    have = dict(df.dtypes)
+    """The declared columns of a logical table, found by name and cast where the type differs."""
     cols = []
-    for f in schema.fields:
-        if f.name not in have:
-            raise ValueError(f"{name}: missing column {f.name}")
-        c = F.col(f.name)
-        cols.append(c if have[f.name] == f.dataType.simpleString() else c.cast(f.dataType.simpleString()).alias(f.name))
+    for f in INPUT_SCHEMAS[name].fields:
+        have = _find(df.schema.fields, f.name, name)
+        c = F.col(f"`{have.name}`")
+        where = f"{name}.{have.name}"
+        if isinstance(f.dataType, T.StructType):
+            if not isinstance(have.dataType, T.StructType):
+                raise ValueError(f"{where}: a record is expected, not {have.dataType.simpleString()}")
+            c = _record(c, have.dataType, f.dataType, where)
+        else:
+            c = _typed(c, have.dataType, f.dataType, where)
+        cols.append(c.alias(f.name))
     return df.select(*cols)
 
 

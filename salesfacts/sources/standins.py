@@ -17,14 +17,19 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesfacts.schemas import AMOUNT, QUANTITY, RATE
+from salesfacts.schemas import MEASURE, RATE
 
 # Fixed values of the stand-in generator (code lists indexed by a key).
 COMPANY_BY_NATION_MOD4 = ("0085", "2926", "1254", "1334")
 SALES_ORG_BY_SEGMENT = (("AUTOMOBILE", "PC09"), ("BUILDING", "EN09"), ("FURNITURE", "DG09"),
                         ("HOUSEHOLD", "IQ09"), ("MACHINERY", "PV09"))
 BILL_TYPE_CYCLE = ("YB3D", "YG2W", "YF2D", "YRED", "YL2W", "YB4D", "YB1D", "YS1D", "YL2D", "ZF2")
-RATE_CYCLE = ("0.5", "1.25", "2", "2.5", "4", "5", "8", "10")
+RATE_CYCLE = ("0.5", "1.25", "10.731234567", "2.5", "3", "5", "0.000812345", "10")
+# Parts of a unit added by line number: amounts with 3 and 9 decimals, quantities with 4 and 9.
+AMOUNT_PART = ("0", "0.005", "0", "0.000000001", "0", "0.015", "0.123456789")
+QUANTITY_PART = ("0", "0", "0.0004", "0", "0.000000005", "0", "0.5")
+# Padding of account ids by key: blank, blanks, tab, none, no-break space, em space, ideographic space.
+PADDING = ((" ", ""), ("", "  "), ("\t", ""), ("", ""), ("", "\u00a0"), ("\u2003", ""), ("\u3000", "\u3000"))
 XREF_SOURCE_CYCLE = ("SAP-P4S-C", "SAP-PBC-C", "SAP-QBC-C", "SAP-Q4S-C", "SAP-QBC-C ")
 SHIFT_MONTHS = 288
 OPEN_ENDED_MONTH = date(2024, 12, 1)
@@ -57,6 +62,16 @@ class BaseTables:
         return self._dfs[name]
 
 
+def _measure(column: str, parts: tuple[str, ...]) -> Column:
+    """The column plus its line number's part of a unit, in full precision."""
+    return (F.col(column).cast("decimal(18,2)") + _pick(F.col("l_linenumber") - 1, parts).cast("decimal(9,9)")).cast(MEASURE)
+
+
+def _upper(df: DataFrame) -> DataFrame:
+    """Upper-case names, as the source system writes them."""
+    return df.toDF(*[c.upper() for c in df.columns])
+
+
 def _lines(base: BaseTables) -> DataFrame:
     """lineitem joined to its order and customer: the common base of three fact tables."""
     li = base("lineitem").select(
@@ -92,16 +107,17 @@ def _line_dims() -> list[Column]:
 def order_lines(base: BaseTables) -> DataFrame:
     ln, ok = F.col("l_linenumber"), F.col("l_orderkey")
     even = (ok + ln) % 2 == 0
-    return _lines(base).select(
+    return _upper(_lines(base).select(
         _shifted_ymd(F.col("o_orderdate")).alias("derdato"),
         *_line_dims(),
-        F.when(ok % 53 == 11, F.lit(None).cast(QUANTITY))
-         .otherwise(F.col("l_quantity").cast(QUANTITY)).alias("dorqtybu"),
+        F.when(ok % 53 == 11, F.lit(None).cast(MEASURE))
+         .otherwise(_measure("l_quantity", QUANTITY_PART)).alias("dorqtybu"),
         F.when(F.col("l_returnflag") == "R", F.when(even, "Z4RT").otherwise("ZPRE"))
          .otherwise(F.when(even, "Z4SD").otherwise("ZPVA")).alias("doc_type"),
         F.when(F.col("o_orderstatus") == "F", "C").when(F.col("o_orderstatus") == "O", "G")
          .when(ln == 3, F.lit(None).cast("string")).otherwise("I").alias("doc_number__0doc_categ"),
-    )
+        F.col("o_orderpriority").alias("not_in_the_contract"),
+    ))
 
 
 def delivery_lines(base: BaseTables) -> DataFrame:
@@ -109,26 +125,26 @@ def delivery_lines(base: BaseTables) -> DataFrame:
         F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") >= 6), "00000000")
          .otherwise(_shifted_ymd(F.col("l_shipdate"))).alias("act_gi_dte"),
         *_line_dims(),
-        F.col("l_quantity").cast(QUANTITY).alias("act_dl_qty"),
+        _measure("l_quantity", QUANTITY_PART).alias("act_dl_qty"),
     )
 
 
 def billing_lines(base: BaseTables) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    gross = F.col("l_extendedprice").cast(AMOUNT)
-    return _lines(base).select(
+    gross = _measure("l_extendedprice", AMOUNT_PART)
+    return _upper(_lines(base).select(
         _shifted_ymd(F.col("l_shipdate")).alias("bill_date"),
         *_line_dims(),
         F.when(ok % 41 == 5, F.lit(None).cast("string"))
          .otherwise(currency_of_nation(F.col("c_nationkey"))).alias("doc_currcy"),
         _pick((ok + ln) % 10, BILL_TYPE_CYCLE).alias("bill_type"),
         gross.alias("subtotal_1"),
-        F.round(gross * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
-         .cast(AMOUNT).alias("netval_inv"),
-        F.col("l_quantity").cast(QUANTITY).alias("bill_qty"),
+        F.round(gross * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 3)
+         .cast(MEASURE).alias("netval_inv"),
+        _measure("l_quantity", QUANTITY_PART).alias("bill_qty"),
         F.when((F.col("l_returnflag") == "R") & (ln == 1), "U").otherwise("M")
          .alias("bill_num__0doc_categ"),
-    )
+    ))
 
 
 def material_master(base: BaseTables) -> DataFrame:
@@ -140,12 +156,13 @@ def material_master(base: BaseTables) -> DataFrame:
     return p.select(
         key.cast("string").alias("material_number"),
         F.when((v == 1) & (size % 2 == 0), "4S").otherwise("BC").alias("source"),
-        F.struct(
-            F.concat(F.lit("BG"), (key % 3).cast("string")).alias("business_group"),
+        F.struct(  # wider than the contract and in another order
             F.when(in_scope, "Crop Protection").otherwise(F.col("p_type")).alias("line_of_business"),
-            F.concat(F.col("p_brand"), F.lit("/v"), v.cast("string")).alias("brand_name"),
             F.col("p_name").alias("product_name"),
-            F.concat(F.lit("C"), (size % 7).cast("string")).alias("crop_code"),
+            size.alias("not_in_the_contract"),
+            F.concat(F.lit("C"), (size % 7).cast("string")).alias("CROP_CODE"),
+            F.concat(F.lit("BG"), (key % 3).cast("string")).alias("business_group"),
+            F.concat(F.col("p_brand"), F.lit("/v"), v.cast("string")).alias("brand_name"),
         ).alias("attributes"),
         F.struct(
             F.concat(F.lit("PG"), (size % 5).cast("string")).alias("product_group"),
@@ -206,9 +223,8 @@ def account_xref(base: BaseTables) -> DataFrame:
     keep = (((r == 0) & (key % 9 != 8)) | ((r == 1) & (key % 5 == 0))
             | ((r == 2) & (key % 7 == 0) & (key % 9 != 8)))
     main = r != 1
-    padded = (F.when(key % 4 == 0, F.concat(F.lit(" "), skey))
-               .when(key % 4 == 1, F.concat(skey, F.lit("  ")))
-               .when(key % 4 == 2, F.concat(F.lit("\t"), skey)).otherwise(skey))
+    n = len(PADDING)
+    padded = F.concat(_pick(key % n, tuple(a for a, _ in PADDING)), skey, _pick(key % n, tuple(b for _, b in PADDING)))
     klass = (F.when(key % 6 == 5, "RETAILER").when(key % 2 == 0, "DISTRIBUTOR ")
               .otherwise("DISTRIBUTOR"))
     return c.where(keep).select(

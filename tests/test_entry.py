@@ -21,7 +21,8 @@ def test_every_survey_key_has_a_query_and_an_oracle():
     assert len(keys) > 90
     qs, sqls = E.queries(), E.oracle_sql()
     assert [k for k in keys if k not in qs] == []
-    assert [k for k in qs if k not in sqls] == []
+    own = [k for k in qs if not re.match(r"op\d+_|pipeline$", k)]
+    assert [k for k in own if k not in sqls] == []
 
 
 def test_entry_returns_the_flagship(spark):

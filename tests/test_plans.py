@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_SMALL
 from salesfacts.config import NA_PBC, NAF_PROD
 from salesfacts.plans.pipeline import run
-from salesfacts.sources.catalog import SourceCatalog, write_standins
+from salesfacts.sources.catalog import LOGICAL_TABLES, SourceCatalog, write_standins
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +25,11 @@ def _plan(df):
     return spark._jvm.PythonSQLUtils.explainString(qe, "formatted")
 
 
+def _final_plan(df):
+    df.collect()   # runs this DataFrame's own plan, so that it shows what AQE did
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
 @pytest.mark.parametrize("cfg", [NAF_PROD, NA_PBC], ids=["month_start", "validity"])
 def test_plan_shape(parquet_catalog, cfg):
     plan = _plan(run(parquet_catalog, cfg))
@@ -45,22 +50,72 @@ def test_pushed_filters_reach_billing_scan(parquet_catalog):
         assert f in pushed
 
 
-def test_distinct_reuses_shuffle_join_partitioning(spark, parquet_catalog):
-    """When the xref is too big to broadcast, the final DISTINCT must not shuffle again."""
-    prev = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in prev.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _hot(catalog):
+    """Billing lines of which 90 % have one account and one material."""
+    from pyspark.sql import functions as F
+
+    def hot(df, account, material):
+        pick = F.pmod(F.xxhash64(*df.columns), F.lit(10)) < 9
+        return df.withColumn("sold_to", F.when(pick, account).otherwise(F.col("sold_to"))).withColumn(
+            "material", F.when(pick, material).otherwise(F.col("material")))
+
+    tables = {n: catalog.table(n) for n in LOGICAL_TABLES}
+    material = tables["material_master"].where("attributes.line_of_business = 'Crop Protection' and deleted.time is null "
+                                               "and source = 'BC'").first()["material_number"]
+    account = tables["billing_lines"].first()["sold_to"]
+    for n in ("order_lines", "delivery_lines", "billing_lines"):
+        tables[n] = hot(tables[n], account, material)
+    return SourceCatalog(catalog.spark, {n: (lambda d=d: d) for n, d in tables.items()})
+
+
+def test_hot_account_and_material_are_split(spark, parquet_catalog, no_broadcast):
+    """90 % of the lines have one account and one material: the roll-up has its own exchange
+    on all its keys, and the join with the xref splits the account."""
+    from pyspark.sql import functions as F
+    from salesfacts.operators.enrich import crm_enrichment
+    from salesfacts.plans.pipeline import monthly
+
+    hot = _hot(parquet_catalog)
+    exchanges = [ln for ln in _final_plan(run(hot, NA_PBC)).splitlines() if "hashpartitioning(" in ln]
+    assert any(all(k in ln for k in ("material_number", "position_level_1_code", "local_uom", "calendar_month")) for ln in exchanges)
+
+    account = hot.table("billing_lines").groupBy("sold_to").count().orderBy(F.desc("count")).first()["sold_to"]
+    opl = monthly(parquet_catalog, NA_PBC).withColumn("opl_account_id", F.when(
+        F.pmod(F.xxhash64("material_number", "calendar_month", "calendar_year", "opl_account_id"), F.lit(10)) < 9, account)
+        .otherwise(F.col("opl_account_id")))
+    assert "SortMergeJoin(skew=true)" in _final_plan(crm_enrichment(opl, hot.table("account_xref"), NA_PBC))
+
+
+def test_building_the_job_starts_no_spark_job(spark, parquet_catalog):
+    for name in LOGICAL_TABLES:
+        parquet_catalog.table(name)  # schema reads
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        for cfg in (NAF_PROD, NA_PBC):
+            run(parquet_catalog, cfg)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_job_needs_ansi_mode(spark, parquet_catalog):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        for k in prev:
-            spark.conf.set(k, "-1")
-        df = run(parquet_catalog, NA_PBC.with_(broadcast_max_rows=0))
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan
-        above_xref_join = plan.split("SortMergeJoin")[0]
-        assert "Exchange" not in above_xref_join
-        assert df.count() > 0
+        with pytest.raises(ValueError, match="ansi"):
+            run(parquet_catalog, NAF_PROD)
     finally:
-        for k, v in prev.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -26,7 +26,7 @@ def _plan(df):
 
 
 def _final_plan(df):
-    df.collect()   # runs this DataFrame's own plan, so that it shows what AQE did
+    df._jdf.queryExecution().toRdd().count()   # runs this DataFrame's own plan, so that it shows what AQE did
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 

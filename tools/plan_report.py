@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -20,15 +20,15 @@ def main() -> None:
     sf_dir = args[1] if len(args) > 1 else "/root/testdata/sf0.01"
     from salesfacts.config import PRESETS
     from salesfacts.plans.pipeline import run
-    from salesfacts.session import local_session
+    from salesfacts.session import ensure_checkpoint_dir, local_session
     from salesfacts.sources.catalog import SourceCatalog, write_standins
 
     spark = local_session(cores=8, shuffle_partitions=16, app="salesfacts-plan")
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
-    out = tempfile.mkdtemp(prefix="salesfacts-plan-")
+    out = f"{ensure_checkpoint_dir(spark)}/plan-{uuid.uuid4().hex[:8]}"
     catalog = SourceCatalog.from_paths(spark, write_standins(spark, sf_dir, out))
     df = run(catalog, PRESETS[preset])
-    df.collect()   # executes this DataFrame's own plan, so the AQE plan below is final
+    df._jdf.queryExecution().toRdd().count()   # executes this DataFrame's own plan, so the AQE plan below is final
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     if "--full" in sys.argv:
         print(plan)

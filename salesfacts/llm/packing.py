@@ -14,6 +14,7 @@ the input are not carried (the result is one row a piece).
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 
 import pyarrow as pa
@@ -26,14 +27,17 @@ from salesfacts.llm.common import checkpointed, slices
 MAX_LEN = 2048
 END_ID = 0
 RANK_BLOCK = 1024
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+_COMBINING = re.compile("[\u0300-\u036f]")
 
 
 class WordTokenizer:
     """Token ids of whole texts by a ``tokenizers`` file, remembering words.
 
     The vocabulary's pre-tokenizer always breaks at white space, so a text's ids
-    are those of its space-separated words, joined. Two generations of at most
+    are those of its space-separated words, joined. It also lower-cases, so words
+    are remembered with A-Z lower-cased (not in texts with combining marks, which
+    compose with some lower-case letters only). Two generations of at most
     ``cache_words`` words bound the memory.
     """
 
@@ -61,7 +65,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        split = [(t if _COMBINING.search(t) else t.encode().lower().decode()).replace("\n", " ").split(" ") if t else [] for t in texts]
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {"": b""}
         need = set().union(*split).difference(self.young) if split else set()

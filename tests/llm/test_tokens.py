@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesfacts.llm.bpe import Bpe, decode, encode
-from salesfacts.llm.packing import pack, place, plan
+from salesfacts.llm.packing import WordTokenizer, pack, place, plan
 from salesfacts.llm.queries import QUERIES, split_pattern, tokenizer_file
 
 from conftest import SF_SMALL
@@ -50,6 +50,15 @@ def test_long_words_follow_the_same_rule(bpe, tik):
     assert [bpe.contract_long(w) for w in words] == [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_words(words)]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aAbBjJtTwW \n\t\u030c\u0331\u0308éÉ\u0130ΣσςK'.,1\u00a0", max_size=30), min_size=1, max_size=6))
+def test_remembered_words_equal_the_tokenizer(texts):
+    tok = Tokenizer.from_file(WORDS)
+    tok.encode_special_tokens = True
+    assert [np.frombuffer(x, "<u4").tolist() for x in WordTokenizer(WORDS, 5).encode(texts)] == [
+        e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_encode_frame_with_odd_rows(spark, odd_docs, tik):
     df = odd_docs.withColumn("ids", F.lit("clash"))
     out = encode(df, RANKS, split_pattern()).collect()

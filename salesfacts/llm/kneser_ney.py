@@ -26,6 +26,7 @@ from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -39,7 +40,7 @@ from salesfacts.llm.common import checkpointed, slices
 START, END = 2, 3
 BLOCK_CHARS = 12_000_000
 SLICE_CHARS = 2 << 20
-SHARDS = 64  # a power of two: a key's shard is its low bits
+LEAST_SHARDS = 64
 POOL = -1  # the class under which shared orders are counted
 ALPHABET = 65_536  # the uniform distribution below the unigrams
 
@@ -185,16 +186,22 @@ def word_keys(words: list[str], order: int) -> tuple[list[tuple[np.ndarray, np.n
     return steps, np.repeat(np.arange(len(words)), lens), len(symbols)
 
 
-def word_logprobs(words: list[str], order: int, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """(words, classes) log-probabilities; ``keys`` sorted, ``values`` (keys, classes), absent keys NaN."""
+def distinct_keys(words: list[str], order: int) -> np.ndarray:
+    """Sorted keys of all n-grams and contexts of the words. A context of one order is an n-gram of the order below."""
+    symbols, place, _ = word_symbols(words)
+    h = gram_hashes(symbols, order)
+    grams = [np.zeros(1, dtype=np.uint64)] + [pd.unique(h[k][place >= k - 1]) for k in range(1, order + 1)]
+    return np.unique(np.concatenate([gram_key(grams[k], k) for k in range(1, order + 1)] + [context_key(grams[k - 1], k) for k in range(1, order + 1)]))
+
+
+def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarray) -> np.ndarray:
+    """(words, classes) log-probabilities; ``values`` (keys, classes). Absent n-grams count 0, absent contexts leave all weight below."""
     steps, owner, n = word_keys(words, order)
     p = np.full((n, values.shape[1]), 1 / ALPHABET)
 
     def look(k, absent):
-        if not len(keys):
-            return np.full((len(k), values.shape[1]), absent)
-        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-        return np.where(np.isnan(values[at]) | (keys[at] != k)[:, None], absent, values[at])
+        at = keys.get_indexer(k)
+        return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.full((len(k), values.shape[1]), absent)
 
     for at, grams, contexts in steps:
         p[at] = look(grams, 0.0) + look(contexts, 1.0) * p[at]
@@ -205,7 +212,7 @@ def word_logprobs(words: list[str], order: int, keys: np.ndarray, values: np.nda
 
 def _pack(items: list[bytes]) -> bytes:
     head = np.array([len(items), *map(len, items)], dtype="<u4").tobytes()
-    return zstandard.ZstdCompressor(level=6).compress(head + b"".join(items))
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(items))
 
 
 def _unpack(data: bytes) -> list[bytes]:
@@ -239,7 +246,7 @@ def _words_of(texts: list[bytes], tokens) -> list[str]:
     seen: set[str] = set()
     for b in texts:
         seen.update(tokens(b.decode()))
-    return sorted(seen)
+    return list(seen)
 
 
 def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens: Callable[[str], list[str]],
@@ -251,6 +258,9 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
     the ids in it, so if they did not, the job would fail instead of scoring wrongly.
     """
     rows = texts.select("id", "text")
+    shards = LEAST_SHARDS  # a power of two that follows the session's partitions: a key's shard is its low bits
+    while shards < int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        shards *= 2
 
     def hold(batches):
         for block, ids, held in _runs(batches, BLOCK_CHARS):
@@ -263,18 +273,19 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             words = _words_of(held, tokens)
             found = [np.empty(0, dtype=np.uint64)]
             for at in range(0, len(words), 100_000):
-                steps, _, _ = word_keys(words[at:at + 100_000], order)
-                found.append(np.unique(np.concatenate([x for _, g, c in steps for x in (g, c)])))
+                found.append(distinct_keys(words[at:at + 100_000], order))
             keys = np.unique(np.concatenate(found))
-            shard = (keys % np.uint64(SHARDS)).astype(np.int64)
-            parts = [keys[shard == s] for s in range(SHARDS)]
-            some = [s for s in range(SHARDS) if s == 0 or len(parts[s])]
+            shard = (keys & np.uint64(shards - 1)).astype(np.int64)
+            cuts = np.searchsorted(np.sort(shard), np.arange(shards + 1))
+            keys = keys[np.argsort(shard, kind="stable")]
+            parts = [keys[cuts[s]:cuts[s + 1]] for s in range(shards)]
+            some = [s for s in range(shards) if s == 0 or len(parts[s])]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
                                               pa.array([parts[s].tobytes() for s in some], pa.binary())], names=["shard", "block", "keys"])
 
     held = rows.mapInArrow(hold, "block long, ids binary, payload binary")
     asked = rows.mapInArrow(ask, "shard int, block long, keys binary")
-    known = model.select(F.expr(f"CAST(key & {SHARDS - 1} AS INT)").alias("shard"), "key", "v")
+    known = model.select(F.expr(f"CAST(key & {shards - 1} AS INT)").alias("shard"), "key", "v")
 
     def answer(key, left, right):
         """The values of the keys that a shard's blocks ask for, as (position, values) of those that it holds."""
@@ -306,8 +317,8 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
                 keys.append(np.frombuffer(k.as_py(), dtype=np.uint64))
                 vals.append(np.frombuffer(v.as_py(), dtype="<f4").reshape(-1, classes))
         keys, vals = np.concatenate(keys), np.concatenate(vals)
-        by = np.argsort(keys)
-        keys, vals = keys[by], vals[by]
+        keys, first = np.unique(keys, return_index=True)
+        keys, vals = pd.Index(keys), vals[first]
         for b in left:
             for ids, payload in zip(b.column("ids"), b.column("payload")):
                 yield from _score_block(_unpack(ids.as_py()), _unpack(payload.as_py()), keys, vals)
@@ -321,7 +332,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             while at + len(run) < len(payload) and (not run or size + len(payload[at + len(run)]) <= SLICE_CHARS):
                 run.append(tokens(payload[at + len(run)].decode()))
                 size += len(payload[at + len(run) - 1])
-            new = sorted(set().union(*run).difference(number))
+            new = list(set().union(*run).difference(number))
             number.update(zip(new, range(len(number), len(number) + len(new))))
             if new:
                 logs = np.concatenate([logs, word_logprobs(new, order, keys, vals)])

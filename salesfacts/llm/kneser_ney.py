@@ -175,17 +175,6 @@ def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> D
 # --- scoring ----------------------------------------------------------------------------
 
 
-def word_keys(words: list[str], order: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray, int]:
-    """For each order (positions, gram keys, context keys); the word number of each symbol; the number of symbols."""
-    symbols, place, lens = word_symbols(words)
-    h = gram_hashes(symbols, order)
-    steps = []
-    for k in range(1, order + 1):
-        at = np.flatnonzero(place >= max(k - 1, 1))
-        steps.append((at, gram_key(h[k][at], k), context_key(h[k - 1][at - 1], k) if k > 1 else context_key(np.zeros(len(at), dtype=np.uint64), 1)))
-    return steps, np.repeat(np.arange(len(words)), lens), len(symbols)
-
-
 def distinct_keys(words: list[str], order: int) -> np.ndarray:
     """Sorted keys of all n-grams and contexts of the words. A context of one order is an n-gram of the order below."""
     symbols, place, _ = word_symbols(words)
@@ -196,18 +185,34 @@ def distinct_keys(words: list[str], order: int) -> np.ndarray:
 
 def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarray) -> np.ndarray:
     """(words, classes) log-probabilities; ``values`` (keys, classes). Absent n-grams count 0, absent contexts leave all weight below."""
-    steps, owner, n = word_keys(words, order)
-    p = np.full((n, values.shape[1]), 1 / ALPHABET)
+    symbols, place, lens = word_symbols(words)
+    h = gram_hashes(symbols, order)
+    classes = values.shape[1]
 
-    def look(k, absent):
+    def look(k: np.ndarray, absent: float) -> np.ndarray:
         at = keys.get_indexer(k)
-        return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.full((len(k), values.shape[1]), absent)
+        return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.full((len(k), classes), absent)
 
-    for at, grams, contexts in steps:
-        p[at] = look(grams, 0.0) + look(contexts, 1.0) * p[at]
-    logs = np.log(np.maximum(p, 1e-12))
-    logs[np.flatnonzero(np.diff(owner, prepend=-1))] = 0  # START is given
-    return np.stack([np.bincount(owner, weights=logs[:, c], minlength=len(words)) for c in range(values.shape[1])], axis=1)
+    p = [np.full(len(symbols), 1 / ALPHABET) for _ in range(classes)]
+    below = np.zeros(len(symbols), dtype=np.int64)  # number of the context among the distinct n-grams one order below
+    weights = look(context_key(np.zeros(1, dtype=np.uint64), 1), 1.0)
+    for k in range(1, order + 1):
+        valid = np.flatnonzero(place >= k - 1)
+        number, grams = pd.factorize(h[k][valid])
+        code = np.zeros(len(symbols), dtype=np.int64)
+        code[valid] = number
+        at = valid[place[valid] >= 1]
+        shares = look(gram_key(grams, k), 0.0)
+        for c in range(classes):
+            p[c][at] = shares[:, c][code[at]] + weights[:, c][below[at - 1]] * p[c][at]
+        below, weights = code, look(context_key(grams, k + 1), 1.0)
+    owner = np.repeat(np.arange(len(words)), lens)
+    out = np.empty((len(words), classes))
+    for c in range(classes):
+        logs = np.log(np.maximum(p[c], 1e-12))
+        logs[place == 0] = 0  # START is given
+        out[:, c] = np.bincount(owner, weights=logs, minlength=len(words))
+    return out
 
 
 def _pack(items: list[bytes]) -> bytes:

@@ -9,10 +9,12 @@ lines: shingles of ``WIDE`` characters that begin at a word with an initial a to
 in lines with few of these, at any word; in lines with few words, all shingles of
 ``SHINGLE`` characters. A line near a limit uses both kinds.
 
-Candidates are confirmed by the exact Jaccard similarity of their full sets of
-``SHINGLE``-character shingles. In each band the members are compared with the
-band's first line; those that are not linked stay for the next round, until every
-band is spent, so no band is compared all against all and none is cut. The links'
+Candidates that share enough of their ``SKETCH`` smallest hashes of all shingles
+are confirmed by the exact Jaccard similarity of their full sets of
+``SHINGLE``-character shingles. Bands of at most ``LEAF`` lines are compared
+exhaustively. In larger ones the members are compared with the band's first line;
+those that are not linked stay for the next round, until the band is small or
+spent, so no large band is compared all against all and none is cut. The links'
 components keep the one line that stands first (by doc_id, then place).
 
 Defined results: null text stays null and has no lines; empty and short lines are
@@ -33,6 +35,8 @@ MIN_CHARS = 16
 SIMILARITY = 0.8
 SHINGLE, WIDE = 5, 12
 BOTTOM = 4
+LEAF = 16  # lines up to which a band is compared all against all
+SKETCH, LIKELY = 16, 0.375  # smallest hashes of all shingles; the share that alike lines are sure to have in common
 FEW = 6  # below this many sampled shingles a coarser sample says too little
 
 
@@ -47,59 +51,58 @@ def _shingles(line: str, size: int) -> str:
     return f"regexp_extract_all({line}, '(?=(.{{{size}}}))', 1)"
 
 
-def _bands(hashes: Column) -> Column:
-    """A key for each pair of the ``BOTTOM`` smallest distinct hashes; for a line with one shingle only that."""
-    low = F.slice(F.sort_array(F.array_distinct(hashes)), 1, BOTTOM)
-    pairs = [F.when(F.size(low) > j, F.xxhash64(low[i], low[j])) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
-    return F.when(F.size(low) == 1, F.array(F.xxhash64(low[0]))).otherwise(F.array_compact(F.array(*pairs)))
+def _lowest(shingles: str, kind: int) -> Column:
+    """The ``BOTTOM`` smallest distinct hashes of an array of shingles."""
+    return F.slice(F.sort_array(F.array_distinct(F.expr(f"transform({shingles}, x -> xxhash64({kind}, x))"))), 1, BOTTOM)
+
+
+def _bands(low: str) -> Column:
+    """A key for each pair of the smallest hashes; for a line with one shingle only that."""
+    pairs = [F.when(F.size(low) > j, F.xxhash64(F.col(low)[i], F.col(low)[j])) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
+    return F.when(F.size(low) == 1, F.array(F.xxhash64(F.col(low)[0]))).otherwise(F.array_compact(F.array(*pairs)))
 
 
 def _keys(lines: DataFrame) -> DataFrame:
-    """(key, h), distinct."""
+    """(key, h), distinct. Each step is a column of its own, so that it is computed once."""
     some = lines.withColumn("_a", F.expr(f"regexp_extract_all(line, ' (?=([a-h].{{{WIDE - 1}}}))', 1)"))
     some = some.withColumn("_b", F.when(F.size("_a") < 2 * FEW, F.expr(f"regexp_extract_all(line, ' (?=(.{{{WIDE}}}))', 1)")))
     some = some.withColumn("_c", F.when((F.size("_a") < 2 * FEW) & (F.size("_b") < 2 * FEW), F.expr(_shingles("line", SHINGLE))))
-    hashed = lambda c, kind: F.expr(f"transform({c}, x -> xxhash64({kind}, x))")
     none = F.expr("CAST(array() AS ARRAY<BIGINT>)")
-    every = F.concat(F.when(F.size("_a") >= FEW, _bands(hashed("_a", 1))).otherwise(none),
-                     F.when(F.col("_b").isNotNull() & (F.size("_b") >= FEW), _bands(hashed("_b", 2))).otherwise(none),
-                     F.when(F.col("_c").isNotNull(), _bands(hashed("_c", 3))).otherwise(none))
-    return some.select(F.explode(every).alias("key"), "h").distinct()
-
-
-def _similar(a: str, b: str) -> Column:
-    """Whether the two arrays of distinct shingles have Jaccard similarity ``SIMILARITY`` or more."""
-    common = F.size(F.array_intersect(a, b))
-    return common >= SIMILARITY * (F.size(a) + F.size(b) - common) - 1e-9
+    some = some.select("h", F.when(F.size("_a") >= FEW, _lowest("_a", 1)).otherwise(none).alias("_la"),
+                       F.when(F.col("_b").isNotNull() & (F.size("_b") >= FEW), _lowest("_b", 2)).otherwise(none).alias("_lb"),
+                       F.when(F.col("_c").isNotNull(), _lowest("_c", 3)).otherwise(none).alias("_lc"))
+    return some.select(F.explode(F.concat(_bands("_la"), _bands("_lb"), _bands("_lc"))).alias("key"), "h").distinct()
 
 
-def _links(docs: DataFrame) -> DataFrame | None:
-    """(a, b): hashes of lines confirmed alike; None if there are none."""
+def _links(docs: DataFrame) -> DataFrame:
+    """(a, b): hashes of lines confirmed alike."""
     keys = checkpointed(_keys(_lines(docs)))
     groups = checkpointed(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
     active = checkpointed(keys.join(small(groups), "key"))
     need = checkpointed(active.select("h").distinct())
     texts = _lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))
-    texts = checkpointed(texts.select("h", F.char_length("line").alias("len"), "line"))
-    links = None
-    seen = None
+    hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
+    texts = checkpointed(texts.select("h", "line", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")))
+    links = seen = None
     while True:
-        reps = active.groupBy("key").agg(F.min("h").alias("rep"), F.count("*").alias("m")).where("m > 1").select("key", "rep")
-        met = checkpointed(active.join(reps, "key").where("h <> rep"))
-        pairs = met.select("h", "rep").distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["h", "rep"], "left_anti")
-        sided = (pairs.join(texts.select("h", "len", "line"), "h").join(texts.select(F.col("h").alias("rep"), F.col("len").alias("rep_len"), F.col("line").alias("rep_line")), "rep")
-                 .where(F.least("len", "rep_len") >= SIMILARITY * F.greatest("len", "rep_len") - SHINGLE))
-        sets = sided.select("h", "rep", F.expr(f"array_distinct({_shingles('line', SHINGLE)})").alias("a"), F.expr(f"array_distinct({_shingles('rep_line', SHINGLE)})").alias("b"))
-        good = sets.where(_similar("a", "b")).select(F.col("rep").alias("a"), F.col("h").alias("b"))
-        found = checkpointed(good)
+        sizes = active.groupBy("key").agg(F.count("*").alias("m"), F.min("h").alias("rep")).where("m > 1")
+        met = checkpointed(active.join(sizes, "key"))
+        few = met.where(F.col("m") <= LEAF).select("key", "h")
+        pairs = (few.join(few.select("key", F.col("h").alias("rep")), "key").where("rep < h").select("h", "rep")
+                 .union(met.where((F.col("m") > LEAF) & (F.col("h") != F.col("rep"))).select("h", "rep")).distinct())
+        pairs = checkpointed(pairs if seen is None else pairs.join(seen, ["h", "rep"], "left_anti"))
+        seen = pairs if seen is None else checkpointed(seen.union(pairs))
+        near = (pairs.join(texts.select("h", "sk"), "h").join(texts.select(F.col("h").alias("rep"), F.col("sk").alias("rep_sk")), "rep")
+                .where(F.size(F.array_intersect("sk", "rep_sk")) >= LIKELY * F.least(F.size("sk"), F.size("rep_sk"))).select("h", "rep"))
+        sides = near.join(texts.select("h", "line"), "h").join(texts.select(F.col("h").alias("rep"), F.col("line").alias("rep_line")), "rep")
+        sets = sides.select("h", "rep", F.expr(f"array_distinct({_shingles('line', SHINGLE)})").alias("a"),
+                            F.expr(f"array_distinct({_shingles('rep_line', SHINGLE)})").alias("b"))
+        sets = sets.select("h", "rep", (F.size("a") + F.size("b")).alias("total"), F.size(F.array_intersect("a", "b")).alias("common"))
+        found = checkpointed(sets.where(f"common >= {SIMILARITY} * (total - common) - 1e-9").select(F.col("rep").alias("a"), F.col("h").alias("b")))
         links = found if links is None else checkpointed(links.union(found))
-        # What is linked with its band's first line leaves the band, and so does that line.
-        left = met.join(links, (met["rep"] == links["a"]) & (met["h"] == links["b"]), "left_anti").select("key", "h")
-        tried = met.select("h", "rep").distinct()
-        seen = checkpointed(tried if seen is None else seen.union(tried).distinct())
-        active = checkpointed(left)
+        # In a large band, what is linked with the band's first line leaves it, and so does that line.
+        left = met.where((F.col("m") > LEAF) & (F.col("h") != F.col("rep")))
+        active = checkpointed(left.join(links, (left["rep"] == links["a"]) & (left["h"] == links["b"]), "left_anti").select("key", "h"))
         release(docs.sparkSession)
         if not active.limit(1).count():
             return links

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import itertools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,10 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RELEASE_EVERY = 8  # checkpoints after which finished ones may go
+_made = itertools.count(1)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the session's shared spark.checkpoint.dir and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if next(_made) % RELEASE_EVERY == 0:
+        release(df.sparkSession)
+    return out
 
 
 def release(spark: SparkSession) -> None:

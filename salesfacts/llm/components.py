@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed
+from salesfacts.llm.common import checkpointed, small
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,10 +19,13 @@ def components(edges: DataFrame) -> DataFrame:
     both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("id"), F.least("a", "_m").alias("component")))
     while True:
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("component").alias("_m"))
-        step = labels.join(near, labels["id"] == near["a"]).select("id", F.col("component").alias("_old"), F.least("component", "_m").alias("_new"))
-        upper = step.select(F.col("id").alias("_up"), F.col("_new").alias("_root"))
-        step = checkpointed(step.join(upper, F.col("_new") == F.col("_up")).select("id", "_old", F.least("_new", "_root").alias("component")))
+        known = small(labels)  # broadcast while it is small: then a round has one shuffle
+        near = both.join(known, both["b"] == known["id"]).groupBy("a").agg(F.min("component").alias("_m"))
+        old = known.select(F.col("id").alias("_id"), F.col("component").alias("_old"))
+        up = known.select(F.col("id").alias("_up"), F.col("component").alias("_root"))
+        step = near.join(old, near["a"] == old["_id"]).select("_id", "_old", F.least("_old", "_m").alias("_new"))
+        step = checkpointed(step.join(up, F.col("_new") == F.col("_up")).select(
+            F.col("_id").alias("id"), "_old", F.least("_new", "_root").alias("component")))
         labels = step.select("id", "component")
         if not step.where(F.col("_old") != F.col("component")).limit(1).count():
             return labels

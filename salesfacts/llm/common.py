@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import itertools
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -43,6 +44,20 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table under spark.checkpoint.dir and read back.
+
+    As ``checkpointed``, for steps of iterations: the table is compressed and its size
+    is known to the planner. Such tables stay until the folder is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if next(_made) % RELEASE_EVERY == 0:
+        release(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 SMALL_ROWS = 2_000_000  # rows of a few numbers up to which a side is broadcast
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed, small
+from salesfacts.llm.common import small, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,17 +14,17 @@ def components(edges: DataFrame) -> DataFrame:
     Distributed union-find: each round gives an id the least label among its
     neighbours (aggregated before the shuffle, so a hub of any degree is no
     bottleneck) and then its label's label, which halves the depth of the label
-    trees. Labels are checkpointed each round, so the lineage stays short.
+    trees. Labels are stored each round, so the lineage stays short.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("id"), F.least("a", "_m").alias("component")))
+    both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    labels = stored(both.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("id"), F.least("a", "_m").alias("component")))
     while True:
         known = small(labels)  # broadcast while it is small: then a round has one shuffle
         near = both.join(known, both["b"] == known["id"]).groupBy("a").agg(F.min("component").alias("_m"))
         old = known.select(F.col("id").alias("_id"), F.col("component").alias("_old"))
         up = known.select(F.col("id").alias("_up"), F.col("component").alias("_root"))
         step = near.join(old, near["a"] == old["_id"]).select("_id", "_old", F.least("_old", "_m").alias("_new"))
-        step = checkpointed(step.join(up, F.col("_new") == F.col("_up")).select(
+        step = stored(step.join(up, F.col("_new") == F.col("_up")).select(
             F.col("_id").alias("id"), "_old", F.least("_new", "_root").alias("component")))
         labels = step.select("id", "component")
         if not step.where(F.col("_old") != F.col("component")).limit(1).count():

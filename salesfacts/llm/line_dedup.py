@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed, release, small
+from salesfacts.llm.common import release, small, stored
 from salesfacts.llm.components import components
 
 MIN_CHARS = 16
@@ -76,33 +76,33 @@ def _keys(lines: DataFrame) -> DataFrame:
 
 def _links(docs: DataFrame) -> DataFrame:
     """(a, b): hashes of lines confirmed alike."""
-    keys = checkpointed(_keys(_lines(docs)))
-    groups = checkpointed(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
-    active = checkpointed(keys.join(small(groups), "key"))
-    need = checkpointed(active.select("h").distinct())
+    keys = stored(_keys(_lines(docs)))
+    groups = stored(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
+    active = stored(keys.join(small(groups), "key"))
+    need = stored(active.select("h").distinct())
     texts = _lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))
     hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
-    texts = checkpointed(texts.select("h", "line", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")))
+    texts = stored(texts.select("h", "line", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")))
     links = seen = None
     while True:
         sizes = active.groupBy("key").agg(F.count("*").alias("m"), F.min("h").alias("rep")).where("m > 1")
-        met = checkpointed(active.join(sizes, "key"))
+        met = stored(active.join(sizes, "key"))
         few = met.where(F.col("m") <= LEAF).select("key", "h")
         pairs = (few.join(few.select("key", F.col("h").alias("rep")), "key").where("rep < h").select("h", "rep")
                  .union(met.where((F.col("m") > LEAF) & (F.col("h") != F.col("rep"))).select("h", "rep")).distinct())
-        pairs = checkpointed(pairs if seen is None else pairs.join(seen, ["h", "rep"], "left_anti"))
-        seen = pairs if seen is None else checkpointed(seen.union(pairs))
+        pairs = stored(pairs if seen is None else pairs.join(seen, ["h", "rep"], "left_anti"))
+        seen = pairs if seen is None else stored(seen.union(pairs))
         near = (pairs.join(texts.select("h", "sk"), "h").join(texts.select(F.col("h").alias("rep"), F.col("sk").alias("rep_sk")), "rep")
                 .where(F.size(F.array_intersect("sk", "rep_sk")) >= LIKELY * F.least(F.size("sk"), F.size("rep_sk"))).select("h", "rep"))
         sides = near.join(texts.select("h", "line"), "h").join(texts.select(F.col("h").alias("rep"), F.col("line").alias("rep_line")), "rep")
         sets = sides.select("h", "rep", F.expr(f"array_distinct({_shingles('line', SHINGLE)})").alias("a"),
                             F.expr(f"array_distinct({_shingles('rep_line', SHINGLE)})").alias("b"))
         sets = sets.select("h", "rep", (F.size("a") + F.size("b")).alias("total"), F.size(F.array_intersect("a", "b")).alias("common"))
-        found = checkpointed(sets.where(f"common >= {SIMILARITY} * (total - common) - 1e-9").select(F.col("rep").alias("a"), F.col("h").alias("b")))
-        links = found if links is None else checkpointed(links.union(found))
+        found = stored(sets.where(f"common >= {SIMILARITY} * (total - common) - 1e-9").select(F.col("rep").alias("a"), F.col("h").alias("b")))
+        links = found if links is None else stored(links.union(found))
         # In a large band, what is linked with the band's first line leaves it, and so does that line.
         left = met.where((F.col("m") > LEAF) & (F.col("h") != F.col("rep")))
-        active = checkpointed(left.join(links, (left["rep"] == links["a"]) & (left["h"] == links["b"]), "left_anti").select("key", "h"))
+        active = stored(left.join(links, (left["rep"] == links["a"]) & (left["h"] == links["b"]), "left_anti").select("key", "h"))
         release(docs.sparkSession)
         if not active.limit(1).count():
             return links
@@ -113,13 +113,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     lines = docs.select("doc_id", "text")
     links = _links(lines)
     component = components(links).select(F.col("id").alias("h"), "component")
-    places = _lines(lines).select("doc_id", "n", "h").join(small(checkpointed(component)), "h", "left").select(
+    places = _lines(lines).select("doc_id", "n", "h").join(small(stored(component)), "h", "left").select(
         "doc_id", "n", F.coalesce("component", "h").alias("component"))
-    places = checkpointed(places)
+    places = stored(places)
     first = places.groupBy("component").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("m")).where("m > 1")
-    first = checkpointed(first.select("component", F.col("first.doc_id").alias("_doc"), F.col("first.n").alias("_n")))
+    first = stored(first.select("component", F.col("first.doc_id").alias("_doc"), F.col("first.n").alias("_n")))
     extra = places.join(small(first), "component").where((F.col("doc_id") != F.col("_doc")) | (F.col("n") != F.col("_n")))
-    drops = checkpointed(extra.groupBy("doc_id").agg(F.sort_array(F.collect_set("n")).alias("_drop")))
+    drops = stored(extra.groupBy("doc_id").agg(F.sort_array(F.collect_set("n")).alias("_drop")))
     out = docs.drop("n_lines", "n_dropped").join(drops.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
     kept = F.expr("array_join(filter(split(text, '\\n'), (x, i) -> NOT array_contains(_drop, i)), '\\n')")
     return (out.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0)))

@@ -13,8 +13,9 @@ Candidates that share enough of their ``SKETCH`` smallest hashes of all shingles
 are confirmed by the exact Jaccard similarity of their full sets of
 ``SHINGLE``-character shingles. Bands of at most ``LEAF`` lines are compared
 exhaustively. In larger ones the members are compared with the band's first line;
-those that are not linked stay for the next round, until the band is small or
-spent, so no large band is compared all against all and none is cut. The links'
+those that are not linked stay for the next round, in which bands of twice the
+size count as small (``MOST_LEAF`` at most), until the band is small or spent. So
+no large band is compared all against all and none is cut. The links'
 components keep the one line that stands first (by doc_id, then place).
 
 Defined results: null text stays null and has no lines; empty and short lines are
@@ -35,7 +36,7 @@ MIN_CHARS = 16
 SIMILARITY = 0.8
 SHINGLE, WIDE = 5, 12
 BOTTOM = 4
-LEAF = 16  # lines up to which a band is compared all against all
+LEAF, MOST_LEAF = 16, 512  # lines up to which a band is compared all against all, in the first round and at most
 SKETCH, LIKELY = 16, 0.375  # smallest hashes of all shingles; the share that alike lines are sure to have in common
 FEW = 6  # below this many sampled shingles a coarser sample says too little
 
@@ -84,12 +85,13 @@ def _links(docs: DataFrame) -> DataFrame:
     hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
     texts = stored(texts.select("h", "line", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")))
     links = seen = None
+    leaf = LEAF
     while True:
         sizes = active.groupBy("key").agg(F.count("*").alias("m"), F.min("h").alias("rep")).where("m > 1")
         met = stored(active.join(sizes, "key"))
-        few = met.where(F.col("m") <= LEAF).select("key", "h")
+        few = met.where(F.col("m") <= leaf).select("key", "h")
         pairs = (few.join(few.select("key", F.col("h").alias("rep")), "key").where("rep < h").select("h", "rep")
-                 .union(met.where((F.col("m") > LEAF) & (F.col("h") != F.col("rep"))).select("h", "rep")).distinct())
+                 .union(met.where((F.col("m") > leaf) & (F.col("h") != F.col("rep"))).select("h", "rep")).distinct())
         pairs = stored(pairs if seen is None else pairs.join(seen, ["h", "rep"], "left_anti"))
         seen = pairs if seen is None else stored(seen.union(pairs))
         near = (pairs.join(texts.select("h", "sk"), "h").join(texts.select(F.col("h").alias("rep"), F.col("sk").alias("rep_sk")), "rep")
@@ -101,8 +103,9 @@ def _links(docs: DataFrame) -> DataFrame:
         found = stored(sets.where(f"common >= {SIMILARITY} * (total - common) - 1e-9").select(F.col("rep").alias("a"), F.col("h").alias("b")))
         links = found if links is None else stored(links.union(found))
         # In a large band, what is linked with the band's first line leaves it, and so does that line.
-        left = met.where((F.col("m") > LEAF) & (F.col("h") != F.col("rep")))
+        left = met.where((F.col("m") > leaf) & (F.col("h") != F.col("rep")))
         active = stored(left.join(links, (left["rep"] == links["a"]) & (left["h"] == links["b"]), "left_anti").select("key", "h"))
+        leaf = min(2 * leaf, MOST_LEAF)
         release(docs.sparkSession)
         if not active.limit(1).count():
             return links

@@ -8,7 +8,8 @@ ids with the vocabulary and aggregates the bytes in position order.
 
 Words over ``LONG_WORD`` bytes (runs without any break) would need as many
 iterations as they have bytes, each over all their rows; the same rule is applied
-to them over a heap of pairs, which is exact as well.
+to them over a heap of pairs, which is exact as well. The query keeps the rows of all
+its steps, about half the square of a word's length; its runs are bounded by that.
 
 Defined results: null text gives no ids; repeated rows are encoded each; an empty
 table gives no rows; input columns named ``ids`` / ``decoded`` are replaced.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField
@@ -26,6 +28,7 @@ from salesfacts.llm.common import append_columns
 
 LONG_WORD = 256
 CACHE_WORDS = 350_000
+BATCH_WORDS, BATCH_SQUARES = 40_000, 8_000_000  # words of a run of the recursive query, and the sum of their squared lengths
 
 ENCODE = """
 WITH RECURSIVE step AS (
@@ -56,6 +59,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+def _runs(items: list, squares: list[int]) -> Iterator[list]:
+    """Cut items into runs of at most ``BATCH_WORDS`` whose squares sum up to at most ``BATCH_SQUARES``."""
+    start, held = 0, 0
+    for i, n in enumerate(squares):
+        if i > start and (held + n > BATCH_SQUARES or i - start == BATCH_WORDS):
+            yield items[start:i]
+            start, held = i, 0
+        held += n
+    if start < len(items):
+        yield items[start:]
+
+
 class Bpe:
     """The merge table and vocabulary in DuckDB, with words remembered in two generations of ``cache_words``."""
 
@@ -95,8 +110,7 @@ class Bpe:
         out: list[bytes] = [b""] * len(words)
         short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
         of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        for at in range(0, len(short), 40_000):
-            part = short[at:at + 40_000]
+        for part in _runs(short, [len(words[i]) ** 2 for i in short]):
             self._rows("positions", [words[i] for i in part], "word", of_byte)
             got = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
             offsets = (4 * got.offsets.to_numpy()).tolist()

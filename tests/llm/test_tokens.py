@@ -133,3 +133,11 @@ def test_a_length_that_all_pieces_share_is_ranked_by_many_shares(spark):
                                      F.lit(300).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"))
     rows = place(parts).collect()
     assert len(rows) == 5000 and len(_gapless(rows)) == -(-5000 // 6)
+
+
+def test_many_distinct_long_words_fit_the_memory(bpe):
+    rng = np.random.default_rng(3)
+    words = [rng.integers(97, 123, rng.integers(230, 251), dtype=np.uint8).tobytes() for _ in range(1300)]
+    got = bpe.encode_words(words)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got[::40]] == [bpe.contract_long(w) for w in words[::40]]
+    assert bpe.decode(got) == words

@@ -38,7 +38,8 @@ class WordTokenizer:
     are those of its space-separated words, joined. It also lower-cases, so words
     are remembered with A-Z lower-cased (not in texts with combining marks, which
     compose with some lower-case letters only). Two generations of at most
-    ``cache_words`` words bound the memory.
+    ``cache_words`` words bound the memory. A text that holds an added token, such
+    as <|endoftext|>, is encoded whole: the tokenizer cuts it there first.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -48,7 +49,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.limit, self.young, self.old = cache_words, {"": b""}, {}
 
     def _learn(self, words: list[str]) -> None:
@@ -65,14 +67,20 @@ class WordTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(t if _COMBINING.search(t) else t.encode().lower().decode()).replace("\n", " ").split(" ") if t else [] for t in texts]
+        whole = [bool(t and self.added and self.added.search(t)) for t in texts]
+        split = [[] if w else (t if _COMBINING.search(t) else t.encode().lower().decode()).replace("\n", " ").split(" ") if t else [] for t, w in zip(texts, whole)]
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {"": b""}
         need = set().union(*split).difference(self.young) if split else set()
         known = need & self.old.keys()
         self.young.update((w, self.old[w]) for w in known)
         self._learn(sorted(need - known))
-        return [b"".join(map(self.young.__getitem__, words)) for words in split]
+        return [self._whole(t) if w else b"".join(map(self.young.__getitem__, words)) for t, w, words in zip(texts, whole, split)]
+
+    def _whole(self, text: str) -> bytes:
+        import numpy as np
+
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -141,3 +141,11 @@ def test_many_distinct_long_words_fit_the_memory(bpe):
     got = bpe.encode_words(words)
     assert [np.frombuffer(x, "<u4").tolist() for x in got[::40]] == [bpe.contract_long(w) for w in words[::40]]
     assert bpe.decode(got) == words
+
+
+
+def test_added_tokens_equal_the_unchanged_tokenizer():
+    tok = Tokenizer.from_file(WORDS)
+    texts = ["a b <|endoftext|> c", "x<|startoftext|>y", "<|endoftext|>", "<|ENDOFTEXT|> z", "<|endoftext| > Plain text", "ordinary words", ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in WordTokenizer(WORDS, 5).encode(texts)] == [
+        e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]

@@ -11,12 +11,20 @@ in lines with few of these, at any word; in lines with few words, all shingles o
 
 Candidates that share enough of their ``SKETCH`` smallest hashes of all shingles
 are confirmed by the exact Jaccard similarity of their full sets of
-``SHINGLE``-character shingles. Bands of at most ``LEAF`` lines are compared
-exhaustively. In larger ones the members are compared with the band's first line;
-those that are not linked stay for the next round, in which bands of twice the
-size count as small (``MOST_LEAF`` at most), until the band is small or spent. So
-no large band is compared all against all and none is cut. The links'
-components keep the one line that stands first (by doc_id, then place).
+``SHINGLE``-character shingles, but not those already of one component. Each round:
+
+* a band of at most ``LEAF`` lines (``GROWTH`` times more each round, ``MOST_LEAF``
+  at most) is compared exhaustively;
+* one with at most so many lines outside its largest component compares those
+  with all of it;
+* in any other band all lines are compared with one line, chosen by hash, and all
+  stay for the next round; once the limit is ``MOST_LEAF``, in smaller bands of
+  those that also share one of their rarer sketch values (``_split``).
+
+So linked lines stay members until their band is one component or compared. A
+split loses a pair only if it has no sketch value in common but those of the
+whole band. The links' components keep the one line that stands first (by doc_id,
+then place).
 
 Defined results: null text stays null and has no lines; empty and short lines are
 kept; a null doc_id keeps its row unchanged; rows that repeat a doc_id share their
@@ -26,6 +34,8 @@ table gives no rows; ``n_lines`` and ``n_dropped`` replace columns of that name.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +46,7 @@ MIN_CHARS = 16
 SIMILARITY = 0.8
 SHINGLE, WIDE = 5, 12
 BOTTOM = 4
-LEAF, MOST_LEAF = 16, 512  # lines up to which a band is compared all against all, in the first round and at most
+LEAF, MOST_LEAF, GROWTH = 32, 512, 4  # lines up to which a band is compared all against all, in the first round and at most; its growth a round
 SKETCH, LIKELY = 16, 0.375  # smallest hashes of all shingles; the share that alike lines are sure to have in common
 FEW = 6  # below this many sampled shingles a coarser sample says too little
 
@@ -75,8 +85,23 @@ def _keys(lines: DataFrame) -> DataFrame:
     return some.select(F.explode(F.concat(_bands("_la"), _bands("_lb"), _bands("_lc"))).alias("key"), "h").distinct()
 
 
+def _split(wide: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, h) of smaller bands: members that also share one of their rarer sketch values.
+
+    Of each member's values in order of their number in the band, as many lead to a
+    band that two lines with ``LIKELY`` of their values in common share one. A value
+    that all members have does not split.
+    """
+    values = wide.select("key", "h", "m").join(texts.select("h", F.explode("sk").alias("v")), "h")
+    counts = values.groupBy("key", "v").agg(F.count("*").alias("f"))
+    ranked = values.join(counts, ["key", "v"]).groupBy("key", "h", "m").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("_v"))
+    rare = ranked.select("key", "h", "m", F.explode(F.expr(f"slice(_v, 1, size(_v) - CAST(ceil({LIKELY} * size(_v)) AS INT) + 1)")).alias("_r"))
+    return rare.where((F.col("_r.f") > 1) & (F.col("_r.f") < F.col("m"))).select((F.col("key").bitwiseXOR(F.xxhash64("_r.v"))).alias("key"), "h").distinct()
+
+
 def _links(docs: DataFrame) -> DataFrame:
     """(a, b): hashes of lines confirmed alike."""
+    spark = docs.sparkSession
     keys = stored(_keys(_lines(docs)))
     groups = stored(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
     active = stored(keys.join(small(groups), "key"))
@@ -84,29 +109,44 @@ def _links(docs: DataFrame) -> DataFrame:
     texts = _lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))
     hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
     texts = stored(texts.select("h", "line", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")))
-    links = seen = None
+    links = spark.createDataFrame([], "a long, b long")
+    known = spark.createDataFrame([], "id long, component long")
+    seen = None
     leaf = LEAF
     while True:
-        sizes = active.groupBy("key").agg(F.count("*").alias("m"), F.min("h").alias("rep")).where("m > 1")
-        met = stored(active.join(sizes, "key"))
-        few = met.where(F.col("m") <= leaf).select("key", "h")
-        pairs = (few.join(few.select("key", F.col("h").alias("rep")), "key").where("rep < h").select("h", "rep")
-                 .union(met.where((F.col("m") > leaf) & (F.col("h") != F.col("rep"))).select("h", "rep")).distinct())
+        merged = small(known)
+        marked = active.join(merged, active["h"] == merged["id"], "left").select("key", "h", F.coalesce("component", "h").alias("comp"))
+        marked = stored(marked)
+        parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
+        bands = parts.groupBy("key").agg(F.sum("n").alias("m"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+        met = stored(marked.join(bands, "key").select("key", "h", "comp", "m", F.col("top.comp").alias("top"), (F.col("m") - F.col("top.n")).alias("outside")))
+        few = met.where(F.col("m") <= leaf)
+        ruled = met.where((F.col("m") > leaf) & (F.col("outside") <= leaf))
+        wide = met.where((F.col("m") > leaf) & (F.col("outside") > leaf))
+        other = lambda rows: rows.select("key", F.col("h").alias("rep"), F.col("comp").alias("rep_comp"))
+        pivots = wide.groupBy("key").agg(F.min(F.struct(F.xxhash64("h", F.lit(leaf)).alias("o"), "h", "comp")).alias("p")).select(
+            "key", F.col("p.h").alias("rep"), F.col("p.comp").alias("rep_comp"))
+        # Within a small band all; else what is outside the largest component with all; else all with one line.
+        pairs = reduce(DataFrame.union, [rows.join(others, "key").where("comp <> rep_comp").select(
+            F.greatest("h", "rep").alias("h"), F.least("h", "rep").alias("rep"))
+            for rows, others in ((few, other(few)), (ruled, other(ruled.where("comp <> top"))), (wide, pivots))]).distinct()
         pairs = stored(pairs if seen is None else pairs.join(seen, ["h", "rep"], "left_anti"))
         seen = pairs if seen is None else stored(seen.union(pairs))
         near = (pairs.join(texts.select("h", "sk"), "h").join(texts.select(F.col("h").alias("rep"), F.col("sk").alias("rep_sk")), "rep")
                 .where(F.size(F.array_intersect("sk", "rep_sk")) >= LIKELY * F.least(F.size("sk"), F.size("rep_sk"))).select("h", "rep"))
         sides = near.join(texts.select("h", "line"), "h").join(texts.select(F.col("h").alias("rep"), F.col("line").alias("rep_line")), "rep")
-        sets = sides.select("h", "rep", F.expr(f"array_distinct({_shingles('line', SHINGLE)})").alias("a"),
-                            F.expr(f"array_distinct({_shingles('rep_line', SHINGLE)})").alias("b"))
-        sets = sets.select("h", "rep", (F.size("a") + F.size("b")).alias("total"), F.size(F.array_intersect("a", "b")).alias("common"))
+        # explode() of one struct keeps the optimiser from computing the sets once for each use.
+        sets = sides.select("h", "rep", F.explode(F.array(F.struct(F.expr(f"array_distinct({_shingles('line', SHINGLE)})").alias("a"),
+                                                                   F.expr(f"array_distinct({_shingles('rep_line', SHINGLE)})").alias("b")))).alias("s"))
+        sets = sets.select("h", "rep", F.explode(F.array(F.struct((F.size("s.a") + F.size("s.b")).alias("total"),
+                                                                  F.size(F.array_intersect("s.a", "s.b")).alias("common")))).alias("s")).select("h", "rep", "s.*")
         found = stored(sets.where(f"common >= {SIMILARITY} * (total - common) - 1e-9").select(F.col("rep").alias("a"), F.col("h").alias("b")))
-        links = found if links is None else stored(links.union(found))
-        # In a large band, what is linked with the band's first line leaves it, and so does that line.
-        left = met.where((F.col("m") > leaf) & (F.col("h") != F.col("rep")))
-        active = stored(left.join(links, (left["rep"] == links["a"]) & (left["h"] == links["b"]), "left_anti").select("key", "h"))
-        leaf = min(2 * leaf, MOST_LEAF)
-        release(docs.sparkSession)
+        if found.limit(1).count():
+            links = stored(links.union(found))
+            known = components(links)
+        active = stored(_split(wide, texts) if leaf == MOST_LEAF else wide.select("key", "h"))
+        leaf = min(GROWTH * leaf, MOST_LEAF)
+        release(spark)
         if not active.limit(1).count():
             return links
 

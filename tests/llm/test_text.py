@@ -88,3 +88,37 @@ def test_alike_lines_keep_the_first(spark, odd_docs):
     odd = {r["doc_id"]: r["text"] for r in dedup_lines(odd_docs).where("doc_id in (6, 10)").collect()}
     assert odd[6] == "" and odd[10] == "line one of the text\n\nother"
     assert dedup_lines(empty(odd_docs)).count() == 0
+
+
+def _grams(line):
+    return frozenset(line[i:i + 5] for i in range(len(line) - 4))
+
+
+def _classes(lines):
+    """Number of components of the lines under Jaccard >= 0.8, by brute force."""
+    sets, up = [_grams(x) for x in lines], list(range(len(lines)))
+
+    def find(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for i in range(len(lines)):
+        for j in range(i):
+            if find(i) != find(j) and (c := len(sets[i] & sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - c) - 1e-9:
+                up[find(i)] = find(j)
+    return len({find(i) for i in range(len(lines))})
+
+
+def test_large_bands_equal_brute_force(spark):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(2000)]
+    base = [rng.choice(vocabulary) for _ in range(80)]
+    lines = []
+    for _ in range(300):
+        line = list(base)
+        for _ in range(5):
+            line[rng.randrange(80)] = rng.choice(vocabulary)
+        lines.append(" ".join(line))
+    got = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("n_dropped = 0").count()
+    assert got == _classes(lines)

@@ -3,11 +3,8 @@
 A line's normal form is lower-cased and trimmed; lines of at least ``MIN_CHARS``
 characters take part. Equal lines are one (by a 64-bit hash). A line's signature is
 the ``BOTTOM`` smallest hashes of its character shingles, and each pair of them is a
-band: lines that share a band are candidates. To keep signatures cheap they use a
-sample of the shingles that the text itself picks, the same in both of two alike
-lines: shingles of ``WIDE`` characters that begin at a word with an initial a to h;
-in lines with few of these, at any word; in lines with few words, all shingles of
-``SHINGLE`` characters. A line near a limit uses both kinds.
+band: lines that share a band are candidates. All ``SHINGLE``-character shingles
+count, the same ones that the exact comparison uses.
 
 Candidates that share enough of their ``SKETCH`` smallest hashes of all shingles
 are confirmed by the exact Jaccard similarity of their full sets of
@@ -44,11 +41,10 @@ from salesfacts.llm.components import components
 
 MIN_CHARS = 16
 SIMILARITY = 0.8
-SHINGLE, WIDE = 5, 12
+SHINGLE = 5
 BOTTOM = 4
 LEAF, MOST_LEAF, GROWTH = 32, 512, 4  # lines up to which a band is compared all against all, in the first round and at most; its growth a round
 SKETCH, LIKELY = 16, 0.375  # smallest hashes of all shingles; the share that alike lines are sure to have in common
-FEW = 6  # below this many sampled shingles a coarser sample says too little
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -62,27 +58,21 @@ def _shingles(line: str, size: int) -> str:
     return f"regexp_extract_all({line}, '(?=(.{{{size}}}))', 1)"
 
 
-def _lowest(shingles: str, kind: int) -> Column:
-    """The ``BOTTOM`` smallest distinct hashes of an array of shingles."""
-    return F.slice(F.sort_array(F.array_distinct(F.expr(f"transform({shingles}, x -> xxhash64({kind}, x))"))), 1, BOTTOM)
-
-
 def _bands(low: str) -> Column:
     """A key for each pair of the smallest hashes; for a line with one shingle only that."""
     pairs = [F.when(F.size(low) > j, F.xxhash64(F.col(low)[i], F.col(low)[j])) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
     return F.when(F.size(low) == 1, F.array(F.xxhash64(F.col(low)[0]))).otherwise(F.array_compact(F.array(*pairs)))
 
 
-def _keys(lines: DataFrame) -> DataFrame:
-    """(key, h), distinct. Each step is a column of its own, so that it is computed once."""
-    some = lines.withColumn("_a", F.expr(f"regexp_extract_all(line, ' (?=([a-h].{{{WIDE - 1}}}))', 1)"))
-    some = some.withColumn("_b", F.when(F.size("_a") < 2 * FEW, F.expr(f"regexp_extract_all(line, ' (?=(.{{{WIDE}}}))', 1)")))
-    some = some.withColumn("_c", F.when((F.size("_a") < 2 * FEW) & (F.size("_b") < 2 * FEW), F.expr(_shingles("line", SHINGLE))))
-    none = F.expr("CAST(array() AS ARRAY<BIGINT>)")
-    some = some.select("h", F.when(F.size("_a") >= FEW, _lowest("_a", 1)).otherwise(none).alias("_la"),
-                       F.when(F.col("_b").isNotNull() & (F.size("_b") >= FEW), _lowest("_b", 2)).otherwise(none).alias("_lb"),
-                       F.when(F.col("_c").isNotNull(), _lowest("_c", 3)).otherwise(none).alias("_lc"))
-    return some.select(F.explode(F.concat(_bands("_la"), _bands("_lb"), _bands("_lc"))).alias("key"), "h").distinct()
+def _sketches(lines: DataFrame) -> DataFrame:
+    """(h, sk), distinct: the ``SKETCH`` smallest hashes of all of a line's shingles."""
+    hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
+    return lines.select("h", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")).distinct()
+
+
+def _keys(sketches: DataFrame) -> DataFrame:
+    """(key, h), distinct."""
+    return sketches.select(F.explode(_bands("sk")).alias("key"), "h").distinct()
 
 
 def _split(wide: DataFrame, texts: DataFrame) -> DataFrame:
@@ -102,13 +92,13 @@ def _split(wide: DataFrame, texts: DataFrame) -> DataFrame:
 def _links(docs: DataFrame) -> DataFrame:
     """(a, b): hashes of lines confirmed alike."""
     spark = docs.sparkSession
-    keys = stored(_keys(_lines(docs)))
+    sketches = stored(_sketches(_lines(docs)))
+    keys = stored(_keys(sketches))
     groups = stored(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
     active = stored(keys.join(small(groups), "key"))
     need = stored(active.select("h").distinct())
     texts = _lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))
-    hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
-    texts = stored(texts.select("h", "line", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")))
+    texts = stored(texts.join(sketches, "h"))
     links = spark.createDataFrame([], "a long, b long")
     known = spark.createDataFrame([], "id long, component long")
     seen = None

@@ -122,3 +122,22 @@ def test_large_bands_equal_brute_force(spark):
         lines.append(" ".join(line))
     got = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("n_dropped = 0").count()
     assert got == _classes(lines)
+
+
+def test_pairs_just_alike_are_found(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    while len(rows) < 600:
+        line = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 10))) for _ in range(100))
+        other, a, b = list(line), _grams(line), frozenset()
+        while True:
+            at = rng.randrange(len(other))
+            other[at] = rng.choice(letters)
+            b = _grams("".join(other))
+            if len(a & b) < 0.81 * len(a | b):
+                break
+        if len(a & b) >= 0.8 * len(a | b):
+            rows += [(len(rows), line), (len(rows) + 1, "".join(other))]
+    dropped = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_dropped = 1").count()
+    assert dropped >= 0.98 * len(rows) / 2

@@ -41,7 +41,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of alike lines the first stays; a document keeps its row even if all its lines stand elsewhere."""
-    return _counted(dedup_lines(docs), docs.columns)
+    return _counted(dedup_lines(docs, short_repeats=True), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,8 +23,8 @@ split loses a pair only if it has no sketch value in common but those of the
 whole band. The links' components keep the one line that stands first (by doc_id,
 then place).
 
-Defined results: null text stays null and has no lines; empty and short lines are
-kept; a null doc_id keeps its row unchanged; rows that repeat a doc_id share their
+Defined results: null text stays null and has no lines; blank lines are kept,
+short ones unless ``short_repeats`` (then the first of equal ones is); a null doc_id keeps its row unchanged; rows that repeat a doc_id share their
 decisions; a document may lose all its lines and then has an empty text; an empty
 table gives no rows; ``n_lines`` and ``n_dropped`` replace columns of that name.
 """
@@ -47,10 +47,11 @@ LEAF, MOST_LEAF, GROWTH = 32, 512, 4  # lines up to which a band is compared all
 SKETCH, LIKELY = 16, 0.375  # smallest hashes of all shingles; the share that alike lines are sure to have in common
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, line, h) of the lines that take part; line in normal form."""
+def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    """(doc_id, n, line, h) of the lines that take part (``short``: of all that are not blank); line in normal form."""
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "raw"))
-    rows = rows.select("doc_id", "n", F.trim(F.lower("raw")).alias("line")).where(F.char_length("line") >= MIN_CHARS)
+    rows = rows.select("doc_id", "n", F.trim(F.lower("raw")).alias("line")).where(
+        F.col("line").rlike(r"\S") if short else F.char_length("line") >= MIN_CHARS)
     return rows.withColumn("h", F.xxhash64("line"))
 
 
@@ -141,12 +142,15 @@ def _links(docs: DataFrame) -> DataFrame:
             return links
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with repeated lines dropped from ``text``, plus n_lines and n_dropped."""
+def dedup_lines(docs: DataFrame, short_repeats: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with repeated lines dropped from ``text``, plus n_lines and n_dropped.
+
+    ``short_repeats``: exact repeats of lines too short for shingles go, too, unless blank.
+    """
     lines = docs.select("doc_id", "text")
     links = _links(lines)
     component = components(links).select(F.col("id").alias("h"), "component")
-    places = _lines(lines).select("doc_id", "n", "h").join(small(stored(component)), "h", "left").select(
+    places = _lines(lines, short_repeats).select("doc_id", "n", "h").join(small(stored(component)), "h", "left").select(
         "doc_id", "n", F.coalesce("component", "h").alias("component"))
     places = stored(places)
     first = places.groupBy("component").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("m")).where("m > 1")

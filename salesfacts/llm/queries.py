@@ -49,7 +49,7 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from salesfacts.llm.line_dedup import dedup_lines
 
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", "text")
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short_repeats=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

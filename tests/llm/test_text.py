@@ -141,3 +141,9 @@ def test_pairs_just_alike_are_found(spark):
             rows += [(len(rows), line), (len(rows) + 1, "".join(other))]
     dropped = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_dropped = 1").count()
     assert dropped >= 0.98 * len(rows) / 2
+
+
+def test_short_repeats_go_on_request(spark):
+    df = spark.createDataFrame([(1, "Yes.\n\nno"), (2, "yes.\n \n\t\nno\nother"), (None, "no")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in dedup_lines(df, short_repeats=True).collect()}
+    assert got == {1: ("Yes.\n\nno", 0), 2: (" \n\t\nother", 2), None: ("no", 0)}

@@ -5,6 +5,12 @@ START a probability from up to ``order - 1`` symbols before it in the word. Work
 on characters keeps the model's size near that of the language, while a word never
 seen still gets a probability from its parts.
 
+A token may carry the end of the word before it: ``tail + "\\n" + word``. Its symbols
+are the tail, START, the word's characters, END; only those after START are
+predicted, but the n-grams reach into the tail. So models cross word edges. A tail
+has ``order - 2`` symbols, or is the whole word before it with its START. N-grams that
+begin with START keep their raw counts.
+
 Training counts n-grams with Spark (raw counts for the highest order and for
 n-grams at a word's start, distinct left neighbours for the others), takes the
 three discounts of each order from its counts of counts, and writes the model as
@@ -52,9 +58,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of the words in a row, each symbol's place in its word, and each word's symbol count."""
-    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def word_symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of the tokens in a row, each symbol's place in its token, each token's symbol count, and which symbols are predicted."""
+    joined = "".join(words)
+    if "\n" in joined:
+        return _tailed_symbols(words)
+    flat = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(lens + 2)
     out = np.full(int(ends[-1]) if len(words) else 0, END, dtype=np.uint64)
@@ -65,7 +74,21 @@ def word_symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner[starts] = False
     inner[ends - 1] = False
     out[inner] = flat
-    return out, place, lens + 2
+    return out, place, lens + 2, place >= 1
+
+
+def _tailed_symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    whole = [w if "\n" in w else "\n" + w for w in words]
+    lens = np.fromiter(map(len, whole), dtype=np.int64, count=len(whole)) + 1
+    edges = np.fromiter((w.index("\n") for w in whole), dtype=np.int64, count=len(whole))
+    ends = np.cumsum(lens)
+    place = np.arange(int(ends[-1])) - np.repeat(ends - lens, lens)
+    out = np.full(int(ends[-1]), END, dtype=np.uint64)
+    inner = np.ones(len(out), dtype=bool)
+    inner[ends - 1] = False
+    out[inner] = np.frombuffer("".join(whole).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    out[ends - lens + edges] = START
+    return out, place, lens, place > np.repeat(edges, lens)
 
 
 def gram_hashes(symbols: np.ndarray, order: int) -> list[np.ndarray]:
@@ -115,16 +138,16 @@ def _untag(df: DataFrame) -> DataFrame:
 
 
 def _grams(cls: int, words: Counter, order: int):
-    symbols, place, lens = word_symbols(list(words))
+    symbols, place, lens, predicted = word_symbols(list(words))
     times = np.repeat(np.fromiter(words.values(), dtype=np.int64, count=len(words)), lens)
     h = gram_hashes(symbols, order)
     for k in range(1, order + 1):
-        at = np.flatnonzero(place >= max(k - 1, 1))
+        at = np.flatnonzero((place >= k - 1) & predicted)
         grams, first, back = np.unique(h[k][at], return_index=True, return_inverse=True)
         first = at[first]
         n = len(grams)
         yield pa.RecordBatch.from_arrays([
-            pa.array((64 * (cls + 1) + 2 * k + (place[first] == k - 1)).astype(np.int32)), pa.array(grams.view(np.int64)),
+            pa.array((64 * (cls + 1) + 2 * k + (symbols[first - k + 1] == START)).astype(np.int32)), pa.array(grams.view(np.int64)),
             pa.array(h[k - 1][first - 1].view(np.int64)), pa.array(h[k - 1][first].view(np.int64)),
             pa.array(np.bincount(back, weights=times[at]).astype(np.int64))], names=["tag", "gram", "ctx", "suffix", "c"])
 
@@ -177,7 +200,7 @@ def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> D
 
 def distinct_keys(words: list[str], order: int) -> np.ndarray:
     """Sorted keys of all n-grams and contexts of the words. A context of one order is an n-gram of the order below."""
-    symbols, place, _ = word_symbols(words)
+    symbols, place, *_ = word_symbols(words)
     h = gram_hashes(symbols, order)
     grams = [np.zeros(1, dtype=np.uint64)] + [pd.unique(h[k][place >= k - 1]) for k in range(1, order + 1)]
     return np.unique(np.concatenate([gram_key(grams[k], k) for k in range(1, order + 1)] + [context_key(grams[k - 1], k) for k in range(1, order + 1)]))
@@ -185,7 +208,7 @@ def distinct_keys(words: list[str], order: int) -> np.ndarray:
 
 def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarray) -> np.ndarray:
     """(words, classes) log-probabilities; ``values`` (keys, classes). Absent n-grams count 0, absent contexts leave all weight below."""
-    symbols, place, lens = word_symbols(words)
+    symbols, place, lens, predicted = word_symbols(words)
     h = gram_hashes(symbols, order)
     classes = values.shape[1]
 
@@ -201,7 +224,7 @@ def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarr
         number, grams = pd.factorize(h[k][valid])
         code = np.zeros(len(symbols), dtype=np.int64)
         code[valid] = number
-        at = valid[place[valid] >= 1]
+        at = valid[predicted[valid]]
         shares = look(gram_key(grams, k), 0.0)
         for c in range(classes):
             p[c][at] = shares[:, c][code[at]] + weights[:, c][below[at - 1]] * p[c][at]
@@ -210,7 +233,7 @@ def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarr
     out = np.empty((len(words), classes))
     for c in range(classes):
         logs = np.log(np.maximum(p[c], 1e-12))
-        logs[place == 0] = 0  # START is given
+        logs[~predicted] = 0  # START and what stands before it are given
         out[:, c] = np.bincount(owner, weights=logs, minlength=len(words))
     return out
 
@@ -341,7 +364,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             number.update(zip(new, range(len(number), len(number) + len(new))))
             if new:
                 logs = np.concatenate([logs, word_logprobs(new, order, keys, vals)])
-                sizes = np.concatenate([sizes, np.fromiter(map(len, new), dtype=np.float64, count=len(new)) + 1])
+                sizes = np.concatenate([sizes, np.fromiter((len(w) - w.find("\n") for w in new), dtype=np.float64, count=len(new))])
             rows = []
             for words in run:
                 w = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))

@@ -1,7 +1,7 @@
 """Quality by perplexity under a Kneser-Ney model of trusted text.
 
-An interpolated modified Kneser-Ney model over the characters of words
-(``kneser_ney``) is trained on all trusted texts: those labelled of good quality. A
+An interpolated modified Kneser-Ney model over the characters of words and across
+their edges (``kneser_ney``) is trained on all trusted texts: those labelled of good quality. A
 document's perplexity is exp of its mean negative log-likelihood a symbol, found by
 sharded joins with the model's counts. Each language has its own threshold: the
 ``quantile`` of the perplexities of its trusted texts. Documents above it are not
@@ -16,6 +16,8 @@ words are kept; repeated rows get the same result; an empty table gives no rows;
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +26,15 @@ from salesfacts.llm.common import checkpointed
 from salesfacts.llm.kneser_ney import count_grams, score, train
 from salesfacts.llm.toxicity import SMALL_LABELS, text_id
 
-ORDER = 4
+ORDER = 5
 QUANTILE = 0.98
 
 
-def tokens(text: str) -> list[str]:
-    return text.split()
+def tokens(text: str, order: int = ORDER) -> list[str]:
+    """The words, each after the last symbols of the word before it (``kneser_ney``)."""
+    words = text.split()
+    tails = {w: ("\x02" + w)[2 - order:] if order > 2 else "" for w in set(words)}
+    return words[:1] + [f"{tails[a]}\n{b}" for a, b in zip(words, words[1:])]
 
 
 def features(logs: np.ndarray, sizes: np.ndarray) -> list[float]:
@@ -42,9 +47,10 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE,
     if trusted.count() <= SMALL_LABELS:
         trusted = F.broadcast(trusted)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"), "lang")
-    counts = count_grams(texts.join(trusted, "_id").select(F.lit(0).alias("cls"), "text"), order, tokens)
+    split = partial(tokens, order=order)
+    counts = count_grams(texts.join(trusted, "_id").select(F.lit(0).alias("cls"), "text"), order, split)
     model = train(counts, order)
-    scored = score(texts.select(text_id(F.col("text")).alias("id"), "text"), model, order, 1, tokens, features, ["logs", "symbols"]).dropDuplicates(["id"])
+    scored = score(texts.select(text_id(F.col("text")).alias("id"), "text"), model, order, 1, split, features, ["logs", "symbols"]).dropDuplicates(["id"])
     scored = checkpointed(scored.select(F.col("id").alias("_text_id"), F.when(F.col("symbols") > 0, F.exp(-F.col("logs") / F.col("symbols"))).alias("perplexity")))
     sample = texts.join(trusted, "_id").select("lang", text_id(F.col("text")).alias("_text_id")).join(scored, "_text_id").where("perplexity IS NOT NULL")
     limits = sample.rollup("lang").agg(F.grouping("lang").alias("_all"), F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))

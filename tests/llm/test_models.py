@@ -113,3 +113,14 @@ def test_quality_by_language(spark, odd_docs):
     assert sum(good) >= 0.95 * len(good)
     assert quality(odd_docs, empty(labels).select("doc_id")).where("kept").count() > 0
     assert quality(empty(odd_docs), labels.select("doc_id")).count() == 0
+
+
+def test_word_order_counts(spark):
+    rng = random.Random(5)
+    pairs = [("".join(rng.choice("aeiou") + rng.choice("bdg") for _ in range(3)), rng.choice("klmnprst") + "".join(rng.choice("aeiou") for _ in range(3)))
+             for _ in range(40)]
+    rows = [(i, " ".join(f"{a} {b}" for a, b in (rng.choice(pairs) for _ in range(25))), "en") for i in range(200)]
+    mixed = [" ".join(rng.sample(t.split(), 50)) for _, t, _ in rows[:40]]
+    docs = spark.createDataFrame(rows + [(1000 + i, t, "en") for i, t in enumerate(mixed)], "doc_id long, text string, lang string")
+    done = {r["doc_id"]: r["perplexity"] for r in quality(docs, spark.range(200).select(F.col("id").alias("doc_id"))).collect()}
+    assert sum(done[1000 + i] > 1.2 * done[i] for i in range(40)) >= 38

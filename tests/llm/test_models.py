@@ -124,3 +124,9 @@ def test_word_order_counts(spark):
     docs = spark.createDataFrame(rows + [(1000 + i, t, "en") for i, t in enumerate(mixed)], "doc_id long, text string, lang string")
     done = {r["doc_id"]: r["perplexity"] for r in quality(docs, spark.range(200).select(F.col("id").alias("doc_id"))).collect()}
     assert sum(done[1000 + i] > 1.2 * done[i] for i in range(40)) >= 38
+
+
+def test_toxicity_order_reaches_five_characters():
+    from salesfacts.llm import toxicity
+
+    assert toxicity.ORDER >= 5

@@ -95,6 +95,37 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
+def op11_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.sharding import assign_shards
+
+    placed = assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.codes import books_sha256, code_text, vector_codes
+
+    coded, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", code_text(F.col("codes")).alias("code"), "error", "label_error", F.lit(books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from salesfacts.llm.whitening import whitened_embeddings
+
+    rows = whitened_embeddings(table(spark, sf_dir, "embeddings"))
+    each = rows.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "explained", "identity_error",
+                       F.posexplode("whitened").alias("_i", "whitened"))
+    return each.select("vec_id", (F.col("_i") + 1).alias("component"), "n", "deviation", "whitened",
+                       F.col("explained")[F.col("_i")].alias("explained"), "identity_error")
+
+
+def _oracles() -> dict[str, str]:
+    from salesfacts.llm.codes import codes_sql
+    from salesfacts.llm.sharding import shards_sql
+
+    return {"op11_interleaved_shards": shards_sql(), "op12_vector_codes": codes_sql()}
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_hilbert_neighbours": op2_hilbert_neighbours,
@@ -106,5 +137,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_interleaved_shards": op11_interleaved_shards,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = _oracles()

@@ -109,7 +109,6 @@ class VariantConfig:
     # physical knobs (never change results)
     fuse_shared_scans: bool = True
     checkpoint_dims: bool = False           # compute material list and rates once (reliable checkpoint)
-    rate_month_horizon: date = date(2040, 12, 1)
 
     def with_(self, **kw) -> "VariantConfig":
         return replace(self, **kw)

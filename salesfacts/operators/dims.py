@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,37 +83,44 @@ def fx_rates_validity(rates: DataFrame, cfg: VariantConfig) -> DataFrame:
     return rates.where(rate_filter(cfg)).select(*RATE_COLS).distinct()
 
 
-def _overflow(horizon: date) -> tuple[Column, Column]:
-    """The last month with its own bucket, and the bucket of all later months."""
-    last = date_lit(horizon.replace(day=1))
-    return last, F.add_months(last, 1)
-
-
-def _first_month(valid_from: Column) -> Column:
+def first_month(valid_from: Column) -> Column:
     """The first month start on or after a date."""
     return F.when(F.dayofmonth(valid_from) == 1, valid_from).otherwise(F.add_months(F.trunc(valid_from, "MM"), 1))
 
 
-def rate_month_buckets(rates: DataFrame, horizon: date) -> DataFrame:
-    """Key each validity interval by the month starts it covers, so the range
-    join becomes an equi-join on (currency, month) with the BETWEEN kept as a
-    residual. Months after ``horizon``'s month share one overflow bucket, where
-    the residual does the exact work; the horizon only bounds the exploded size.
+def _month_spans(rates: DataFrame) -> DataFrame:
+    """Rates with the first and last month start that they cover; those that cover none are left out."""
+    return rates.withColumns({"_first": first_month(F.col("valid_from_date")), "_last": F.trunc("valid_to_date", "MM")}).where("_first <= _last")
+
+
+def rate_starts(rates: DataFrame) -> DataFrame:
+    """(fx_ccy, fx_starts): per currency the sorted month starts at which its set of rates changes.
+
+    Between two of them the set is the same, so they cut time into disjoint
+    intervals, the last one without an end. Their number is bounded by the
+    rates' own dates and by the calendar, however far validities reach.
     """
-    month, overflow = _overflow(horizon)
-    vt = F.col("valid_to_date")
-    first = _first_month(F.col("valid_from_date"))
-    last = F.least(F.trunc(vt, "MM"), month)
-    months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month"))) \
-              .otherwise(F.array().cast("array<date>"))
-    keys = F.when(vt >= overflow, F.concat(months, F.array(overflow))).otherwise(months)
-    return rates.withColumn("rate_month", F.explode(keys))
+    spans = _month_spans(rates).select(F.col("from_currency_code").alias("fx_ccy"), F.explode(
+        F.array("_first", F.add_months("_last", 1))).alias("_start"))
+    return spans.groupBy("fx_ccy").agg(F.sort_array(F.collect_set("_start")).alias("fx_starts"))
+
+
+def rate_intervals(rates: DataFrame, starts: DataFrame) -> DataFrame:
+    """(fx_ccy, fx_start, fx_rate): the rates of each interval, named by its start."""
+    spans = _month_spans(rates).join(starts, F.col("from_currency_code") == F.col("fx_ccy"))
+    inside = F.filter("fx_starts", lambda s: (s >= F.col("_first")) & (s <= F.col("_last")))
+    return spans.select("fx_ccy", F.explode(inside).alias("fx_start"), F.col("exchange_rate").alias("fx_rate"))
+
+
+# More month starts than the calendar of Spark's dates has (to the year 9999).
+_LOOKUP_BITS = 17
 
 
-def bucket_of(month: Column, horizon: date) -> Column:
-    """The bucket a fact month falls in (its own month, or the overflow bucket)."""
-    last, overflow = _overflow(horizon)
-    return F.when(month > last, overflow).otherwise(month)
+def interval_start(month: Column, starts: Column) -> Column:
+    """The greatest of the sorted ``starts`` that is not after ``month`` (NULL if none), by binary search."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(_LOOKUP_BITS))])
+    below = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(starts, n + step - 1) <= month, n + step).otherwise(n))
+    return F.get(starts, below - 1)
 
 
 def rate_overlaps(rates: DataFrame) -> DataFrame:
@@ -127,7 +132,7 @@ def rate_overlaps(rates: DataFrame) -> DataFrame:
     n_rates): a running sum over the months where a rate starts or has ended, so
     an open-ended rate costs two rows, not one for every month to come.
     """
-    r = rates.select("from_currency_code", _first_month(F.col("valid_from_date")).alias("first"),
+    r = rates.select("from_currency_code", first_month(F.col("valid_from_date")).alias("first"),
                      F.trunc("valid_to_date", "MM").alias("last")).where("first <= last")
     steps = r.select("from_currency_code", F.explode(F.array(
         F.struct(F.col("first").alias("month"), F.lit(1).alias("step")),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesfacts.config import VariantConfig
-from salesfacts.operators.dims import bucket_of, rate_month_buckets
+from salesfacts.operators.dims import interval_start, rate_intervals, rate_starts
 
 # columns that spread NULL-currency rows of the daily facts over reducers
 _SPREAD = ["operational_account_identifier_1", "material_number", "calendar_month"]
@@ -32,7 +32,10 @@ def attach_rate(facts: DataFrame, rates: DataFrame, cfg: VariantConfig) -> DataF
 
     ``facts`` must carry ``local_currency_code`` and ``month_start``; the result
     adds ``fx_rate`` (NULL when no rate matches). A NULL currency never matches.
-    Range matching keeps every overlapping rate (fan-out), as the source does.
+    Range matching keeps every overlapping rate (fan-out), as the source does:
+    a row finds its currency's interval by an ordered lookup in the interval
+    starts (one row a currency), and then the interval's rates. Any month is
+    looked up alike, however late.
     """
     if cfg.rate_match == "month_start":
         r = rates.select(F.col("from_currency_code").alias("fx_ccy"),
@@ -42,14 +45,10 @@ def attach_rate(facts: DataFrame, rates: DataFrame, cfg: VariantConfig) -> DataF
         cond = ((f.fx_join_ccy == r.fx_ccy) & (f.month_start == r.fx_month))
         return f.join(r, cond, "left").drop("fx_ccy", "fx_month", "fx_join_ccy")
     if cfg.rate_match == "validity":
-        b = rate_month_buckets(rates, cfg.rate_month_horizon).select(
-            F.col("from_currency_code").alias("fx_ccy"), F.col("rate_month").alias("fx_bucket"),
-            F.col("valid_from_date").alias("fx_from"), F.col("valid_to_date").alias("fx_to"),
-            F.col("exchange_rate").alias("fx_rate"))
-        f = (facts.withColumn("fx_key", bucket_of(F.col("month_start"), cfg.rate_month_horizon))
-                  .withColumn("fx_join_ccy", null_spread_key("local_currency_code", _SPREAD)))
-        cond = ((f.fx_join_ccy == b.fx_ccy) & (f.fx_key == b.fx_bucket)
-                & f.month_start.between(b.fx_from, b.fx_to))
-        return f.join(b, cond, "left").drop("fx_ccy", "fx_bucket", "fx_from", "fx_to", "fx_key",
-                                            "fx_join_ccy")
+        starts = rate_starts(rates)
+        b = rate_intervals(rates, starts).withColumnRenamed("fx_ccy", "fx_of")
+        f = facts.withColumn("fx_join_ccy", null_spread_key("local_currency_code", _SPREAD))
+        f = f.join(starts, f.fx_join_ccy == starts.fx_ccy, "left")
+        f = f.withColumn("fx_at", interval_start(F.col("month_start"), F.col("fx_starts"))).drop("fx_ccy", "fx_starts")
+        return f.join(b, (f.fx_join_ccy == b.fx_of) & (f.fx_at == b.fx_start), "left").drop("fx_of", "fx_start", "fx_at", "fx_join_ccy")
     raise ValueError(cfg.rate_match)

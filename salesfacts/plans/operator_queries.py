@@ -6,6 +6,9 @@ tables (whole tables) and has a DuckDB twin. They are registered on import.
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -25,13 +28,22 @@ from salesfacts.operators.rollup import currency_key, unified_facts
 from salesfacts.plans import oracle as O
 from salesfacts.plans import pipeline as P
 from salesfacts.plans.registry import LOAD_TS, catalog, register
-from salesfacts.sources.catalog import SourceCatalog
+from salesfacts.plans import incremental as I
+from salesfacts.session import ensure_checkpoint_dir
+from salesfacts.sources.catalog import LOGICAL_TABLES, SourceCatalog, write_standins
+from salesfacts.sources.months import MonthTable, VerificationError
+from salesfacts.sources.profiles import bind, load_profile
 
 W = O.with_standins
 q, qlist, trimws = O.q, O.qlist, O.trimws
 DEC = O.DEC
 
 
+def scratch(spark, name):
+    """A new folder of the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def T(spark, sf, name):
     return catalog(spark, sf).table(name)
 
@@ -63,19 +75,33 @@ for _name in ("exchange_rates", "order_lines", "delivery_lines", "billing_lines"
              W(f"SELECT * FROM {_name}"))(lambda s, sf, n=_name: T(s, sf, n))
 
 
-@register("env_bound_source", W(O.fact_sql(NAF_NONPROD.facts[1], NAF_NONPROD)))
+_ENVIRONMENTS = ("prod", "nonprod")
+
+
+@register("env_bound_source", W("SELECT e.environment, r.* FROM result r, (SELECT unnest([" + qlist(_ENVIRONMENTS) + "]) AS environment) e",
+                                {**O.job_ctes(NAF_NONPROD), "result": O.final_sql(NAF_NONPROD, LOAD_TS)}))
 def q_env_bound_source(spark, sf):
-    """The same logical table bound to another environment's name: here the
-    stand-ins are published as session views under an environment prefix and
-    the catalog is bound to those names."""
-    src = catalog(spark, sf)
-    for n in ("order_lines",):
-        src.table(n).createOrReplaceTempView(f"nonprod_{n}")
-    other = {n: (lambda n=n: src.table(n)) for n in src._factories}
-    other["order_lines"] = lambda: spark.table("nonprod_order_lines")
-    env = SourceCatalog(spark, other)
-    spec = NAF_NONPROD.facts[1]
-    return build_fact(env.table("order_lines"), spec, NAF_NONPROD)
+    """The whole job under two environment profiles: prod binds the six tables by paths below a root, nonprod by names
+    in a namespace of the session's catalog, some by path. Both give the same rows."""
+    root = scratch(spark, "environments")
+    paths = write_standins(spark, sf, f"{root}/tables")
+    space = f"salesfacts_{os.path.basename(root).replace('-', '_')}"
+    by_path = {"environment": "prod", "root": f"{root}/tables", "tables": {n: {"path": n} for n in paths}}
+    by_name = {"environment": "nonprod", "catalog": "spark_catalog", "namespace": space,
+               "tables": {n: f"{n}_np" if n != "account_xref" else {"path": p} for n, p in paths.items()}}
+    spark.sql(f"CREATE NAMESPACE {space}")
+    try:
+        for n, p in paths.items():
+            spark.catalog.createTable(f"{space}.{n}_np", path=p, source="parquet")
+        jobs = []
+        for spec in (by_path, by_name):
+            file = f"{root}/{spec['environment']}.json"
+            spark.createDataFrame([(json.dumps(spec),)], "value string").coalesce(1).write.text(file)
+            profile = load_profile(spark, file)
+            jobs.append(P.run(bind(spark, profile), NAF_NONPROD, LOAD_TS).select(F.lit(profile.environment).alias("environment"), "*"))
+        return jobs[0].unionByName(jobs[1])
+    finally:
+        spark.sql(f"DROP NAMESPACE {space} CASCADE")  # external tables: the files stay, and the plans hold their paths
 
 
 _RESULT_SQL = ("SELECT action_type, row_insert_timestamp = row_update_timestamp AS same_stamp, "
@@ -91,6 +117,47 @@ def q_result_relation(spark, sf):
              .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+@register("result_relation_staged", W(O.final_sql(NA_TEST, LOAD_TS), O.job_ctes(NA_TEST)))
+def q_result_relation_staged(spark, sf):
+    """All 73 columns through the staged sink: published, a run that fails before its commit, one that loses rows
+    between two months and is refused, and a second good run; then read back."""
+    result = P.run(catalog(spark, sf), NA_TEST, LOAD_TS)
+    table, month = MonthTable(spark, scratch(spark, "result"), sort=("opl_account_id", "material_number")), I.result_month()
+    table.publish(result, month)
+    first = table.months()
+
+    def fail():
+        raise OSError("the run ends before its commit")
+
+    half = result.where(F.xxhash64("opl_account_id") % 2 == 0)
+    for broken, error, given in ((half, OSError, None), (half, VerificationError, sorted(first)[:-1])):
+        try:
+            table.publish(broken, month, months=given, before_commit=fail)
+        except error:
+            assert table.months() == first
+        else:
+            raise AssertionError("a broken run was published")
+    table.publish(table.read().where(month == max(first)), month, months=[max(first)])
+    table.expire()
+    return table.read()
+
+
+@register("agg_monthly_state", W("SELECT * FROM opl", O.job_ctes(NA_PBC)))
+def q_agg_monthly_state(spark, sf):
+    """The roll-up from its monthly state: lines of one month are first other ones, then corrected. The second
+    refresh reads the lines of this month only and gives the rows of a full run."""
+    c, root, month = catalog(spark, sf), scratch(spark, "state"), "202104"
+    odd = lambda n: F.coalesce((I.line_month(n) != month) | (F.xxhash64("sold_to") % 2 == 0), F.lit(True))
+    wrong = SourceCatalog(spark, {n: (lambda n=n: c.table(n).where(odd(n)) if n in I.LINE_DAYS else c.table(n)) for n in LOGICAL_TABLES})
+    lines = I.publish_lines(wrong, f"{root}/lines")
+    I.refresh(c, lines, NA_PBC, f"{root}/state")
+    I.publish_lines(c, f"{root}/lines", months=[month])
+    done = I.refresh(c, lines, NA_PBC, f"{root}/state")
+    if (done.lines_read, done.rolled_up) != ([month], [month]):
+        raise AssertionError(f"the refresh read {done.lines_read} and rolled up {done.rolled_up}, not {month}")
+    return done.monthly
+
+
 # === 2.2 projections =======================================================
 
 register("project_rename", W(
@@ -252,8 +319,10 @@ def q_join_inner_equi(spark, sf):
         material_list(c.table("material_master"), NAF_PROD), "material_number", "inner")
 
 
-def _rate_join_sql(cfg, fact_index):
+def _rate_join_sql(cfg, fact_index, later=0):
     month = "CAST(strptime(g.calendar_year || '-' || g.calendar_month || '-01', '%Y-%m-%d') AS DATE)"
+    if later:
+        month = f"CAST({month} + INTERVAL {later} MONTH AS DATE)"
     on = (f"r.valid_from_date = {month}" if cfg.rate_match == "month_start"
           else f"{month} BETWEEN r.valid_from_date AND r.valid_to_date")
     return W(f"SELECT g.calendar_year, g.calendar_month, g.operational_account_identifier_1, "
@@ -263,11 +332,11 @@ def _rate_join_sql(cfg, fact_index):
              {"ccr": O.rates_sql(cfg), "fact": O.fact_sql(cfg.facts[fact_index], cfg)})
 
 
-def _rate_join(spark, sf, cfg, fact_index):
+def _rate_join(spark, sf, cfg, fact_index, later=0):
     c = catalog(spark, sf)
     spec = cfg.facts[fact_index]
     f = build_fact(c.table(spec.source), spec, cfg).withColumn(
-        "month_start", month_start(F.col("calendar_year"), F.col("calendar_month")))
+        "month_start", F.add_months(month_start(F.col("calendar_year"), F.col("calendar_month")), later))
     return attach_rate(f, P.rates_for(c, cfg), cfg).select(
         "calendar_year", "calendar_month", "operational_account_identifier_1", "material_number",
         "local_currency_code", "gross_sales_amount_local", "fx_rate")
@@ -278,9 +347,9 @@ register("join_left_equi_computed_date", _rate_join_sql(_MONTH_RATES, 3))(
     lambda s, sf: _rate_join(s, sf, _MONTH_RATES, 3))
 register("join_left_range_validity", _rate_join_sql(NA_PBC, 3))(
     lambda s, sf: _rate_join(s, sf, NA_PBC, 3))
-_SMALL_HORIZON = NA_PBC.with_(rate_month_horizon=date(2021, 6, 15))
-register("join_left_range_overflow_bucket", _rate_join_sql(_SMALL_HORIZON, 3))(
-    lambda s, sf: _rate_join(s, sf, _SMALL_HORIZON, 3))
+# Facts of the next century, which only open-ended rates cover: the last interval of a currency.
+register("join_left_range_overflow_bucket", _rate_join_sql(NA_PBC, 3, later=960))(
+    lambda s, sf: _rate_join(s, sf, NA_PBC, 3, later=960))
 
 
 _MONTH_OF_FACT = "CAST(strptime(g.calendar_year || '-' || g.calendar_month || '-01', '%Y-%m-%d') AS DATE)"

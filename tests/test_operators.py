@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from salesfacts.config import NA_PBC, NAF_PROD
-from salesfacts.operators.dims import fx_rates_month_start, material_list, rate_month_buckets
+from salesfacts.operators.dims import fx_rates_month_start, material_list, rate_intervals, rate_starts
 from salesfacts.operators.rollup import unified_facts
 from salesfacts.plans import pipeline as P
 from salesfacts.sources.catalog import SourceCatalog
@@ -32,18 +32,13 @@ def test_deleted_versions_never_compete(spark):
     assert {tuple(r) for r in m.select("material_number", "brand").collect()} == {("M1", "B1"), ("M2", "B4")}
 
 
-def test_rate_buckets_cover_each_month_once(spark):
-    r = golden_catalog(spark).table("exchange_rates").where("valid_from_date = date'2020-03-01'")
-    b = rate_month_buckets(r, date(2020, 6, 1)).select("rate_month").collect()
-    # March..June as months, then the overflow bucket for the open end
-    assert [x[0] for x in b] == [date(2020, m, 1) for m in (3, 4, 5, 6, 7)]
-
-
-def test_horizon_only_changes_the_plan_not_the_result(spark):
-    c = SourceCatalog.from_standins(spark, SF_SMALL)
-    a = P.monthly(c, NA_PBC)
-    b = P.monthly(c, NA_PBC.with_(rate_month_horizon=date(2020, 3, 17)))
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_rate_intervals_are_disjoint_and_open_at_the_end(spark):
+    r = golden_catalog(spark).table("exchange_rates").where("from_currency_code = 'USD'")
+    starts = rate_starts(r)
+    [row] = starts.selectExpr("fx_ccy", "slice(fx_starts, 1, 2) AS first_two", "size(fx_starts) AS n").collect()
+    assert row.asDict() == {"fx_ccy": "USD", "first_two": [date(2020, 2, 1), date(2020, 3, 1)], "n": 3}  # and the end of the calendar
+    got = {(x["fx_start"], float(x["fx_rate"])) for x in rate_intervals(r, starts).collect()}
+    assert got == {(date(2020, 2, 1), 0.9), (date(2020, 3, 1), 0.9), (date(2020, 3, 1), 0.8)}
 
 
 def test_monthly_local_sums_equal_daily_sums_without_fan_out(spark):

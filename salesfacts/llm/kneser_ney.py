@@ -14,8 +14,9 @@ begin with START keep their raw counts.
 Training counts n-grams with Spark (raw counts for the highest order and for
 n-grams at a word's start, distinct left neighbours for the others), takes the
 three discounts of each order from its counts of counts, and writes the model as
-rows (key, values): for an n-gram its discounted relative frequency, for a context
-the weight of the next lower order. Keys are 64-bit hashes.
+rows (key, values), one for each n-gram and the empty one: its discounted relative
+frequency, and the weight that the next lower order gets after it as a context. Keys
+are 64-bit hashes.
 
 Several models can be trained at once (``classes``): they share the counts of the
 orders up to ``shared``, so rare expressions back off to the same distribution.
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from salesfacts.llm.common import checkpointed, slices
+from salesfacts.llm.common import checkpointed, release, slices, stored
 
 START, END = 2, 3
 BLOCK_CHARS = 12_000_000
@@ -102,14 +103,10 @@ def gram_hashes(symbols: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 def gram_key(h: np.ndarray, k: int) -> np.ndarray:
+    """Key of the n-grams of ``k`` symbols with hashes ``h``."""
     return _mix(h + np.uint64(2 * k))
 
 
-def context_key(h: np.ndarray, k: int) -> np.ndarray:
-    """Key of the weight that order ``k`` leaves to the next lower one after a context of hash ``h``."""
-    return _mix(h + np.uint64((2 * k + 1) * int(_A) % (1 << 64)))
-
-
 # --- training ---------------------------------------------------------------------------
 
 
@@ -153,7 +150,7 @@ def _grams(cls: int, words: Counter, order: int):
 
 
 def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> DataFrame:
-    """The model's rows (key, v: one value a class) from ``count_grams``."""
+    """The model's rows (key, v: each class's share, then each class's weight) from ``count_grams``."""
     counts = _untag(checkpointed(counts))
     pooled = counts.groupBy("k", "gram").agg(F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.first("initial").alias("initial"),
                                              F.sum("c").alias("c")).withColumn("cls", F.lit(POOL)) if shared else None
@@ -175,60 +172,69 @@ def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> D
     table = F.broadcast(counts.sparkSession.createDataFrame(discounts, "cls int, k int, d1 double, d2 double, d3 double"))
     cut = adjusted.join(table, ["cls", "k"]).withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
     contexts = cut.groupBy("cls", "k", "ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("left"))
-    grams = cut.join(contexts, ["cls", "k", "ctx"]).select("cls", "k", F.col("gram").alias("h"), F.lit(True).alias("is_gram"),
-                                                         ((F.col("c") - F.col("d")) / F.col("total")).alias("v"))
-    weights = contexts.select("cls", "k", F.col("ctx").alias("h"), F.lit(False).alias("is_gram"), (F.col("left") / F.col("total")).alias("v"))
-    values = grams.union(weights)
-    # A class that never saw a context leaves all of its weight to the lower order.
-    each = [F.coalesce(F.max(F.when(F.col("cls").isin(POOL, c), F.col("v"))), F.when(F.col("is_gram"), 0.0).otherwise(1.0)).cast("float") for c in range(classes)]
-    wide = values.groupBy("k", "h", "is_gram").agg(*[e.alias(f"v{i}") for i, e in enumerate(each)])
+    none = F.lit(None).cast("double")
+    grams = cut.join(contexts, ["cls", "k", "ctx"]).select("cls", "k", F.col("gram").alias("h"),
+                                                         ((F.col("c") - F.col("d")) / F.col("total")).alias("share"), none.alias("weight"))
+    values = grams.union(contexts.select("cls", F.col("k") - 1, F.col("ctx").alias("h"), none, F.col("left") / F.col("total")))
+
+    def each(column: str, absent: float) -> list:
+        """A value a class. A class that never saw a context leaves all of its weight to the lower order."""
+        return [F.coalesce(F.max(F.when(F.col("cls").isin(POOL, c), F.col(column))), F.lit(absent)).cast("float").alias(f"{column}{c}") for c in range(classes)]
+
+    wide = values.groupBy("k", "h").agg(*each("share", 0.0), *each("weight", 1.0))
+    names = [f.name for f in wide.schema.fields[2:]]
 
     def keyed(batches):
         for b in batches:
-            k, h, g = b.column("k").to_numpy(), b.column("h").to_numpy().view(np.uint64), b.column("is_gram").to_numpy(zero_copy_only=False)
-            u = k.astype(np.uint64)
-            key = np.where(g, _mix(h + np.uint64(2) * u), _mix(h + (np.uint64(2) * u + np.uint64(1)) * _A))
-            v = np.stack([b.column(f"v{i}").to_numpy() for i in range(classes)], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), classes).cast(pa.list_(pa.float32()))],
+            key = _mix(b.column("h").to_numpy().view(np.uint64) + np.uint64(2) * b.column("k").to_numpy().astype(np.uint64))
+            v = np.stack([b.column(n).to_numpy() for n in names], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), len(names)).cast(pa.list_(pa.float32()))],
                                              names=["key", "v"])
 
-    return checkpointed(wide.mapInArrow(keyed, "key long, v array<float>"))
+    model = checkpointed(wide.mapInArrow(keyed, "key long, v array<float>"))
+    del counts, pooled, own, left, adjusted, cut, contexts, grams, values, wide
+    release(model.sparkSession)  # the counts' shuffles and tables
+    return model
 
 
 # --- scoring ----------------------------------------------------------------------------
 
 
 def distinct_keys(words: list[str], order: int) -> np.ndarray:
-    """Sorted keys of all n-grams and contexts of the words. A context of one order is an n-gram of the order below."""
-    symbols, place, *_ = word_symbols(words)
+    """Keys of all n-grams of the words, the empty one included; a context of one order is an n-gram of the order below."""
+    symbols, place, _, predicted = word_symbols(words)
     h = gram_hashes(symbols, order)
-    grams = [np.zeros(1, dtype=np.uint64)] + [pd.unique(h[k][place >= k - 1]) for k in range(1, order + 1)]
-    return np.unique(np.concatenate([gram_key(grams[k], k) for k in range(1, order + 1)] + [context_key(grams[k - 1], k) for k in range(1, order + 1)]))
+    found = [gram_key(np.zeros(1, dtype=np.uint64), 0)]
+    for k in range(1, order + 1):
+        at = place >= k - 1
+        found.append(gram_key(pd.unique(h[k][at & predicted if k == order else at]), k))
+    return np.concatenate(found)
 
 
 def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarray) -> np.ndarray:
-    """(words, classes) log-probabilities; ``values`` (keys, classes). Absent n-grams count 0, absent contexts leave all weight below."""
+    """(words, classes) log-probabilities; ``values`` (keys, shares and weights). Absent n-grams have share 0 and leave all weight below."""
     symbols, place, lens, predicted = word_symbols(words)
     h = gram_hashes(symbols, order)
-    classes = values.shape[1]
+    classes = values.shape[1] // 2
+    absent = np.repeat([0.0, 1.0], classes)
 
-    def look(k: np.ndarray, absent: float) -> np.ndarray:
+    def look(k: np.ndarray) -> np.ndarray:
         at = keys.get_indexer(k)
-        return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.full((len(k), classes), absent)
+        return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.tile(absent, (len(k), 1))
 
     p = [np.full(len(symbols), 1 / ALPHABET) for _ in range(classes)]
     below = np.zeros(len(symbols), dtype=np.int64)  # number of the context among the distinct n-grams one order below
-    weights = look(context_key(np.zeros(1, dtype=np.uint64), 1), 1.0)
+    weights = look(gram_key(np.zeros(1, dtype=np.uint64), 0))[:, classes:]
     for k in range(1, order + 1):
         valid = np.flatnonzero(place >= k - 1)
         number, grams = pd.factorize(h[k][valid])
         code = np.zeros(len(symbols), dtype=np.int64)
         code[valid] = number
         at = valid[predicted[valid]]
-        shares = look(gram_key(grams, k), 0.0)
+        both = look(gram_key(grams, k))
         for c in range(classes):
-            p[c][at] = shares[:, c][code[at]] + weights[:, c][below[at - 1]] * p[c][at]
-        below, weights = code, look(context_key(grams, k + 1), 1.0)
+            p[c][at] = both[:, c][code[at]] + weights[:, c][below[at - 1]] * p[c][at]
+        below, weights = code, both[:, classes:]
     owner = np.repeat(np.arange(len(words)), lens)
     out = np.empty((len(words), classes))
     for c in range(classes):
@@ -281,11 +287,13 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
           features: Callable[[np.ndarray, np.ndarray], list[float]], names: list[str]) -> DataFrame:
     """(id, *names) for ``texts`` (id binary, text): ``features(logprobs (words, classes), symbols (words,))`` of each text.
 
-    The rows are read twice, for the blocks' keys and for their texts, and must come
-    in the same order and partitions both times, as from files. A block is named by
-    the ids in it, so if they did not, the job would fail instead of scoring wrongly.
+    The rows are read twice, for the blocks' keys and for their texts, in the same
+    order and partitions both times: rows that do not come straight from files, but
+    from a shuffle, are stored first. A block is named by the ids in it.
     """
     rows = texts.select("id", "text")
+    if "Exchange" in rows._jdf.queryExecution().executedPlan().toString():
+        rows = stored(rows)
     shards = LEAST_SHARDS  # a power of two that follows the session's partitions: a key's shard is its low bits
     while shards < int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         shards *= 2
@@ -302,7 +310,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             found = [np.empty(0, dtype=np.uint64)]
             for at in range(0, len(words), 100_000):
                 found.append(distinct_keys(words[at:at + 100_000], order))
-            keys = np.unique(np.concatenate(found))
+            keys = np.unique(np.concatenate(found))  # sorted
             shard = (keys & np.uint64(shards - 1)).astype(np.int64)
             cuts = np.searchsorted(np.sort(shard), np.arange(shards + 1))
             keys = keys[np.argsort(shard, kind="stable")]
@@ -316,13 +324,13 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
     known = model.select(F.expr(f"CAST(key & {shards - 1} AS INT)").alias("shard"), "key", "v")
 
     def answer(key, left, right):
-        """The values of the keys that a shard's blocks ask for, as (position, values) of those that it holds."""
+        """Of the keys that a shard's blocks ask for those that it holds, with their values."""
         model_keys, model_values = [], []
         for b in right:
             model_keys.append(b.column("key").to_numpy().view(np.uint64))
-            model_values.append(b.column("v").flatten().to_numpy().reshape(-1, classes))
+            model_values.append(b.column("v").flatten().to_numpy().reshape(-1, 2 * classes))
         mk = np.concatenate(model_keys) if model_keys else np.empty(0, dtype=np.uint64)
-        mv = np.concatenate(model_values) if model_values else np.empty((0, classes), dtype=np.float32)
+        mv = np.concatenate(model_values) if model_values else np.empty((0, 2 * classes), dtype=np.float32)
         order_ = np.argsort(mk)
         mk, mv = mk[order_], mv[order_]
         for b in left:
@@ -336,14 +344,14 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
     answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(on_tables(answer, "block long, keys binary, vals binary"), "block long, keys binary, vals binary")
 
     def finish(key, left, right):
-        keys, vals = [np.empty(0, dtype=np.uint64)], [np.empty((0, classes), dtype=np.float32)]
+        keys, vals = [np.empty(0, dtype=np.uint64)], [np.empty((0, 2 * classes), dtype=np.float32)]
         left, right = list(left), list(right)
         if sum(b.num_rows for b in left) and not sum(b.num_rows for b in right):
-            raise RuntimeError("a block of texts has no answers: the input's rows came in another order the second time")
+            raise RuntimeError("a block of texts has no answers")
         for b in right:
             for k, v in zip(b.column("keys"), b.column("vals")):
                 keys.append(np.frombuffer(k.as_py(), dtype=np.uint64))
-                vals.append(np.frombuffer(v.as_py(), dtype="<f4").reshape(-1, classes))
+                vals.append(np.frombuffer(v.as_py(), dtype="<f4").reshape(-1, 2 * classes))
         keys, vals = np.concatenate(keys), np.concatenate(vals)
         keys, first = np.unique(keys, return_index=True)
         keys, vals = pd.Index(keys), vals[first]

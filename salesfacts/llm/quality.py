@@ -1,16 +1,22 @@
-"""Quality by perplexity under a Kneser-Ney model of trusted text.
+"""Quality by perplexity under Kneser-Ney models of trusted text.
 
-An interpolated modified Kneser-Ney model over the characters of words and across
-their edges (``kneser_ney``) is trained on all trusted texts: those labelled of good quality. A
-document's perplexity is exp of its mean negative log-likelihood a symbol, found by
-sharded joins with the model's counts. Each language has its own threshold: the
+Interpolated modified Kneser-Ney models over the characters of words and across
+their edges (``kneser_ney``) are trained on the trusted texts: those labelled of good
+quality. All texts fall into ``FOLDS`` parts by a hash of the text; there is a model of the
+trusted texts of each part, all trained and applied in one pass, and a text is
+scored by the model of the next part. So no text, trusted or not, is scored by a model
+that has seen it, and a trusted text's perplexity is what an unseen good text's would be.
+
+A document's perplexity is exp of its mean negative log-likelihood a symbol, found by
+sharded joins with the models' counts. Each language has its own threshold: the
 ``quantile`` of the perplexities of its trusted texts. Documents above it are not
 kept.
 
 Defined results: a null, empty or blank text has no perplexity (null) and is not
 kept; a language without trusted texts uses the threshold of all of them; a null
 language is a language of its own; without any trusted text all documents with
-words are kept; repeated rows get the same result; an empty table gives no rows;
+words are kept; where one part has no trusted text, its model gives every symbol the
+same probability; repeated rows get the same result; an empty table gives no rows;
 ``perplexity``, ``threshold`` and ``kept`` replace columns of that name.
 """
 
@@ -19,7 +25,7 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesfacts.llm.common import checkpointed
@@ -28,6 +34,7 @@ from salesfacts.llm.toxicity import SMALL_LABELS, text_id
 
 ORDER = 5
 QUANTILE = 0.98
+FOLDS = 2
 
 
 def tokens(text: str, order: int = ORDER) -> list[str]:
@@ -38,7 +45,13 @@ def tokens(text: str, order: int = ORDER) -> list[str]:
 
 
 def features(logs: np.ndarray, sizes: np.ndarray) -> list[float]:
-    return [float(logs.sum()), float(sizes.sum())]
+    """The text's log-likelihood under each part's model, and its symbols."""
+    return [*map(float, logs.sum(axis=0)), float(sizes.sum())]
+
+
+def fold(text: Column) -> Column:
+    """The part that a text falls into."""
+    return F.pmod(F.xxhash64(F.lit(11), text), F.lit(FOLDS)).cast("int")
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
@@ -48,10 +61,15 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE,
         trusted = F.broadcast(trusted)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"), "lang")
     split = partial(tokens, order=order)
-    counts = count_grams(texts.join(trusted, "_id").select(F.lit(0).alias("cls"), "text"), order, split)
-    model = train(counts, order)
-    scored = score(texts.select(text_id(F.col("text")).alias("id"), "text"), model, order, 1, split, features, ["logs", "symbols"]).dropDuplicates(["id"])
-    scored = checkpointed(scored.select(F.col("id").alias("_text_id"), F.when(F.col("symbols") > 0, F.exp(-F.col("logs") / F.col("symbols"))).alias("perplexity")))
+    # Not named, so that nothing holds the counts' shuffles once the model stands.
+    model = train(count_grams(texts.join(trusted, "_id").select(fold(F.col("text")).alias("cls"), "text"), order, split), order, classes=FOLDS)
+    logs = [f"logs{i}" for i in range(FOLDS)]
+    # The part is the last byte of the id that the scores carry.
+    named = texts.select(F.concat(text_id(F.col("text")), F.unhex(F.lpad(F.hex(fold(F.col("text"))), 2, "0"))).alias("id"), "text")
+    scored = score(named, model, order, FOLDS, split, features, [*logs, "symbols"]).dropDuplicates(["id"])
+    part = F.conv(F.hex(F.substring("id", 17, 1)), 16, 10).cast("int")
+    seen_by = F.element_at(F.array(*logs), F.pmod(part + 1, F.lit(FOLDS)) + 1)
+    scored = checkpointed(scored.select(F.substring("id", 1, 16).alias("_text_id"), F.when(F.col("symbols") > 0, F.exp(-seen_by / F.col("symbols"))).alias("perplexity")))
     sample = texts.join(trusted, "_id").select("lang", text_id(F.col("text")).alias("_text_id")).join(scored, "_text_id").where("perplexity IS NOT NULL")
     limits = sample.rollup("lang").agg(F.grouping("lang").alias("_all"), F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     limits = checkpointed(limits)

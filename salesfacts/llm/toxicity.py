@@ -90,8 +90,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     labelled = texts.join(known, "_id")
     fits = F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) == 3
-    counts = count_grams(labelled.where(~fits).select((1 - F.col("toxic")).cast("int").alias("cls"), "text"), order, tokens)
-    model = train(counts, order, classes=2, shared=SHARED)
+    # Not named, so that nothing holds the counts' shuffles once the model stands.
+    model = train(count_grams(labelled.where(~fits).select((1 - F.col("toxic")).cast("int").alias("cls"), "text"), order, tokens), order, classes=2, shared=SHARED)
     scored = checkpointed(score(texts.select(text_id(F.col("text")).alias("id"), "text"), model, order, 2, tokens, features, FEATURES)
                           .dropDuplicates(["id"]))
     sample = (labelled.where(fits).select(text_id(F.col("text")).alias("id"), "toxic", F.xxhash64("_id").alias("_h"))

@@ -3,19 +3,27 @@
 import math
 import random
 from collections import Counter, defaultdict
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from salesfacts.llm.kneser_ney import count_grams, score, train
-from salesfacts.llm.quality import quality
+from salesfacts.llm.quality import quality, tokens
 from salesfacts.llm.toxicity import held_out, score_toxicity, text_id
 
 from .conftest import empty
 
 
-def _plain(words, order):
-    """Interpolated modified Kneser-Ney with three discounts an order, on the words' characters."""
+def _plain(words, order, pool=None, shared=0):
+    """Interpolated modified Kneser-Ney with three discounts an order, on the words' characters; orders up to ``shared`` from ``pool``."""
+    if pool:
+        low, high = _counted(pool, order), _counted(words, order)
+        return _likelihood([*low[:shared], *high[shared:]], order)
+    return _likelihood(_counted(words, order), order)
+
+
+def _counted(words, order):
     raw = [Counter() for _ in range(order + 1)]
     for w in words:
         s = "\x02" + w + "\x03"
@@ -38,7 +46,10 @@ def _plain(words, order):
             total[g[:-1]] += c
             left[g[:-1]] += d[min(c, 3) - 1]
         model.append((adj[k], d, total, left))
+    return model
 
+
+def _likelihood(model, order):
     def logp(w):
         s, out = "\x02" + w + "\x03", 0.0
         for i in range(1, len(s)):
@@ -126,6 +137,94 @@ def test_word_order_counts(spark):
     assert sum(done[1000 + i] > 1.2 * done[i] for i in range(40)) >= 38
 
 
+def _plain_tailed(tokens, order):
+    """As ``_plain`` for tokens "tail\nword": symbols of the tail, START, word, END, of which only those after START are predicted."""
+    def symbols(t):
+        tail, word = t.split("\n") if "\n" in t else ("", t)
+        return tail + "\x02" + word + "\x03", len(tail)
+
+    raw = [Counter() for _ in range(order + 1)]
+    for t in tokens:
+        s, edge = symbols(t)
+        for i in range(edge + 1, len(s)):
+            for k in range(1, min(order, i + 1) + 1):
+                raw[k][s[i - k + 1:i + 1]] += 1
+    model = []
+    for k in range(1, order + 1):
+        lefts = Counter(g[1:] for g in raw[k + 1]) if k < order else Counter()
+        adj = {g: c if k == order or g[0] == "\x02" else lefts[g] or c for g, c in raw[k].items()}
+        n = Counter(adj.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        d = [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.1), i) if n[i] and n[i + 1] else 0.5 * i for i in (1, 2, 3)]
+        total, left = defaultdict(float), defaultdict(float)
+        for g, c in adj.items():
+            total[g[:-1]] += c
+            left[g[:-1]] += d[min(c, 3) - 1]
+        model.append((adj, d, total, left))
+
+    def logp(t):
+        (s, edge), out = symbols(t), 0.0
+        for i in range(edge + 1, len(s)):
+            p = 1 / 65536
+            for k in range(1, min(order, i + 1) + 1):
+                g = s[i - k + 1:i + 1]
+                counts, d, total, left = model[k - 1]
+                if g[:-1] in total:
+                    c = counts.get(g, 0)
+                    p = (c - d[min(c, 3) - 1] if c else 0) / total[g[:-1]] + left[g[:-1]] / total[g[:-1]] * p
+            out += math.log(p)
+        return out
+
+    return logp
+
+
+@pytest.mark.parametrize("order", [3, 5])
+def test_scores_across_word_edges_equal_the_plain_model(spark, order):
+    rng = random.Random(order)
+    texts = [" ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 30))) for _ in range(100)]
+    split = partial(tokens, order=order)
+    logp = _plain_tailed([t for x in texts for t in split(x)], order)
+    asked = [*texts[:10], "abcabc zzz a", "c", "", "é é é"]
+    rows = spark.createDataFrame([(0, t) for t in texts], "cls int, text string").repartition(3)
+    df = spark.createDataFrame([(t,) for t in asked], "text string").select(text_id(F.col("text")).alias("id"), "text")
+    got = {bytes(r["id"]): r["logs"] for r in score(df, train(count_grams(rows, order, split), order), order, 1, split, lambda logs, n: [float(logs.sum())], ["logs"]).collect()}
+    for r in df.collect():
+        assert got[bytes(r["id"])] == pytest.approx(sum(map(logp, split(r["text"]))), rel=1e-5, abs=1e-6)
+
+
+def test_two_classes_share_their_low_orders(spark):
+    """Orders up to the shared one come from both classes' texts, the others from the class's own."""
+    rng = random.Random(6)
+    texts = [(c, " ".join("".join(rng.choice("abcd" if c else "bcde") for _ in range(rng.randint(1, 6))) for _ in range(20))) for c in (0, 1) for _ in range(60)]
+    words = {c: [w for k, t in texts if k == c for w in t.split()] for c in (0, 1)}
+    rows = spark.createDataFrame(texts, "cls int, text string").repartition(3)
+    df = spark.createDataFrame([(t,) for _, t in texts[:5] + texts[-5:]] + [("zzz abe",)], "text string").select(text_id(F.col("text")).alias("id"), "text")
+    for shared in (0, 2):
+        model = train(count_grams(rows, 4, str.split), 4, classes=2, shared=shared)
+        got = {bytes(r["id"]): r for r in score(df.repartition(2), model, 4, 2, str.split, lambda logs, n: [float(x) for x in logs.sum(axis=0)], ["p0", "p1"]).collect()}
+        for c in (0, 1):
+            logp = _plain(words[c], 4, words[0] + words[1] if shared else None, shared)
+            for r in df.collect():
+                assert got[bytes(r["id"])][f"p{c}"] == pytest.approx(sum(map(logp, r["text"].split())), rel=1e-5, abs=1e-6)
+
+
+def test_unseen_good_texts_are_kept_as_trusted_ones_are(spark):
+    """Half of the good texts are trusted; the threshold keeps about its quantile of both halves, and each language has its own."""
+    rng = random.Random(9)
+    syllables = {"aa": ["ka", "lo", "mi", "ter", "un", "sa"], "bb": ["grun", "sto", "wel", "ich", "per", "ta"]}
+    lex = {lang: ["".join(rng.choice(s) for _ in range(rng.randint(1, 4))) for _ in range(400)] for lang, s in syllables.items()}
+    rows = [(i, " ".join(rng.choice(lex[lang]) for _ in range(rng.randint(20, 80))), lang) for i, lang in enumerate(["aa", "bb"] * 600)]
+    junk = [(5000 + i, "".join(rng.choice("abcdefghijklmnop ") for _ in range(300)), "aa") for i in range(40)]
+    docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id < 5000 AND doc_id % 4 < 2").select("doc_id")
+    done = {r["doc_id"]: r["kept"] for r in quality(docs, trusted, quantile=0.95).collect()}
+    for seen in (True, False):
+        for lang in (0, 1):
+            kept = [done[i] for i, _, _ in rows if (i % 4 < 2) == seen and i % 2 == lang]
+            assert 0.90 <= sum(kept) / len(kept) <= 0.99, (seen, lang)
+    assert not any(done[i] for i, _, _ in junk)
+
+
 def test_toxicity_order_reaches_five_characters():
     from salesfacts.llm import toxicity
 

@@ -57,6 +57,16 @@ def material_list(master: DataFrame, cfg: VariantConfig) -> DataFrame:
                       "product_group", "brand", "product_name")
 
 
+def material_scope(master: DataFrame, cfg: VariantConfig) -> DataFrame:
+    """The materials of ``material_list``, by its filter alone: a material is in the list if any version passes.
+
+    One row per version: a semi-join does not mind, and a filtered scan without ranking
+    or aggregate is what Spark can build a runtime Bloom filter from, where it is too
+    big to broadcast. The filter then stands on the fact scans, before the daily sums.
+    """
+    return master.where(material_filter(cfg)).select("material_number")
+
+
 def rate_filter(cfg: VariantConfig) -> Column:
     c = ((F.col("to_currency_code") == F.lit(cfg.rate_target_currency))
          & F.col("sap_src_sys_cd").isin(*cfg.rate_source_systems)

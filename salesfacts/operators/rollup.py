@@ -41,7 +41,7 @@ def _currency_out(mode: str) -> Column:
 
 
 def monthly_sales(union: DataFrame, materials: DataFrame, rates: DataFrame,
-                  cfg: VariantConfig) -> DataFrame:
+                  cfg: VariantConfig, scope: DataFrame | None = None) -> DataFrame:
     """Join materials (inner) and rates (left), then SUM by month.
 
     Groups are formed on the raw key columns; the output shows them coalesced,
@@ -57,12 +57,15 @@ def monthly_sales(union: DataFrame, materials: DataFrame, rates: DataFrame,
     partitioning does not also serve the roll-up: the roll-up gets its own
     exchange on all its keys after a partial aggregation, and a best-seller's
     lines do not meet in the one task of its material.
+
+    ``scope`` names the same materials as the list in a form that is cheaper to
+    filter by (``dims.material_scope``).
     """
     # The variant's literal layout columns are left out of the group key (a
     # constant does not split groups; Catalyst cannot see that through the
     # UNION) and added back after the aggregate.
     consts = fact_constants(cfg)
-    in_scope = materials.select(F.concat("material_number", F.lit("")).alias("_scope"))
+    in_scope = (materials if scope is None else scope).select(F.concat("material_number", F.lit("")).alias("_scope"))
     f = union.drop(*consts)
     f = f.join(in_scope, F.concat(f["material_number"], F.lit("")) == in_scope["_scope"], "left_semi")
     f = f.withColumn("month_start", month_start(F.col("calendar_year"), F.col("calendar_month")))

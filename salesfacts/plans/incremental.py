@@ -132,5 +132,5 @@ def refresh(catalog: SourceCatalog, lines: dict[str, MonthTable], cfg: VariantCo
 
 def refreshed_result(catalog: SourceCatalog, lines: dict[str, MonthTable], cfg: VariantConfig, state: str,
                      load_ts: datetime | None = None) -> DataFrame:
-    """The job's 73 columns from the refreshed state."""
-    return crm_enrichment(refresh(catalog, lines, cfg, state).monthly, catalog.table("account_xref"), cfg, load_ts)
+    """The job's 73 columns from the refreshed state; only rows that can coincide are made distinct by a shuffle."""
+    return crm_enrichment(refresh(catalog, lines, cfg, state).monthly, catalog.table("account_xref"), cfg, load_ts, proven=True)

@@ -21,7 +21,7 @@ from salesfacts.functions.exprs import (classify, convert, difference, month_sta
                                         typed_null)
 from salesfacts.operators.dims import (fx_rates_month_start, material_list, rate_filter,
                                        rate_overlaps, top1_per_group)
-from salesfacts.operators.enrich import xref_keyed
+from salesfacts.operators.enrich import crm_enrichment, xref_keyed
 from salesfacts.operators.facts import aggregate_daily, build_fact, daily_keys, fact_predicate
 from salesfacts.operators.joins import attach_rate
 from salesfacts.operators.rollup import currency_key, unified_facts
@@ -534,10 +534,21 @@ def q_agg_group_raw_output_coalesced(spark, sf):
 register("distinct_projection", W(
     "SELECT DISTINCT from_currency_code, valid_from_date, valid_to_date, exchange_rate FROM exchange_rates"))(
     lambda s, sf: T(s, sf, "exchange_rates").select(*_RC).distinct())
-register("distinct_rows", W("SELECT DISTINCT * FROM account_xref"))(
+register("distinct_xref_rows", W("SELECT DISTINCT * FROM account_xref"))(
     lambda s, sf: T(s, sf, "account_xref").distinct())
 
 
+@register("distinct_rows", W(O.final_sql(NAF_PROD, LOAD_TS), O.job_ctes(NAF_PROD)))
+def q_distinct_rows(spark, sf):
+    """The job's DISTINCT over all 73 columns, by key proof: the stored roll-up's rows that cannot
+    print alike leave the xref join as they are, and the rest is made distinct."""
+    c = catalog(spark, sf)
+    table = MonthTable(spark, scratch(spark, "monthly"))
+    table.publish(P.monthly(c, NAF_PROD), F.concat("calendar_year", "calendar_month"))
+    return crm_enrichment(table.read(), c.table("account_xref"), NAF_PROD, LOAD_TS, proven=True)
+
+
+
 # === 2.6 windows / 2.7 top-k / 2.8 set operations ============================
 
 register("window_latest_single_key", W(O.material_list_sql(NA_PBC)))(

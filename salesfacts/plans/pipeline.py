@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from salesfacts.config import VariantConfig
-from salesfacts.operators.dims import fx_rates_month_start, fx_rates_validity, material_list
+from salesfacts.operators.dims import fx_rates_month_start, fx_rates_validity, material_list, material_scope
 from salesfacts.operators.enrich import crm_enrichment
 from salesfacts.operators.facts import build_facts
 from salesfacts.operators.rollup import monthly_sales, unified_facts
@@ -53,7 +53,8 @@ def monthly(catalog: SourceCatalog, cfg: VariantConfig) -> DataFrame:
     """The 66-column monthly relation before CRM enrichment."""
     return monthly_sales(unified_facts(facts_for(catalog, cfg)),
                          reuse_dimension(material_list(catalog.table("material_master"), cfg), cfg),
-                         reuse_dimension(rates_for(catalog, cfg), cfg), cfg)
+                         reuse_dimension(rates_for(catalog, cfg), cfg), cfg,
+                         scope=None if cfg.checkpoint_dims else material_scope(catalog.table("material_master"), cfg))
 
 
 def run(catalog: SourceCatalog, cfg: VariantConfig, load_ts: datetime | None = None) -> DataFrame:

@@ -78,6 +78,12 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        # A material list too big to broadcast filters the fact scans by a Bloom filter, 10 bits a material or so.
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4g",
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "10000000",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 28),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.parquet.filterPushdown": "true",

@@ -64,6 +64,29 @@ def no_broadcast(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_a_bloom_filter_stands_before_the_daily_sums(spark, parquet_catalog, no_broadcast):
+    """Where the material list is not broadcast, each fact scan is filtered by a Bloom filter of it, below the daily aggregate."""
+    from salesfacts.plans.pipeline import monthly
+
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    want = monthly(parquet_catalog, NA_PBC)
+    without = want._jdf.queryExecution().optimizedPlan().toString()
+    assert "might_contain" not in without
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "1")  # the test tables are below the usual size
+    try:
+        got = monthly(parquet_catalog, NA_PBC)
+        lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        filters = [i for i, ln in enumerate(lines) if "might_contain" in ln]
+        assert len(filters) == 3
+        # in the scan's own filter, beside its day, and right below the daily aggregate
+        assert sorted(c for i in filters for c in ("derdato", "act_gi_dte", "bill_date") if f"isnotnull({c}" in lines[i]) == ["act_gi_dte", "bill_date", "derdato"]
+        assert all("Aggregate [" in next(ln for ln in reversed(lines[:i]) if "Project" not in ln) for i in filters)
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 0
+    finally:
+        spark.conf.set(key, prev)
+
+
 def _hot(catalog):
     """Billing lines of which 90 % have one account and one material."""
     from pyspark.sql import functions as F

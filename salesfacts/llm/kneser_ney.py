@@ -260,6 +260,16 @@ def _unpack(data: bytes) -> list[bytes]:
     return out
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their differences, byte by byte, so that the leading bytes, mostly zeros, compress."""
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), dtype=np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).reshape(-1).view(np.uint64), dtype=np.uint64)
+
+
 def _runs(batches, block_chars: int):
     """(name, ids, texts as bytes): runs of a task's rows of about ``block_chars`` bytes, named by their ids."""
     ids, held, size = [], [], 0
@@ -317,7 +327,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             parts = [keys[cuts[s]:cuts[s + 1]] for s in range(shards)]
             some = [s for s in range(shards) if s == 0 or len(parts[s])]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
-                                              pa.array([parts[s].tobytes() for s in some], pa.binary())], names=["shard", "block", "keys"])
+                                              pa.array([_pack_keys(parts[s]) for s in some], pa.binary())], names=["shard", "block", "keys"])
 
     held = rows.mapInArrow(hold, "block long, ids binary, payload binary")
     asked = rows.mapInArrow(ask, "shard int, block long, keys binary")
@@ -335,10 +345,10 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
         mk, mv = mk[order_], mv[order_]
         for b in left:
             for block, data in zip(b.column("block").to_pylist(), b.column("keys")):
-                keys = np.frombuffer(data.as_py(), dtype=np.uint64)
+                keys = _unpack_keys(data.as_py())
                 at = np.minimum(np.searchsorted(mk, keys), max(len(mk) - 1, 0))
                 hit = mk[at] == keys if len(mk) else np.zeros(len(keys), dtype=bool)
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([keys[hit].tobytes()], pa.binary()),
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_pack_keys(keys[hit])], pa.binary()),
                                                   pa.array([mv[at[hit]].astype("<f4").tobytes()], pa.binary())], names=["block", "keys", "vals"])
 
     answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(on_tables(answer, "block long, keys binary, vals binary"), "block long, keys binary, vals binary")
@@ -350,7 +360,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             raise RuntimeError("a block of texts has no answers")
         for b in right:
             for k, v in zip(b.column("keys"), b.column("vals")):
-                keys.append(np.frombuffer(k.as_py(), dtype=np.uint64))
+                keys.append(_unpack_keys(k.as_py()))
                 vals.append(np.frombuffer(v.as_py(), dtype="<f4").reshape(-1, 2 * classes))
         keys, vals = np.concatenate(keys), np.concatenate(vals)
         keys, first = np.unique(keys, return_index=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import itertools
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from salesfacts.session import ensure_checkpoint_dir
+from salesfacts.sources.files import remove
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,14 +50,27 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table under spark.checkpoint.dir and read back.
 
     As ``checkpointed``, for steps of iterations: the table is compressed and its size
-    is known to the planner. Such tables stay until the folder is cleared.
+    is known to the planner. Such tables stay until ``discard`` or until the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if next(_made) % RELEASE_EVERY == 0:
         release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _tables[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+_tables: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote, once all that is computed from them is written; others are left alone."""
+    for df in tables:
+        ref, path = _tables.pop(id(df), (None, None))
+        if ref is not None and ref() is df:
+            remove(df.sparkSession, path)
 
 
 SMALL_ROWS = 2_000_000  # rows of a few numbers up to which a side is broadcast

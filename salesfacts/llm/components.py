@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import small, stored
+from salesfacts.llm.common import discard, small, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,8 +24,9 @@ def components(edges: DataFrame) -> DataFrame:
         old = known.select(F.col("id").alias("_id"), F.col("component").alias("_old"))
         up = known.select(F.col("id").alias("_up"), F.col("component").alias("_root"))
         step = near.join(old, near["a"] == old["_id"]).select("_id", "_old", F.least("_old", "_m").alias("_new"))
-        step = stored(step.join(up, F.col("_new") == F.col("_up")).select(
-            F.col("_id").alias("id"), "_old", F.least("_new", "_root").alias("component")))
-        labels = step.select("id", "component")
-        if not step.where(F.col("_old") != F.col("component")).limit(1).count():
+        before, labels = labels, stored(step.join(up, F.col("_new") == F.col("_up")).select(
+            F.col("_id").alias("id"), F.least("_new", "_root").alias("component"), "_old"))
+        discard(before)
+        if not labels.where(F.col("_old") != F.col("component")).limit(1).count():
+            discard(both)
             return labels

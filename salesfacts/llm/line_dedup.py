@@ -1,50 +1,58 @@
-"""Fuzzy line deduplication by MinHash, with DataFrame functions only.
+"""Fuzzy line deduplication by MinHash: banded signatures, exact Jaccard, distributed union-find.
 
 A line's normal form is lower-cased and trimmed; lines of at least ``MIN_CHARS``
 characters take part. Equal lines are one (by a 64-bit hash). A line's signature is
-the ``BOTTOM`` smallest hashes of its character shingles, and each pair of them is a
-band: lines that share a band are candidates. All ``SHINGLE``-character shingles
-count, the same ones that the exact comparison uses.
-
-Candidates that share enough of their ``SKETCH`` smallest hashes of all shingles
-are confirmed by the exact Jaccard similarity of their full sets of
-``SHINGLE``-character shingles, but not those already of one component. Each round:
-
-* a band of at most ``LEAF`` lines (``GROWTH`` times more each round, ``MOST_LEAF``
-  at most) is compared exhaustively;
-* one with at most so many lines outside its largest component compares those
-  with all of it;
-* in any other band all lines are compared with one line, chosen by hash, and all
-  stay for the next round; once the limit is ``MOST_LEAF``, in smaller bands of
-  those that also share one of their rarer sketch values (``_split``).
-
-So linked lines stay members until their band is one component or compared. A
-split loses a pair only if it has no sketch value in common but those of the
-whole band. The links' components keep the one line that stands first (by doc_id,
-then place).
+the ``BOTTOM`` smallest hashes of its ``SHINGLE``-character shingles, and each pair of
+them is a band: lines that share a band are compared, by the exact Jaccard similarity
+of their full sets of shingles (as 64-bit hashes).
+
+Bands are worked through in ``STEPS`` parts by key, each after the links of those
+before it were merged into components, so a band whose lines are of one component
+by then is done without moving a text. Of the others:
+
+* a band of at most ``LEAF`` lines is compared within: two lines only while they are of
+  different components, so a group of alike lines costs about as many comparisons
+  as it has lines;
+* one with at most ``LEAF`` lines outside its largest component compares those with
+  all of it, in blocks;
+* in any other band all lines are compared with one line, chosen by hash, and are
+  then dealt to bands of the same key and further signatures, from other hash functions, until these
+  are small or of one component.
+
+No band is cut. The links' components keep the one line that stands first (by doc_id,
+then place). Spark splits lines, groups bands, joins texts and merges components;
+signatures and comparisons are numpy over Arrow batches, since character shingles by
+built-in functions cost more than the scan they belong to (README).
 
 Defined results: null text stays null and has no lines; blank lines are kept,
-short ones unless ``short_repeats`` (then the first of equal ones is); a null doc_id keeps its row unchanged; rows that repeat a doc_id share their
-decisions; a document may lose all its lines and then has an empty text; an empty
-table gives no rows; ``n_lines`` and ``n_dropped`` replace columns of that name.
+short ones unless ``short_repeats`` (then the first of equal ones is); a null doc_id
+keeps its row unchanged; rows that repeat a doc_id share their decisions; a document
+may lose all its lines and then has an empty text; an empty table gives no rows;
+``n_lines`` and ``n_dropped`` replace columns of that name.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import release, small, stored
+from salesfacts.llm.common import discard, release, slices, small, stored
 from salesfacts.llm.components import components
 
 MIN_CHARS = 16
 SIMILARITY = 0.8
 SHINGLE = 5
 BOTTOM = 4
-LEAF, MOST_LEAF, GROWTH = 32, 512, 4  # lines up to which a band is compared all against all, in the first round and at most; its growth a round
-SKETCH, LIKELY = 16, 0.375  # smallest hashes of all shingles; the share that alike lines are sure to have in common
+STEPS = 4
+LEAF = 512  # lines up to which a band is compared within
+BLOCK = 256  # lines of a larger band that one row holds
+SKETCH, LIKELY = 16, 0.375  # smallest hashes compared first; the share that alike lines are sure to have in common
+SLICE_BYTES = 2 << 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
@@ -55,91 +63,186 @@ def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
     return rows.withColumn("h", F.xxhash64("line"))
 
 
-def _shingles(line: str, size: int) -> str:
-    return f"regexp_extract_all({line}, '(?=(.{{{size}}}))', 1)"
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _MIX
+    return x ^ (x >> np.uint64(29))
 
 
-def _bands(low: str) -> Column:
-    """A key for each pair of the smallest hashes; for a line with one shingle only that."""
-    pairs = [F.when(F.size(low) > j, F.xxhash64(F.col(low)[i], F.col(low)[j])) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
-    return F.when(F.size(low) == 1, F.array(F.xxhash64(F.col(low)[0]))).otherwise(F.array_compact(F.array(*pairs)))
+def line_sets(lines: list[str], seed: int = 0) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each line's shingles (of the line, if it is shorter); ``seed`` names the hash function."""
+    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    lens = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    n = max(0, len(points) - SHINGLE + 1)
+    h = np.full(n, seed + 1, dtype=np.uint64)
+    for j in range(SHINGLE):
+        h = (h ^ points[j:n + j]) * _MIX
+        h ^= h >> np.uint64(29)
+    owner = np.repeat(np.arange(len(lines)), lens)[:n]
+    inside = np.arange(n) <= np.repeat(np.cumsum(lens), lens)[:n] - SHINGLE
+    h, owner = _mixed(h[inside]), owner[inside]
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[new], owner[new]
+    return np.split(h, np.searchsorted(owner, np.arange(1, len(lines))))
 
 
-def _sketches(lines: DataFrame) -> DataFrame:
-    """(h, sk), distinct: the ``SKETCH`` smallest hashes of all of a line's shingles."""
-    hashes = f"transform({_shingles('line', SHINGLE)}, x -> xxhash64(x))"
-    return lines.select("h", F.slice(F.sort_array(F.array_distinct(F.expr(hashes))), 1, SKETCH).alias("sk")).distinct()
+def band_keys(lines: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the line, key) for each pair of a line's smallest hashes; for a line with one shingle only that."""
+    low = np.stack([np.pad(s[:BOTTOM], (0, max(0, BOTTOM - len(s)))) for s in line_sets(lines, seed)])  # no hash is 0, but for one in 2 ** 64
+    pairs = [(i, j) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
+    keys = np.stack([_mixed(low[:, i] * _MIX + low[:, j]) for i, j in pairs], axis=1)
+    wanted = np.stack([(low[:, j] != 0) | ((i, j) == (0, 1)) for i, j in pairs], axis=1)
+    place, which = np.nonzero(wanted)
+    return place, keys[place, which]
 
 
-def _keys(sketches: DataFrame) -> DataFrame:
-    """(key, h), distinct."""
-    return sketches.select(F.explode(_bands("sk")).alias("key"), "h").distinct()
+def _keys(rows: DataFrame, seed: int = 0) -> DataFrame:
+    """(key, h), distinct, of lines (h, line); with a column ``key`` the new keys are parts of it."""
+    parts = "key" in rows.columns
 
+    def run(batches):
+        seen: set = set()
+        for batch in batches:
+            for piece in slices(batch, "line", SLICE_BYTES):
+                h = piece.column("h").to_numpy()
+                old = piece.column("key").to_numpy() if parts else np.zeros(len(h), dtype=np.int64)
+                fresh = [i for i, x in enumerate(zip(old.tolist(), h.tolist())) if x not in seen and not seen.add(x)]
+                if len(seen) > 300_000:
+                    seen.clear()  # repeats then go in Spark's distinct
+                if fresh:
+                    lines = piece.column("line").take(pa.array(fresh)).to_pylist()
+                    place, keys = band_keys(lines, seed)
+                    h, old = h[fresh][place], old[fresh][place]
+                    keys = _mixed(keys ^ old.view(np.uint64)) if parts else keys
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(h)], names=["key", "h"])
 
-def _split(wide: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, h) of smaller bands: members that also share one of their rarer sketch values.
+    return rows.mapInArrow(run, "key long, h long").distinct()
 
-    Of each member's values in order of their number in the band, as many lead to a
-    band that two lines with ``LIKELY`` of their values in common share one. A value
-    that all members have does not split.
-    """
-    values = wide.select("key", "h", "m").join(texts.select("h", F.explode("sk").alias("v")), "h")
-    counts = values.groupBy("key", "v").agg(F.count("*").alias("f"))
-    ranked = values.join(counts, ["key", "v"]).groupBy("key", "h", "m").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("_v"))
-    rare = ranked.select("key", "h", "m", F.explode(F.expr(f"slice(_v, 1, size(_v) - CAST(ceil({LIKELY} * size(_v)) AS INT) + 1)")).alias("_r"))
-    return rare.where((F.col("_r.f") > 1) & (F.col("_r.f") < F.col("m"))).select((F.col("key").bitwiseXOR(F.xxhash64("_r.v"))).alias("key"), "h").distinct()
+
+def _alike(a: np.ndarray, b: np.ndarray) -> bool:
+    if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)) - 1e-9:
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= SIMILARITY * (len(a) + len(b) - common) - 1e-9
+
+
+def _likely(sketch: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    """Which of ``others`` share enough of their smallest hashes with one line's."""
+    common = (others[:, :, None] == sketch[None, None, :sizes]).any(axis=1).sum(axis=1)
+    return common >= LIKELY * np.minimum(sizes, other_sizes) - 1e-9
+
+
+def links_between(hs: list[int], comps: list[int], sets: list[np.ndarray], first: int) -> list[tuple[int, int]]:
+    """Confirmed pairs of the first ``first`` lines with those before them and with all later ones; only while of different components."""
+    up: dict[int, int] = {c: c for c in comps}
+
+    def find(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    n, out = len(hs), []
+    if n > 4:
+        sizes = np.fromiter((min(SKETCH, len(s)) for s in sets), dtype=np.int64, count=n)
+        # 0 fills short sketches of the others; a line's own is cut to its size
+        sketches = np.stack([np.pad(s[:SKETCH], (0, SKETCH - k)) for s, k in zip(sets, sizes)])
+    for i in range(min(first, n)):
+        rest = range(i + 1, n)
+        if n > 4:
+            rest = (i + 1 + np.flatnonzero(_likely(sketches[i], int(sizes[i]), sketches[i + 1:], sizes[i + 1:]))).tolist()
+        for j in rest:
+            a, b = find(comps[i]), find(comps[j])
+            if a != b and _alike(sets[i], sets[j]):
+                up[a] = b
+                out.append((hs[i], hs[j]))
+    return out
+
+
+def _compared(rows: DataFrame) -> DataFrame:
+    """(a, b): confirmed links of each row's lines ``x`` with each other and with its lines ``y``, arrays of (h, comp, line); a null ``y`` is none."""
+    def run(batches):
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            held, lines, size = [], [], 0
+            for i in range(batch.num_rows + 1):
+                if held and (i == batch.num_rows or size > SLICE_BYTES):
+                    sets = line_sets(lines)
+                    for at, hs, comps, first in held:
+                        found += links_between(hs, comps, sets[at:at + len(hs)], first)
+                    held, lines, size = [], [], 0
+                if i < batch.num_rows:
+                    x, y = batch.column("x")[i].as_py(), batch.column("y")[i].as_py() or []
+                    both = x + y
+                    held.append((len(lines), [r["h"] for r in both], [r["comp"] for r in both], len(x)))
+                    lines += [r["line"] for r in both]
+                    size += sum(len(r["line"]) for r in both)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    return rows.select("x", "y").mapInArrow(run, "a long, b long")
+
+
+def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """The links confirmed in bands (key, h) under the components ``known``, and the bands that are left for the next round."""
+    marked = stored(bands.join(small(known), bands["h"] == known["id"], "left").select("key", "h", F.coalesce("component", "h").alias("comp")))
+    parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    open_ = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    met = stored(marked.join(open_, "key").select("key", "h", "comp", "size", F.col("top.comp").alias("top"), (F.col("size") - F.col("top.n")).alias("outside")))
+    discard(marked)
+    kind = F.when(F.col("size") <= LEAF, "few").when(F.col("outside") <= LEAF, "ruled").otherwise("wide")
+    kinds = {r["kind"] for r in met.groupBy(kind.alias("kind")).count().collect()}  # 3 rows
+    if not kinds:
+        discard(met)
+        return None, None
+    member, none = F.struct("h", "comp", "line"), F.lit(None).cast("array<struct<h: long, comp: long, line: string>>")
+    block = F.pmod(F.xxhash64("h"), F.ceil(F.col("size") / BLOCK)).alias("s")
+    rows = met.withColumn("kind", kind).join(texts, "h")
+    work = []
+    if "few" in kinds:
+        work.append(rows.where("kind = 'few'").groupBy("key").agg(F.collect_list(member).alias("x")).select("x", none.alias("y")))
+    if "ruled" in kinds:
+        ruled = rows.where("kind = 'ruled'")
+        out = ruled.where("comp <> top").groupBy("key").agg(F.collect_list(member).alias("x"))
+        inside = ruled.where("comp = top").groupBy("key", block).agg(F.collect_list(member).alias("y"))
+        work.append(inside.join(out, "key").select("x", "y"))
+    if "wide" in kinds:
+        wide = rows.where("kind = 'wide'")
+        pivots = wide.groupBy("key").agg(F.min_by(member, F.xxhash64("h", "key", F.lit(turn))).alias("p")).select("key", F.array("p").alias("x"))
+        work.append(wide.groupBy("key", block).agg(F.collect_list(member).alias("y")).join(pivots, "key").select("x", "y"))
+    links = stored(reduce(DataFrame.union, [_compared(w) for w in work]))
+    left = stored(_keys(met.where(kind == "wide").select("key", "h").join(texts, "h"), turn + 1)) if "wide" in kinds else None
+    discard(met)
+    return links, left
 
 
-def _links(docs: DataFrame) -> DataFrame:
-    """(a, b): hashes of lines confirmed alike."""
+def _linked(docs: DataFrame) -> DataFrame:
+    """(id, component) of the hashes of lines that are linked with another's."""
     spark = docs.sparkSession
-    sketches = stored(_sketches(_lines(docs)))
-    keys = stored(_keys(sketches))
-    groups = stored(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
-    active = stored(keys.join(small(groups), "key"))
+    keys = stored(_keys(_lines(docs).select("h", "line")))
+    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    active = stored(keys.join(shared, "key"))
+    discard(keys)
     need = stored(active.select("h").distinct())
-    texts = _lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))
-    texts = stored(texts.join(sketches, "h"))
-    links = spark.createDataFrame([], "a long, b long")
+    texts = stored(_lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line")))
+    discard(need)
+    found = []
     known = spark.createDataFrame([], "id long, component long")
-    seen = None
-    leaf = LEAF
-    while True:
-        merged = small(known)
-        marked = active.join(merged, active["h"] == merged["id"], "left").select("key", "h", F.coalesce("component", "h").alias("comp"))
-        marked = stored(marked)
-        parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        bands = parts.groupBy("key").agg(F.sum("n").alias("m"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
-        met = stored(marked.join(bands, "key").select("key", "h", "comp", "m", F.col("top.comp").alias("top"), (F.col("m") - F.col("top.n")).alias("outside")))
-        few = met.where(F.col("m") <= leaf)
-        ruled = met.where((F.col("m") > leaf) & (F.col("outside") <= leaf))
-        wide = met.where((F.col("m") > leaf) & (F.col("outside") > leaf))
-        other = lambda rows: rows.select("key", F.col("h").alias("rep"), F.col("comp").alias("rep_comp"))
-        pivots = wide.groupBy("key").agg(F.min(F.struct(F.xxhash64("h", F.lit(leaf)).alias("o"), "h", "comp")).alias("p")).select(
-            "key", F.col("p.h").alias("rep"), F.col("p.comp").alias("rep_comp"))
-        # Within a small band all; else what is outside the largest component with all; else all with one line.
-        pairs = reduce(DataFrame.union, [rows.join(others, "key").where("comp <> rep_comp").select(
-            F.greatest("h", "rep").alias("h"), F.least("h", "rep").alias("rep"))
-            for rows, others in ((few, other(few)), (ruled, other(ruled.where("comp <> top"))), (wide, pivots))]).distinct()
-        pairs = stored(pairs if seen is None else pairs.join(seen, ["h", "rep"], "left_anti"))
-        seen = pairs if seen is None else stored(seen.union(pairs))
-        near = (pairs.join(texts.select("h", "sk"), "h").join(texts.select(F.col("h").alias("rep"), F.col("sk").alias("rep_sk")), "rep")
-                .where(F.size(F.array_intersect("sk", "rep_sk")) >= LIKELY * F.least(F.size("sk"), F.size("rep_sk"))).select("h", "rep"))
-        sides = near.join(texts.select("h", "line"), "h").join(texts.select(F.col("h").alias("rep"), F.col("line").alias("rep_line")), "rep")
-        # explode() of one struct keeps the optimiser from computing the sets once for each use.
-        sets = sides.select("h", "rep", F.explode(F.array(F.struct(F.expr(f"array_distinct({_shingles('line', SHINGLE)})").alias("a"),
-                                                                   F.expr(f"array_distinct({_shingles('rep_line', SHINGLE)})").alias("b")))).alias("s"))
-        sets = sets.select("h", "rep", F.explode(F.array(F.struct((F.size("s.a") + F.size("s.b")).alias("total"),
-                                                                  F.size(F.array_intersect("s.a", "s.b")).alias("common")))).alias("s")).select("h", "rep", "s.*")
-        found = stored(sets.where(f"common >= {SIMILARITY} * (total - common) - 1e-9").select(F.col("rep").alias("a"), F.col("h").alias("b")))
-        if found.limit(1).count():
-            links = stored(links.union(found))
-            known = components(links)
-        active = stored(_split(wide, texts) if leaf == MOST_LEAF else wide.select("key", "h"))
-        leaf = min(GROWTH * leaf, MOST_LEAF)
-        release(spark)
-        if not active.limit(1).count():
-            return links
+    for step in range(STEPS):
+        bands, turn = active.where(F.pmod("key", F.lit(STEPS)) == step), 0
+        while bands is not None:
+            links, left = _band_round(bands, known, texts, turn)
+            if turn:
+                discard(bands)
+            if links is not None and links.limit(1).count():
+                found.append(links)
+                discard(known)
+                known = components(reduce(DataFrame.union, found))
+            bands, turn = left, turn + 1
+            release(spark)
+    discard(active, texts)
+    return known
 
 
 def dedup_lines(docs: DataFrame, short_repeats: bool = False) -> DataFrame:
@@ -148,15 +251,17 @@ def dedup_lines(docs: DataFrame, short_repeats: bool = False) -> DataFrame:
     ``short_repeats``: exact repeats of lines too short for shingles go, too, unless blank.
     """
     lines = docs.select("doc_id", "text")
-    links = _links(lines)
-    component = components(links).select(F.col("id").alias("h"), "component")
-    places = _lines(lines, short_repeats).select("doc_id", "n", "h").join(small(stored(component)), "h", "left").select(
+    linked = _linked(lines)
+    component = small(linked).select(F.col("id").alias("h"), "component")
+    places = _lines(lines, short_repeats).select("doc_id", "n", "h").join(component, "h", "left").select(
         "doc_id", "n", F.coalesce("component", "h").alias("component"))
     places = stored(places)
+    discard(linked)
     first = places.groupBy("component").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("m")).where("m > 1")
     first = stored(first.select("component", F.col("first.doc_id").alias("_doc"), F.col("first.n").alias("_n")))
     extra = places.join(small(first), "component").where((F.col("doc_id") != F.col("_doc")) | (F.col("n") != F.col("_n")))
     drops = stored(extra.groupBy("doc_id").agg(F.sort_array(F.collect_set("n")).alias("_drop")))
+    discard(places, first)
     out = docs.drop("n_lines", "n_dropped").join(drops.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
     kept = F.expr("array_join(filter(split(text, '\\n'), (x, i) -> NOT array_contains(_drop, i)), '\\n')")
     return (out.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0)))

@@ -3,8 +3,9 @@
 A line's normal form is lower-cased and trimmed; lines of at least ``MIN_CHARS``
 characters take part. Equal lines are one (by a 64-bit hash). A line's signature is
 the ``BOTTOM`` smallest hashes of its ``SHINGLE``-character shingles, and each pair of
-them is a band: lines that share a band are compared, by the exact Jaccard similarity
-of their full sets of shingles (as 64-bit hashes).
+them is a band: lines that share a band are compared, first by their ``SKETCH`` smallest
+hashes, and where enough of these are the same by the exact Jaccard similarity of
+their full sets of shingles (as 64-bit hashes).
 
 Bands are worked through in ``STEPS`` parts by key, each after the links of those
 before it were merged into components, so a band whose lines are of one component
@@ -47,7 +48,7 @@ MIN_CHARS = 16
 SIMILARITY = 0.8
 SHINGLE = 5
 BOTTOM = 4
-STEPS = 4
+STEPS = 2
 LEAF = 512  # lines up to which a band is compared within
 BLOCK = 256  # lines of a larger band that one row holds
 SKETCH, LIKELY = 16, 0.375  # smallest hashes compared first; the share that alike lines are sure to have in common
@@ -68,8 +69,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def line_sets(lines: list[str], seed: int = 0) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of each line's shingles (of the line, if it is shorter); ``seed`` names the hash function."""
+def _windows(lines: list[str], seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line's place, 64-bit hash) of each shingle of the lines (of the line, if it is shorter); ``seed`` names the hash function."""
     lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     lens = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
@@ -80,7 +81,12 @@ def line_sets(lines: list[str], seed: int = 0) -> list[np.ndarray]:
         h ^= h >> np.uint64(29)
     owner = np.repeat(np.arange(len(lines)), lens)[:n]
     inside = np.arange(n) <= np.repeat(np.cumsum(lens), lens)[:n] - SHINGLE
-    h, owner = _mixed(h[inside]), owner[inside]
+    return owner[inside], _mixed(h[inside])
+
+
+def line_sets(lines: list[str]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each line's shingles."""
+    owner, h = _windows(lines, 0)
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
     new = np.ones(len(h), dtype=bool)
@@ -89,9 +95,21 @@ def line_sets(lines: list[str], seed: int = 0) -> list[np.ndarray]:
     return np.split(h, np.searchsorted(owner, np.arange(1, len(lines))))
 
 
+def smallest(lines: list[str], k: int, seed: int = 0) -> np.ndarray:
+    """(lines, k): each line's ``k`` smallest distinct 40-bit hashes of shingles, sorted; 0 fills short rows."""
+    owner, h = _windows(lines, seed)
+    both = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)) | np.uint64(1))
+    owner = (both >> np.uint64(40)).astype(np.int64)
+    place = np.arange(len(both)) - np.searchsorted(owner, owner)
+    out = np.zeros((len(lines), k), dtype=np.uint64)
+    low = place < k
+    out[owner[low], place[low]] = both[low] & np.uint64((1 << 40) - 1)
+    return out
+
+
 def band_keys(lines: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(place of the line, key) for each pair of a line's smallest hashes; for a line with one shingle only that."""
-    low = np.stack([np.pad(s[:BOTTOM], (0, max(0, BOTTOM - len(s)))) for s in line_sets(lines, seed)])  # no hash is 0, but for one in 2 ** 64
+    low = smallest(lines, BOTTOM, seed)
     pairs = [(i, j) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
     keys = np.stack([_mixed(low[:, i] * _MIX + low[:, j]) for i, j in pairs], axis=1)
     wanted = np.stack([(low[:, j] != 0) | ((i, j) == (0, 1)) for i, j in pairs], axis=1)
@@ -129,14 +147,57 @@ def _alike(a: np.ndarray, b: np.ndarray) -> bool:
     return common >= SIMILARITY * (len(a) + len(b) - common) - 1e-9
 
 
-def _likely(sketch: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
-    """Which of ``others`` share enough of their smallest hashes with one line's."""
-    common = (others[:, :, None] == sketch[None, None, :sizes]).any(axis=1).sum(axis=1)
-    return common >= LIKELY * np.minimum(sizes, other_sizes) - 1e-9
+def _sketched(texts: DataFrame) -> DataFrame:
+    """``texts`` (h, line) plus sk: the line's ``SKETCH`` smallest hashes, 4 bytes each."""
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, "line", SLICE_BYTES):
+                low = (smallest(piece.column("line").to_pylist(), SKETCH) >> np.uint64(8)).astype("<u4")
+                yield pa.RecordBatch.from_arrays([piece.column("h"), piece.column("line"), pa.array([r.tobytes() for r in low], pa.binary())],
+                                                 names=["h", "line", "sk"])
+
+    return texts.mapInArrow(run, "h long, line string, sk binary")
+
+
+def _partners(sketches: np.ndarray, comps: np.ndarray, first: int) -> np.ndarray:
+    """Which lines have a likely partner of another component, among pairs of the first ``first`` lines with all."""
+    n = len(sketches)
+    sizes = (sketches > 0).sum(axis=1)
+    out = np.zeros(n, dtype=bool)
+    for i in range(min(first, n)):
+        rest = i + 1 + np.flatnonzero(comps[i + 1:] != comps[i])
+        if len(rest):
+            own = sketches[i, :sizes[i]]
+            common = (sketches[rest][:, :, None] == own).any(axis=1).sum(axis=1)
+            hit = rest[common >= LIKELY * np.minimum(sizes[rest], sizes[i]) - 1e-9]
+            out[hit] = True
+            out[i] |= len(hit) > 0
+    return out
+
+
+def _likely(rows: DataFrame) -> DataFrame:
+    """(key, s, side, h, comp): of each row's lines ``x`` (side 0) and ``y`` (side 1), arrays of (h, comp, sk), those with a likely
+    partner of another component, among the pairs of ``x`` with itself and with ``y``; a null ``y`` is none."""
+    def run(batches):
+        for batch in batches:
+            parts = []
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                x, y = (row.column(c).flatten() for c in ("x", "y"))
+                h, comp = (np.concatenate([v.field(c).to_numpy() for v in (x, y)]) for c in ("h", "comp"))
+                sk = np.frombuffer(b"".join(x.field("sk").to_pylist() + y.field("sk").to_pylist()), dtype="<u4").reshape(-1, SKETCH)
+                at = np.flatnonzero(_partners(sk, comp, len(x)))
+                if len(at):
+                    key, s = (np.full(len(at), row.column(c)[0].as_py(), dtype=np.int64) for c in ("key", "s"))
+                    parts.append((key, s, (at >= len(x)).astype(np.int64), h[at], comp[at]))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=["key", "s", "side", "h", "comp"])
+
+    return rows.select("key", "s", "x", "y").mapInArrow(run, "key long, s long, side long, h long, comp long")
 
 
 def links_between(hs: list[int], comps: list[int], sets: list[np.ndarray], first: int) -> list[tuple[int, int]]:
-    """Confirmed pairs of the first ``first`` lines with those before them and with all later ones; only while of different components."""
+    """Confirmed pairs of the first ``first`` lines with those after them; only while of different components."""
     up: dict[int, int] = {c: c for c in comps}
 
     def find(c: int) -> int:
@@ -145,15 +206,8 @@ def links_between(hs: list[int], comps: list[int], sets: list[np.ndarray], first
         return c
 
     n, out = len(hs), []
-    if n > 4:
-        sizes = np.fromiter((min(SKETCH, len(s)) for s in sets), dtype=np.int64, count=n)
-        # 0 fills short sketches of the others; a line's own is cut to its size
-        sketches = np.stack([np.pad(s[:SKETCH], (0, SKETCH - k)) for s, k in zip(sets, sizes)])
     for i in range(min(first, n)):
-        rest = range(i + 1, n)
-        if n > 4:
-            rest = (i + 1 + np.flatnonzero(_likely(sketches[i], int(sizes[i]), sketches[i + 1:], sizes[i + 1:]))).tolist()
-        for j in rest:
+        for j in range(i + 1, n):
             a, b = find(comps[i]), find(comps[j])
             if a != b and _alike(sets[i], sets[j]):
                 up[a] = b
@@ -196,24 +250,27 @@ def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int)
     if not kinds:
         discard(met)
         return None, None
-    member, none = F.struct("h", "comp", "line"), F.lit(None).cast("array<struct<h: long, comp: long, line: string>>")
+    member, none, zero = F.struct("h", "comp", "sk"), F.lit(None).cast("array<struct<h: long, comp: long, sk: binary>>"), F.lit(0).cast("long").alias("s")
     block = F.pmod(F.xxhash64("h"), F.ceil(F.col("size") / BLOCK)).alias("s")
-    rows = met.withColumn("kind", kind).join(texts, "h")
+    rows = met.withColumn("kind", kind).join(texts.select("h", "sk"), "h")
     work = []
     if "few" in kinds:
-        work.append(rows.where("kind = 'few'").groupBy("key").agg(F.collect_list(member).alias("x")).select("x", none.alias("y")))
+        work.append(rows.where("kind = 'few'").groupBy("key").agg(F.collect_list(member).alias("x")).select("key", zero, "x", none.alias("y")))
     if "ruled" in kinds:
         ruled = rows.where("kind = 'ruled'")
         out = ruled.where("comp <> top").groupBy("key").agg(F.collect_list(member).alias("x"))
         inside = ruled.where("comp = top").groupBy("key", block).agg(F.collect_list(member).alias("y"))
-        work.append(inside.join(out, "key").select("x", "y"))
+        work.append(inside.join(out, "key").select("key", "s", "x", "y"))
     if "wide" in kinds:
         wide = rows.where("kind = 'wide'")
         pivots = wide.groupBy("key").agg(F.min_by(member, F.xxhash64("h", "key", F.lit(turn))).alias("p")).select("key", F.array("p").alias("x"))
-        work.append(wide.groupBy("key", block).agg(F.collect_list(member).alias("y")).join(pivots, "key").select("x", "y"))
-    links = stored(reduce(DataFrame.union, [_compared(w) for w in work]))
-    left = stored(_keys(met.where(kind == "wide").select("key", "h").join(texts, "h"), turn + 1)) if "wide" in kinds else None
-    discard(met)
+        work.append(wide.groupBy("key", block).agg(F.collect_list(member).alias("y")).join(pivots, "key").select("key", "s", "x", "y"))
+    likely = stored(reduce(DataFrame.union, [_likely(w) for w in work]))
+    side = lambda k: F.collect_list(F.when(F.col("side") == k, F.struct("h", "comp", "line")))
+    members = likely.join(texts.select("h", "line"), "h").groupBy("key", "s").agg(side(0).alias("x"), side(1).alias("y"))
+    links = stored(_compared(members))
+    left = stored(_keys(met.where(kind == "wide").select("key", "h").join(texts.select("h", "line"), "h"), turn + 1)) if "wide" in kinds else None
+    discard(met, likely)
     return links, left
 
 
@@ -225,7 +282,7 @@ def _linked(docs: DataFrame) -> DataFrame:
     active = stored(keys.join(shared, "key"))
     discard(keys)
     need = stored(active.select("h").distinct())
-    texts = stored(_lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line")))
+    texts = stored(_sketched(_lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))))
     discard(need)
     found = []
     known = spark.createDataFrame([], "id long, component long")

@@ -126,16 +126,16 @@ def test_large_bands_equal_brute_force(spark):
     assert got == _classes(lines)
 
 
-@pytest.mark.parametrize("leaf", [512, 24])
-def test_bands_beyond_the_leaf_equal_brute_force(spark, monkeypatch, leaf):
+@pytest.mark.parametrize("leaf,n", [(512, 700), (60, 150)])
+def test_bands_beyond_the_leaf_equal_brute_force(spark, monkeypatch, leaf, n):
     """Hundreds of variants of one long line, far beyond ``leaf`` alike ones in a band: blocks, pivots and further signatures find all components."""
     monkeypatch.setattr(line_dedup, "LEAF", leaf)
-    monkeypatch.setattr(line_dedup, "BLOCK", 64)
+    monkeypatch.setattr(line_dedup, "BLOCK", 40)
     rng = random.Random(13)
     vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(2000)]
     base = [rng.choice(vocabulary) for _ in range(60)]
     lines = []
-    for i in range(700):
+    for i in range(n):
         line = list(base)
         for _ in range(3 if i % 3 else 12):  # two thirds are alike, the others mostly single
             line[rng.randrange(60)] = rng.choice(vocabulary)
@@ -154,6 +154,8 @@ def test_line_sets_equal_plain_shingles():
         for b in range(a):
             x, y = ({lines[k][i:i + 5] for i in range(len(lines[k]) - 4)} for k in (a, b))
             assert len(set(sets[a].tolist()) & set(sets[b].tolist())) == len(x & y)
+    low = line_dedup.smallest(lines, 4)
+    assert [[int(v) for v in r if v] for r in low] == [sorted({int(h) >> 24 | 1 for h in s})[:4] for s in sets]
 
 
 def test_discarded_tables_are_gone(spark):

@@ -8,6 +8,7 @@ import uuid
 import weakref
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,14 @@ def discard(*tables: DataFrame) -> None:
             remove(df.sparkSession, path)
 
 
+def distinct_sorted(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted: by one sort, which for 64-bit numbers is many times faster than np.unique."""
+    values = np.sort(values)
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 SMALL_ROWS = 2_000_000  # rows of a few numbers up to which a side is broadcast
 
 

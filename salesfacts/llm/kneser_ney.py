@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from salesfacts.llm.common import checkpointed, release, slices, stored
+from salesfacts.llm.common import discard, distinct_sorted, release, slices, stored
 
 START, END = 2, 3
 BLOCK_CHARS = 12_000_000
@@ -150,16 +150,18 @@ def _grams(cls: int, words: Counter, order: int):
 
 
 def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> DataFrame:
-    """The model's rows (key, v: each class's share, then each class's weight) from ``count_grams``."""
-    counts = _untag(checkpointed(counts))
+    """The model's rows (key, v: each class's share, then each class's weight, 4 bytes each) from ``count_grams``, stored."""
+    tables = [stored(counts)]
+    counts = _untag(tables[0])
     pooled = counts.groupBy("k", "gram").agg(F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.first("initial").alias("initial"),
                                              F.sum("c").alias("c")).withColumn("cls", F.lit(POOL)) if shared else None
     own = counts if not shared else counts.union(pooled.select(counts.columns))
     wanted = (F.col("k") > shared) if not shared else ((F.col("cls") == POOL) == (F.col("k") <= shared))
     left = own.where("k >= 2").groupBy("cls", (F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count("*").alias("n_left"))
-    adjusted = _untag(checkpointed(own.where(wanted).join(left, ["cls", "k", "gram"], "left").select(
+    tables.append(stored(own.where(wanted).join(left, ["cls", "k", "gram"], "left").select(
         F.expr("(cls + 1) * 64 + 2 * k").alias("tag"), "gram", "ctx",
         F.when((F.col("k") == order) | F.col("initial"), F.col("c")).otherwise(F.coalesce("n_left", "c")).alias("c"))))
+    adjusted = _untag(tables[1])
     rows = adjusted.where("c <= 4").groupBy("cls", "k", "c").count().collect()  # at most 4 a class and order
     n = {(r["cls"], r["k"], r["c"]): r["count"] for r in rows}
     discounts = []
@@ -188,12 +190,12 @@ def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> D
         for b in batches:
             key = _mix(b.column("h").to_numpy().view(np.uint64) + np.uint64(2) * b.column("k").to_numpy().astype(np.uint64))
             v = np.stack([b.column(n).to_numpy() for n in names], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), len(names)).cast(pa.list_(pa.float32()))],
-                                             names=["key", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array([r.tobytes() for r in v.astype("<f4")], pa.binary())], names=["key", "v"])
 
-    model = checkpointed(wide.mapInArrow(keyed, "key long, v array<float>"))
-    del counts, pooled, own, left, adjusted, cut, contexts, grams, values, wide
-    release(model.sparkSession)  # the counts' shuffles and tables
+    model = stored(wide.mapInArrow(keyed, "key long, v binary"))
+    discard(*tables)
+    del counts, pooled, own, left, adjusted, cut, contexts, grams, values, wide, tables
+    release(model.sparkSession)  # the counts' shuffles
     return model
 
 
@@ -320,7 +322,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             found = [np.empty(0, dtype=np.uint64)]
             for at in range(0, len(words), 100_000):
                 found.append(distinct_keys(words[at:at + 100_000], order))
-            keys = np.unique(np.concatenate(found))  # sorted
+            keys = distinct_sorted(np.concatenate(found))
             shard = (keys & np.uint64(shards - 1)).astype(np.int64)
             cuts = np.searchsorted(np.sort(shard), np.arange(shards + 1))
             keys = keys[np.argsort(shard, kind="stable")]
@@ -338,7 +340,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
         model_keys, model_values = [], []
         for b in right:
             model_keys.append(b.column("key").to_numpy().view(np.uint64))
-            model_values.append(b.column("v").flatten().to_numpy().reshape(-1, 2 * classes))
+            model_values.append(np.frombuffer(b"".join(b.column("v").to_pylist()), dtype="<f4").reshape(-1, 2 * classes))
         mk = np.concatenate(model_keys) if model_keys else np.empty(0, dtype=np.uint64)
         mv = np.concatenate(model_values) if model_values else np.empty((0, 2 * classes), dtype=np.float32)
         order_ = np.argsort(mk)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import discard, release, slices, small, stored
+from salesfacts.llm.common import discard, distinct_sorted, release, slices, small, stored
 from salesfacts.llm.components import components
 
 MIN_CHARS = 16
@@ -98,7 +98,7 @@ def line_sets(lines: list[str]) -> list[np.ndarray]:
 def smallest(lines: list[str], k: int, seed: int = 0) -> np.ndarray:
     """(lines, k): each line's ``k`` smallest distinct 40-bit hashes of shingles, sorted; 0 fills short rows."""
     owner, h = _windows(lines, seed)
-    both = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)) | np.uint64(1))
+    both = distinct_sorted((owner.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)) | np.uint64(1))
     owner = (both >> np.uint64(40)).astype(np.int64)
     place = np.arange(len(both)) - np.searchsorted(owner, owner)
     out = np.zeros((len(lines), k), dtype=np.uint64)

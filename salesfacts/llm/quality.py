@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed
+from salesfacts.llm.common import checkpointed, discard
 from salesfacts.llm.kneser_ney import count_grams, score, train
 from salesfacts.llm.toxicity import SMALL_LABELS, text_id
 
@@ -70,6 +70,7 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE,
     part = F.conv(F.hex(F.substring("id", 17, 1)), 16, 10).cast("int")
     seen_by = F.element_at(F.array(*logs), F.pmod(part + 1, F.lit(FOLDS)) + 1)
     scored = checkpointed(scored.select(F.substring("id", 1, 16).alias("_text_id"), F.when(F.col("symbols") > 0, F.exp(-seen_by / F.col("symbols"))).alias("perplexity")))
+    discard(model)
     sample = texts.join(trusted, "_id").select("lang", text_id(F.col("text")).alias("_text_id")).join(scored, "_text_id").where("perplexity IS NOT NULL")
     limits = sample.rollup("lang").agg(F.grouping("lang").alias("_all"), F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     limits = checkpointed(limits)

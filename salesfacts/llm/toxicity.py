@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesfacts.llm.common import checkpointed
+from salesfacts.llm.common import checkpointed, discard
 from salesfacts.llm.kneser_ney import count_grams, score, train
 
 ORDER, SHARED = 5, 2
@@ -94,6 +94,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     model = train(count_grams(labelled.where(~fits).select((1 - F.col("toxic")).cast("int").alias("cls"), "text"), order, tokens), order, classes=2, shared=SHARED)
     scored = checkpointed(score(texts.select(text_id(F.col("text")).alias("id"), "text"), model, order, 2, tokens, features, FEATURES)
                           .dropDuplicates(["id"]))
+    discard(model)
     sample = (labelled.where(fits).select(text_id(F.col("text")).alias("id"), "toxic", F.xxhash64("_id").alias("_h"))
               .orderBy("_h").limit(fit_rows).join(scored, "id").collect())  # at most fit_rows rows of a few numbers
     out = docs.drop("score", "predicted").withColumn("_text_id", text_id(F.col("text").cast("string")))

@@ -87,12 +87,7 @@ def _windows(lines: list[str], seed: int) -> tuple[np.ndarray, np.ndarray]:
 def line_sets(lines: list[str]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each line's shingles."""
     owner, h = _windows(lines, 0)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    h, owner = h[new], owner[new]
-    return np.split(h, np.searchsorted(owner, np.arange(1, len(lines))))
+    return [distinct_sorted(x) for x in np.split(h, np.searchsorted(owner, np.arange(1, len(lines))))]
 
 
 def smallest(lines: list[str], k: int, seed: int = 0) -> np.ndarray:
@@ -143,7 +138,9 @@ def _keys(rows: DataFrame, seed: int = 0) -> DataFrame:
 def _alike(a: np.ndarray, b: np.ndarray) -> bool:
     if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)) - 1e-9:
         return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
+    if len(a) > len(b):
+        a, b = b, a
+    common = int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
     return common >= SIMILARITY * (len(a) + len(b) - common) - 1e-9
 
 

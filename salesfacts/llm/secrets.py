@@ -59,6 +59,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
+BLOCK = 128  # values of a running sum that are summed together
+CUT = 256  # characters of the parts that a text is cut into while it is redacted
 EXACT_LIMIT = 64  # strings that an exact set may hold while a query is derived
 
 # A query is None (no mandatory trigram), ("has", t), ("and", [...]) or ("or", [...]).
@@ -173,21 +175,45 @@ def candidates(postings: DataFrame, rules=RULES) -> DataFrame:
     return found.select("key", F.array_compact(F.array(*[F.when(_test(q, F.col("held")), F.lit(i)) for i, q in asked])).alias("rules"))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often ``use`` reads it inside other lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _before(values: Column, join) -> Column:
+    """For each of the whole numbers ``values`` the ``join`` (a sum or the greatest) of 0 and all before it.
+
+    Runs over blocks of ``BLOCK`` values and then over the blocks: appending copies an
+    array, so one run over all would cost the square of their number.
+    """
+    def run(items, of_type, at, out):
+        start = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS {of_type})").alias("out"))
+        return F.aggregate(items, start, lambda acc, x: F.struct(
+            join(acc["at"], at(x)).alias("at"), F.concat(acc["out"], F.array(out(acc["at"], x))).alias("out")))
+
+    def blocks(v):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda b: run(
+            F.slice(v, b * BLOCK + 1, F.lit(BLOCK)), "ARRAY<INT>", lambda x: x, lambda at, x: at))
+
+    whole = run(_bound(values, blocks), "ARRAY<ARRAY<INT>>", lambda x: x["at"], lambda at, x: F.transform(x["out"], lambda y: join(at, y)))
+    return F.when(F.size(values) > 0, F.flatten(whole["out"])).otherwise(F.expr("CAST(array() AS ARRAY<INT>)"))
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Array of (start, order, end) of a rule's matches: lengths of the gaps and matches, summed along the text."""
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    steps = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("hit"), tested.alias("part"))
-    none = F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, ord: INT, end: INT>>)")
+    steps = F.transform(F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("hit"), tested.alias("part")), lambda x: F.struct(
+        F.char_length(x["gap"]).alias("gap"), F.coalesce(F.char_length(x["hit"]), F.lit(0)).alias("hit"),
+        F.coalesce(F.char_length(x["part"]) >= rule.least, F.lit(False)).alias("good")))
 
-    def step(acc, x):
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.coalesce(F.char_length(x["hit"]), F.lit(0))
-        good = F.char_length(x["part"]) >= rule.least
-        return F.struct(end.alias("at"), F.when(F.coalesce(good, F.lit(False)), F.concat(
-            acc["out"], F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end"))))).otherwise(acc["out"]).alias("out"))
+    def place(s):
+        placed = F.zip_with(s, _before(F.transform(s, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b), lambda x, at: F.struct(
+            x["good"].alias("good"), (at + x["gap"]).alias("start"), (at + x["gap"] + x["hit"]).alias("end")))
+        return F.transform(F.filter(placed, lambda x: x["good"]), lambda x: F.struct(
+            x["start"].alias("start"), F.lit(order).alias("ord"), x["end"].alias("end")))
 
-    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return _bound(steps, place)
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
@@ -213,13 +239,24 @@ def span_text(spans: Column, rules=RULES) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with the spans' characters replaced by ``mark``, overlapping spans by one."""
-    end = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc, s):
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(s["start"] >= acc["at"], F.struct(F.concat(acc["out"], gap, F.lit(mark)).alias("out"), s["end"].alias("at"))).otherwise(
-            F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at")))
-
-    return F.when(F.size(spans) > 0, F.aggregate(spans, end, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))).otherwise(text)
+    """``text`` with the characters of ``spans`` (sorted by start) replaced by ``mark``, overlapping spans by one."""
+    def piece(cut, start, end):
+        """Characters from start to end of a text cut into parts of ``CUT``, whose middle parts are taken whole."""
+        first, last = F.floor(start / CUT).cast("int"), F.floor(end / CUT).cast("int")
+        head, tail = F.coalesce(F.get(cut, first), F.lit("")), F.coalesce(F.get(cut, last), F.lit(""))
+        return F.when(first == last, F.substring(head, start % CUT + 1, end - start)).otherwise(F.concat(
+            F.substring(head, start % CUT + 1, F.lit(CUT)), F.array_join(F.slice(cut, first + 2, last - first - 1), ""),
+            F.substring(tail, F.lit(1), end % CUT)))
+
+    def kept(s):
+        """(start, end) of what stays: before each span that begins after the end of all before it, and after the last."""
+        ends = F.transform(s, lambda x: x["end"])
+        gaps = F.zip_with(s, _before(ends, F.greatest), lambda x, at: F.struct(at.alias("start"), x["start"].alias("end")))
+        rest = F.struct(F.array_max(ends).alias("start"), F.char_length(text).alias("end"))
+        return F.concat(F.filter(gaps, lambda x: x["end"] >= x["start"]), F.array(rest))
+
+    def replaced(cut):
+        return F.array_join(F.transform(_bound(spans, kept), lambda x: piece(cut, x["start"], x["end"])), mark)
+
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CUT), F.lit(0))
+    return F.when(F.size(spans) > 0, _bound(cut, replaced)).otherwise(text)

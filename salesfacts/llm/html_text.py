@@ -22,6 +22,7 @@ table gives no rows; input columns named like the outputs are replaced.
 from __future__ import annotations
 
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -62,6 +63,8 @@ CLOSED_BY = {
 SCOPE = frozenset("article aside body button div footer form header main nav section table td th ul ol li blockquote".split())
 
 _WORD = re.compile(r"[a-z]+")
+_COMMENT_END, _SECTION_END, _CONDITION_END = re.compile(r"--!?\s*>"), re.compile(r"\]\s*\]\s*>"), re.compile(r"\]\s*>")
+_SECTION_NAME = re.compile(r"<!\[\s*(temp|cdata|ignore|include|rcdata|if|else|endif)\b", re.I)
 
 
 class Node:
@@ -86,54 +89,85 @@ def _furniture(tag: str, attrs, inside: bool) -> bool:
 
 
 class _Tree(HTMLParser):
-    """Elements and texts of a page; unclosed elements end with what holds them."""
+    """Elements and texts of a page; unclosed elements end with what holds them.
 
-    def __init__(self):
+    ``at`` holds the places of the open elements by tag, ``scopes`` those of ``SCOPE``,
+    ``inside`` the number of open articles and mains: no tag looks at all that is open.
+    """
+
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
+        self.last = {end: max((m.start() for m in end.finditer(html)), default=-1) for end in (_COMMENT_END, _SECTION_END, _CONDITION_END)}
         self.root = Node("#page", False, False)
         self.open = [self.root]
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.inside = 0
+
+    def _push(self, node: Node) -> None:
+        n = len(self.open)
+        self.open.append(node)
+        self.at.setdefault(node.tag, []).append(n)
+        if node.tag in SCOPE:
+            self.scopes.append(n)
+        self.inside += node.tag in ("article", "main")
 
     def _close(self, n: int) -> None:
-        del self.open[n:]
+        while len(self.open) > n:
+            tag = self.open.pop().tag
+            self.at[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+            self.inside -= tag in ("article", "main")
 
-    def _end_open(self, tags, stop) -> None:
-        for n in range(len(self.open) - 1, 0, -1):
-            if self.open[n].tag in tags:
-                return self._close(n)
-            if self.open[n].tag in stop:
-                return None
+    def _last(self, tags) -> int:
+        return max((places[-1] for t in tags if (places := self.at.get(t))), default=0)
 
     def handle_starttag(self, tag, attrs):
-        if tag not in INLINE and tag not in VOID or tag == "hr":
-            self._end_open({"p"}, SCOPE)
+        if (tag not in INLINE and tag not in VOID or tag == "hr") and (p := self._last(("p",))) > (self.scopes[-1] if self.scopes else 0):
+            self._close(p)
         if tag in CLOSED_BY:
-            self._end_open(*CLOSED_BY[tag])
-        up = self.open[-1]
-        inside = any(n.tag in ("article", "main") for n in self.open)
+            tags, stop = CLOSED_BY[tag]
+            if (n := self._last(tags)) > self._last(stop):
+                self._close(n)
+        inside = self.inside > 0
         dropped = tag in DROPPED or (tag == "header" and not inside) or (tag not in ("html", "body") and _furniture(tag, attrs, inside))
         node = Node(tag, dropped, tag in ("article", "main") and not dropped)
-        up.kids.append(node)
+        self.open[-1].kids.append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._push(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.open[-1].tag == tag:
-            self.open.pop()
+            self._close(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for n in range(len(self.open) - 1, 0, -1):
-            if self.open[n].tag == tag:
-                return self._close(n)
+        if n := self._last((tag,)):
+            self._close(n)
 
     def handle_data(self, data):
         self.open[-1].kids.append(data)
 
+    def parse_comment(self, i, *args):
+        return super().parse_comment(i, *args) if self.last[_COMMENT_END] > i else -1  # -1: never closed, so it is text
+
+    def parse_marked_section(self, i, *args):
+        name = _SECTION_NAME.match(self.rawdata, i)
+        if not name:
+            return self.parse_bogus_comment(i)
+        end = _CONDITION_END if name[1].lower() in ("if", "else", "endif") else _SECTION_END
+        return super().parse_marked_section(i, *args) if self.last[end] > i else -1
+
 
 def parse(html: str) -> Node:
-    tree = _Tree()
-    tree.feed(html)
+    """The element tree; what follows the last ">" cannot end a tag and is text."""
+    tree = _Tree(html)
+    cut = html.rfind(">") + 1
+    tree.feed(html[:cut])
     tree.close()
+    if cut < len(html):
+        tree.handle_data(unescape(html[cut:]))
     return tree.root
 
 
@@ -202,25 +236,24 @@ def main_text(html: str | None, templates=frozenset()) -> str:
         else:
             todo.extend((k, soft, hard) for k in reversed(node.kids) if isinstance(k, Node))
     found = found or wrapped
-    mains = [n for n in found if n.tag == "main"]
-    for m in mains:  # a main element may hold the article beside other things
-        inner = [n for n in _order(m)[1:] if n.tag == "article" and not n.dropped]
-        if inner:
-            at = found.index(m)
-            outer = {id(x) for n in inner for x in _order(n)[1:]}
-            found[at:at + 1] = [n for n in inner if id(n) not in outer and not _held_by_dropped(m, n)]
-    texts = [" ".join("".join(_pieces(n, templates)).split()) for n in (found or [root])]
+    held = [part for n in found for part in (_articles(n) or [n] if n.tag == "main" else [n])]
+    texts = [" ".join("".join(_pieces(n, templates)).split()) for n in (held or [root])]
     return " ".join(t for t in texts if t)
 
 
-def _held_by_dropped(top: Node, node: Node) -> bool:
-    todo = [(top, False)]
+def _articles(main: Node) -> list[Node]:
+    """A main element may hold the article beside other things: its outermost articles that nothing dropped holds, in page order."""
+    out: list[Node] = []
+    todo = [k for k in reversed(main.kids) if isinstance(k, Node)]
     while todo:
-        n, dropped = todo.pop()
-        if n is node:
-            return dropped
-        todo.extend((k, dropped or k.dropped) for k in n.kids if isinstance(k, Node))
-    return False
+        node = todo.pop()
+        if node.dropped:
+            continue
+        if node.tag == "article":
+            out.append(node)
+        else:
+            todo.extend(k for k in reversed(node.kids) if isinstance(k, Node))
+    return out
 
 
 def host_of(url):

@@ -42,6 +42,40 @@ def test_recurring_subtrees_of_a_host_are_deleted(spark):
     assert extract(empty(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))).count() == 0
 
 
+def test_odd_markup_takes_linear_time():
+    odd = ["<b>x</i>" * 100_000, "<main>" + "<article>a</article>" * 10_000 + "</main>", "<main>" + "<article>a" * 10_000,
+           "<p><button>" + "<b>" * 20_000 + "<hr>" * 20_000, "<" * 200_000, "<a " * 300_000, "<a " * 100_000 + ">", "<!-- >" * 50_000, "<!--" + "-- " * 100_000,
+           "<![CDATA[ >" * 30_000 + "]>", "<![if >" * 30_000, "<a b='x>" * 40_000, "<ul>" + "<li>x<b>" * 50_000, "<p><span>" * 50_000, "</" * 100_000 + ">"]
+    for html in odd:
+        started = time.time()
+        main_text(html, frozenset([0]))
+        assert time.time() - started < 20, html[:40]
+    assert main_text("a <b c") == "a <b c" and main_text("x <!-- y") == "x <!-- y" and main_text("x<!-- y > --> z") == "x z"
+    assert main_text("<p>a</p><![foo[ x ]]><p>b &am") == "a b &am"
+    assert main_text("<main>a<aside><article>b</article></aside><div><article>c<article>d</article></article></div>e</main>f") == "c d"
+
+
+def test_templates_decide_where_tags_do_not(spark):
+    """Pages without article or main, and with notices inside one: what stays is told by counts on the host alone."""
+    rng = random.Random(8)
+    pages, wanted = [], {}
+    for i in range(60):
+        own = f"story {i} " + " ".join(str(rng.random()) for _ in range(5))
+        top, box, foot = "<div><a href=/>Home</a> <a href=/n>News</a></div>", "<div><p>Our app is <b>new</b></p></div>", "<div>All rights kept</div>"
+        rare = "<div>seen on few pages</div>" if i < 5 else ""
+        if i % 3:
+            html = f"<html><body>{top}<div><h1>T{i}</h1>{box}<p>{own}</p>{rare}</div>{foot}</body></html>"
+        else:
+            html = f"<html><body>{top}<article><h1>T{i}</h1>{box}<p>{own}</p>{rare}</article>{foot}</body></html>"
+        pages.append((i, f"http://h{i % 2}.example/{i}", html))
+        wanted[i] = f"T{i} {own}" + (" seen on few pages" if rare else "")
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    on = {r["page_id"]: r["text"] for r in extract(df).collect()}
+    off = {r["page_id"]: r["text"] for r in extract(df, least=1_000).collect()}
+    assert on == wanted
+    assert all(on[i] != off[i] and "Our app is new" in off[i] for i in on)
+
+
 def _spans(text):
     """Plain search with Python's own engine."""
     out = []

@@ -33,6 +33,7 @@ from salesfacts.session import ensure_checkpoint_dir
 from salesfacts.sources.catalog import LOGICAL_TABLES, SourceCatalog, write_standins
 from salesfacts.sources.months import MonthTable, VerificationError
 from salesfacts.sources.profiles import bind, load_profile
+from salesfacts.sources.standins import kept_lines
 
 W = O.with_standins
 q, qlist, trimws = O.q, O.qlist, O.trimws
@@ -98,7 +99,8 @@ def q_env_bound_source(spark, sf):
             file = f"{root}/{spec['environment']}.json"
             spark.createDataFrame([(json.dumps(spec),)], "value string").coalesce(1).write.text(file)
             profile = load_profile(spark, file)
-            jobs.append(P.run(bind(spark, profile), NAF_NONPROD, LOAD_TS).select(F.lit(profile.environment).alias("environment"), "*"))
+            rows = P.run(bind(spark, profile), NAF_NONPROD, LOAD_TS, store=f"{root}/{profile.environment}")
+            jobs.append(rows.select(F.lit(profile.environment).alias("environment"), "*"))
         return jobs[0].unionByName(jobs[1])
     finally:
         spark.sql(f"DROP NAMESPACE {space} CASCADE")  # external tables: the files stay, and the plans hold their paths

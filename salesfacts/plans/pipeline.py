@@ -57,12 +57,20 @@ def monthly(catalog: SourceCatalog, cfg: VariantConfig) -> DataFrame:
                          scope=None if cfg.checkpoint_dims else material_scope(catalog.table("material_master"), cfg))
 
 
-def run(catalog: SourceCatalog, cfg: VariantConfig, load_ts: datetime | None = None) -> DataFrame:
+def run(catalog: SourceCatalog, cfg: VariantConfig, load_ts: datetime | None = None, store: str | None = None) -> DataFrame:
     """The full job. ``load_ts`` pins the two row stamps (re-runs and retried
     tasks then write identical rows); by default they are the query time.
 
     Needs ANSI mode, under which bad dates, overflows and division by zero raise
     instead of becoming NULL. Building it starts no Spark job (unless
-    ``checkpoint_dims`` asks for one)."""
+    ``checkpoint_dims`` asks for one, or ``store``).
+
+    ``store`` names a new folder: the roll-up is computed now and written there, and the
+    result reads it. Then only rows that can coincide go through the DISTINCT's exchange,
+    and whoever uses the result several times does not recompute the facts."""
     require_ansi(catalog.spark)
-    return crm_enrichment(monthly(catalog, cfg), catalog.table("account_xref"), cfg, load_ts)
+    opl = monthly(catalog, cfg)
+    if store:
+        opl.write.option("compression", "zstd").parquet(store)
+        opl = catalog.spark.read.schema(opl.schema).parquet(store)
+    return crm_enrichment(opl, catalog.table("account_xref"), cfg, load_ts, proven=bool(store))

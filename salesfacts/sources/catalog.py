@@ -120,17 +120,18 @@ class SourceCatalog:
 
 def write_standins(spark: SparkSession, root: str, out_dir: str, files: int | None = None) -> dict[str, str]:
     """Materialise the stand-ins as parquet once (e.g. for benchmarks), so later
-    runs scan real files with pushed filters. Each table is written as
-    ``files`` files (default: the default parallelism), like a real table
-    that spans many files, so scans split across all cores.
+    runs scan real files with pushed filters. Each table is written as the tasks
+    that compute it give it, a file a task, without a further shuffle, or dealt
+    to ``files`` files. The line tables' join is computed once.
     Returns logical name -> path."""
-    from salesfacts.sources.standins import BUILDERS, BaseTables
+    from salesfacts.sources.standins import BUILDERS, BaseTables, kept_lines
 
-    n = files or spark.sparkContext.defaultParallelism
     base = BaseTables(spark, root)
     paths = {}
-    for name, build in BUILDERS.items():
-        path = f"{out_dir}/{name}"
-        conform(build(base), name).repartition(n).write.mode("overwrite").parquet(path)
-        paths[name] = path
+    with kept_lines(spark, root):
+        for name, build in BUILDERS.items():
+            path = f"{out_dir}/{name}"
+            rows = conform(build(base), name)
+            (rows.repartition(files) if files else rows).write.mode("overwrite").option("compression", "zstd").parquet(path)
+            paths[name] = path
     return paths

@@ -12,6 +12,8 @@ The twin of each stand-in in DuckDB SQL lives in ``salesfacts.plans.oracle``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,6 +86,17 @@ def _lines(base: BaseTables) -> DataFrame:
               .join(cu, F.col("o_custkey") == cu.c_custkey))
 
 
+@contextmanager
+def kept_lines(spark: SparkSession, root: str) -> Iterator[None]:
+    """Meanwhile the join that the three line tables start from is computed once and kept by the executors (memory,
+    then disk), whoever builds them from ``root``; otherwise each table shuffles the line items again."""
+    joined = _lines(BaseTables(spark, root)).persist()
+    try:
+        yield
+    finally:
+        joined.unpersist()
+
+
 def _line_dims() -> list[Column]:
     seg = F.col("c_mktsegment")
     org = None

@@ -123,15 +123,17 @@ def q_result_relation(spark, sf):
 def q_result_relation_staged(spark, sf):
     """All 73 columns through the staged sink: published, a run that fails before its commit, one that loses rows
     between two months and is refused, and a second good run; then read back."""
-    result = P.run(catalog(spark, sf), NA_TEST, LOAD_TS)
-    table, month = MonthTable(spark, scratch(spark, "result"), sort=("opl_account_id", "material_number")), I.result_month()
+    root = scratch(spark, "result")
+    with kept_lines(spark, sf):
+        result = P.run(catalog(spark, sf), NA_TEST, LOAD_TS, store=f"{root}/rollup")
+    table, month = MonthTable(spark, f"{root}/table", sort=("opl_account_id", "material_number")), I.result_month()
     table.publish(result, month)
     first = table.months()
 
     def fail():
         raise OSError("the run ends before its commit")
 
-    half = result.where(F.xxhash64("opl_account_id") % 2 == 0)
+    half = table.read().where(F.xxhash64("opl_account_id") % 2 == 0)
     for broken, error, given in ((half, OSError, None), (half, VerificationError, sorted(first)[:-1])):
         try:
             table.publish(broken, month, months=given, before_commit=fail)

@@ -135,7 +135,7 @@ class MonthTable:
         # The rebalance hint groups a month into few files; AQE deals a large month to several tasks.
         ordered = binned.hint("rebalance", BIN).sortWithinPartitions(BIN, *self.sort)
         seen = ordered.observe(passed, F.count(F.lit(1)).alias("rows"), digest(binned).alias("digest"))
-        seen.write.partitionBy(BIN).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(folder)
+        seen.write.partitionBy(BIN).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "zstd").parquet(folder)
         back = self.spark.read.schema(binned.schema).parquet(folder)
         found = back.groupBy(BIN).agg(F.count(F.lit(1)).alias("rows"), digest(back).alias("digest"), digest(df).alias("own")).collect()
         wrote = passed.get

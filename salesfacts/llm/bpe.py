@@ -32,25 +32,24 @@ BATCH_WORDS, BATCH_SQUARES = 40_000, 8_000_000  # words of a run of the recursiv
 
 ENCODE = """
 WITH RECURSIVE step AS (
-  SELECT 0 AS k, word, pos, tok FROM positions
+  SELECT word, pos, tok, false AS done FROM positions
   UNION ALL
   (WITH pairs AS (
-     SELECT k, word, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
-     FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)),
+     SELECT word, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
+     FROM step WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)),
    ranked AS (
      SELECT p.*, m.rank FROM pairs p LEFT JOIN merges m ON m.pair = p.tok::BIGINT * 65536 + p.next_tok),
    best AS (
      SELECT word, min((rank::BIGINT << 40) | (pos::BIGINT << 20) | next_pos::BIGINT) AS b
-     FROM ranked WHERE rank IS NOT NULL GROUP BY word)
-   SELECT r.k + 1, r.word, r.pos, CASE WHEN r.pos = ((b >> 20) & 1048575) THEN (b >> 40)::INT ELSE r.tok END
-   FROM ranked r JOIN best USING (word) WHERE r.pos <> (b & 1048575)))
-SELECT word, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(k) OVER (PARTITION BY word) AS last FROM step) WHERE k = last GROUP BY word ORDER BY word
+     FROM ranked GROUP BY word)
+   SELECT r.word, r.pos, CASE WHEN r.pos = ((b >> 20) & 1048575) THEN (b >> 40)::INT ELSE r.tok END, b IS NULL
+   FROM ranked r JOIN best USING (word) WHERE b IS NULL OR r.pos <> (b & 1048575)))
+SELECT word, list(tok ORDER BY pos) AS ids FROM step WHERE done GROUP BY word ORDER BY word
 """
 
 DECODE = """
-SELECT seq, string_agg(hex(v.bytes), '' ORDER BY pos) AS bytes_hex
-FROM positions JOIN vocabulary v ON v.id = positions.tok GROUP BY seq ORDER BY seq
+SELECT seq, list(v.bytes ORDER BY pos) AS parts
+FROM positions LEFT JOIN vocabulary v ON v.id = positions.tok GROUP BY seq ORDER BY seq
 """
 
 
@@ -142,14 +141,23 @@ class Bpe:
         return [self.ranks[p] for p, live in zip(parts, alive) if live]
 
     def decode(self, sequences: list[bytes]) -> list[bytes]:
-        """Bytes of each id sequence, joined in position order."""
+        """Bytes of each id sequence, joined in position order. A run's lists lie one after the other in one buffer
+        of bytes; ids that the vocabulary lacks give none."""
+        import numpy as np
+        import pyarrow as pa
+
         out: list[bytes] = [b""] * len(sequences)
         some = [i for i, s in enumerate(sequences) if s]
         for at in range(0, len(some), 40_000):
             part = some[at:at + 40_000]
             self._rows("positions", [sequences[i] for i in part], "seq")
-            for i, h in zip(part, self.db.sql(DECODE).to_arrow_table().column("bytes_hex").to_pylist()):
-                out[i] = bytes.fromhex(h)
+            lists = self.db.sql(DECODE).to_arrow_table().column("parts").combine_chunks()
+            parts = lists.values.cast(pa.large_binary())
+            _, offsets, data = parts.buffers()
+            cut = np.frombuffer(offsets, dtype=np.int64)[parts.offset + lists.offsets.to_numpy()].tolist()
+            data = data.to_pybytes() if data is not None else b""
+            for k, i in enumerate(part):
+                out[i] = data[cut[k]:cut[k + 1]]
         return out
 
     def learn(self, words: set[str]) -> None:

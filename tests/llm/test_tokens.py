@@ -43,6 +43,11 @@ def test_encode_equals_tiktoken_and_decodes(bpe, tik, texts):
     assert decoded == [t.encode() for t in texts] == bpe.decode(ids)
 
 
+def test_unknown_ids_give_no_bytes_and_move_no_other_text(bpe):
+    unknown, known = np.array([65_000], "<u4").tobytes(), bpe.encode(["two words"])[0][0]
+    assert bpe.decode([unknown, known, b"", known + unknown]) == [b"", b"two words", b"", b"two words"]
+
+
 def test_long_words_follow_the_same_rule(bpe, tik):
     for t in ("a" * 5000, "abcab" * 400, "=" * 1000, " " * 700 + "x", "thththeererin" * 90):
         assert np.frombuffer(bpe.encode([t])[0][0], "<u4").tolist() == tik.encode_ordinary(t)

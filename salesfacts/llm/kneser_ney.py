@@ -9,7 +9,9 @@ A token may carry the end of the word before it: ``tail + "\\n" + word``. Its sy
 are the tail, START, the word's characters, END; only those after START are
 predicted, but the n-grams reach into the tail. So models cross word edges. A tail
 has ``order - 2`` symbols, or is the whole word before it with its START. N-grams that
-begin with START keep their raw counts.
+begin with START keep their raw counts. ``RUNNING`` in place of a token function means
+that every word but a text's first follows such a tail; those n-grams are read off the symbols of
+whole texts, without a string for each token.
 
 Training counts n-grams with Spark (raw counts for the highest order and for
 n-grams at a word's start, distinct left neighbours for the others), takes the
@@ -30,7 +32,7 @@ through one place, and a block needs memory for its own words only.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,10 @@ from salesfacts.llm.common import discard, distinct_sorted, release, slices, sto
 START, END = 2, 3
 BLOCK_CHARS = 12_000_000
 SLICE_CHARS = 2 << 20
+WORDS = 25_000  # distinct words whose symbols are laid out at a time
+RUN_CHARS = 1 << 19  # of running text laid out at a time
+RUN_GRAMS = 400_000  # distinct n-grams of running text that are held while they are counted
+RUNNING = None
 LEAST_SHARDS = 64
 POOL = -1  # the class under which shared orders are counted
 ALPHABET = 65_536  # the uniform distribution below the unigrams
@@ -107,14 +113,149 @@ def gram_key(h: np.ndarray, k: int) -> np.ndarray:
     return _mix(h + np.uint64(2 * k))
 
 
+# --- running text -----------------------------------------------------------------------
+
+
+class _Grams:
+    """Distinct longest n-grams: ``s`` (n, order) their last symbols, ``size`` how many of these count, ``key`` their names."""
+
+    def __init__(self, s: np.ndarray, size: np.ndarray, key: np.ndarray, times: np.ndarray):
+        self.s, self.size, self.key, self.times = s, size, key, times
+
+    @staticmethod
+    def merged(parts: list[_Grams], order: int) -> _Grams:
+        if not parts:
+            return _Grams(np.empty((0, order), dtype=np.uint32), np.empty(0, dtype=np.int8), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+        code, key = pd.factorize(np.concatenate([p.key for p in parts]))
+        at = np.empty(len(key), dtype=np.int64)
+        at[code] = np.arange(len(code))
+        times = np.bincount(code, weights=np.concatenate([p.times for p in parts]), minlength=len(key)).astype(np.int64)
+        return _Grams(np.concatenate([p.s for p in parts])[at], np.concatenate([p.size for p in parts])[at], key, times)
+
+    def orders(self):
+        """For each k: which n-grams reach it, and the hashes of their last k symbols, of these without the last and without the first."""
+        below = np.zeros(len(self.key), dtype=np.uint64)
+        for k in range(1, self.s.shape[1] + 1):
+            h = np.zeros(len(self.key), dtype=np.uint64)
+            for j in range(1, k + 1):
+                ctx = h
+                h = _mix(ctx * _A + self.s[:, j - k - 1] + np.uint64(j))
+            yield k, np.flatnonzero(self.size >= k), h, ctx, below
+            below = h
+
+
+def running_pieces(texts: Iterable[str]):
+    """Runs of pieces of texts, about ``RUN_CHARS`` together: (number of the text, its words after a space each, symbols that only lead to the others)."""
+    run, size = [], 0
+    for i, t in enumerate(texts):
+        words, at = " ".join(t.split()), 0
+        while at < len(words):
+            cut = words.find(" ", at + RUN_CHARS)
+            cut = len(words) if cut < 0 else cut
+            lead = words[words.rfind(" ", 0, at - 1) + 1:at - 1] + " " if at else ""
+            piece = (i, f" {lead}{words[at:cut]}", len(lead))
+            if run and size + len(piece[1]) > RUN_CHARS:
+                yield run
+                run, size = [], 0
+            run.append(piece)
+            size += len(piece[1])
+            at = cut + 1
+    if run:
+        yield run
+
+
+def running_grams(run: list[tuple[int, str, int]], order: int) -> tuple[np.ndarray, _Grams, np.ndarray]:
+    """The longest n-gram of each predicted symbol of a run's pieces, as a number among the distinct ones; these; and each piece's predicted symbols."""
+    _, laid, leads = zip(*run)
+    joined = "\n".join([*laid, ""])
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    start, last = points == 32, points == 10  # each word's START, and the place after a text's last word
+    at = np.flatnonzero(start)
+    first = np.ones(len(at), dtype=bool)
+    first[1:] = last[at[1:] - 1]
+    reach = np.where(first, at, np.roll(at, 1))  # n-grams reach to the START of the word before
+    word = np.cumsum(start) - 1 - start
+    word[at[first]] += 1
+    longest = np.minimum(np.arange(1, len(points) + 1) - reach[word], order).astype(np.int8)
+    known = np.where(start, np.uint64(START), points)
+    edges = np.flatnonzero(start | last)
+    symbols = known.copy()
+    symbols[edges] = END
+    h = key = np.zeros(len(points), dtype=np.uint64)
+    for k in range(1, order + 1):
+        left = np.zeros(len(points), dtype=np.uint64)
+        left[1:] = h[:-1]
+        left *= _A
+        h = _mix(left + symbols + np.uint64(k))
+        key = np.where(longest >= k, h, key)
+        if k < order:
+            h[edges] = _mix(left[edges] + known[edges] + np.uint64(k))
+    predicted = np.ones(len(points), dtype=bool)
+    for i, lead in zip(at[first].tolist(), leads):
+        predicted[i:i + 1 + lead] = False
+    key = gram_key(key, longest.astype(np.uint64))[predicted]
+    number, names = pd.factorize(key)
+    place = np.empty(len(names), dtype=np.int64)
+    place[number] = np.flatnonzero(predicted)
+    s = known.astype(np.uint32)[np.maximum(place[:, None] + np.arange(1 - order, 1), 0)]
+    s[:, -1] = symbols[place]
+    return number, _Grams(s, longest[place], names, np.bincount(number, minlength=len(names))), np.fromiter(map(len, laid), dtype=np.int64, count=len(laid)) - leads
+
+
+def running_keys(texts: Iterable[str], order: int) -> np.ndarray:
+    """As ``distinct_keys``, for running texts; sorted."""
+    found, held = _Grams.merged([], order), []
+    for run in running_pieces(texts):
+        held.append(running_grams(run, order)[1])
+        if sum(len(g.key) for g in held) > RUN_GRAMS:
+            found, held = _Grams.merged([found, *held], order), []
+    keys = [gram_key(np.zeros(1, dtype=np.uint64), 0)]
+    for k, at, h, ctx, _ in _Grams.merged([found, *held], order).orders():
+        keys += [distinct_sorted(gram_key(h[at], k)), distinct_sorted(gram_key(ctx[at], k - 1))]
+    return distinct_sorted(np.concatenate(keys))
+
+
+def running_logprobs(texts: list[str], order: int, keys: pd.Index, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(texts, classes) log-probabilities and each text's predicted symbols."""
+    classes = values.shape[1] // 2
+    out, symbols = np.zeros((len(texts), classes)), np.zeros(len(texts), dtype=np.int64)
+    for run in running_pieces(texts):
+        number, grams, sizes = running_grams(run, order)
+        p = np.full((len(grams.key), classes), 1 / ALPHABET)
+        for k, at, h, ctx, _ in grams.orders():
+            share, weight = _looked(keys, values, gram_key(h[at], k))[:, :classes], _looked(keys, values, gram_key(ctx[at], k - 1))[:, classes:]
+            p[at] = share + weight * p[at]
+        logs, owner = np.log(np.maximum(p, 1e-12)), [i for i, _, _ in run]
+        np.add.at(symbols, owner, sizes)
+        for c in range(classes):
+            np.add.at(out[:, c], owner, np.add.reduceat(logs[:, c][number], np.cumsum(sizes) - sizes))
+    return out, symbols
+
+
 # --- training ---------------------------------------------------------------------------
 
 
-def count_grams(texts: DataFrame, order: int, tokens: Callable[[str], list[str]]) -> DataFrame:
+def count_grams(texts: DataFrame, order: int, tokens: Callable[[str], list[str]] | None) -> DataFrame:
     """(tag, gram, ctx, suffix, c) from ``texts`` (cls int, text), counted map-side per run of rows and then by Spark.
 
     ``tag`` packs class, order and whether the n-gram starts its word (see ``_untag``).
     """
+    def run_on(batches):
+        held: dict[int, _Grams] = {}
+        for batch in batches:
+            for part in slices(batch, "text", RUN_CHARS):
+                by_class: dict[int, list[str]] = {}
+                for cls, text in zip(part.column("cls").to_pylist(), part.column("text").to_pylist()):
+                    by_class.setdefault(cls, []).append(text or "")
+                for cls, own in by_class.items():
+                    for run in running_pieces(own):
+                        grams = running_grams(run, order)[1]
+                        held[cls] = _Grams.merged([held[cls], grams], order) if cls in held else grams
+                        if len(held[cls].key) > RUN_GRAMS:
+                            yield from _counted(cls, held.pop(cls))
+        for cls, grams in held.items():
+            yield from _counted(cls, grams)
+
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE_CHARS):
@@ -125,7 +266,7 @@ def count_grams(texts: DataFrame, order: int, tokens: Callable[[str], list[str]]
                     if words:
                         yield from _grams(cls, words, order)
 
-    return texts.select("cls", "text").mapInArrow(run, "tag int, gram long, ctx long, suffix long, c long").groupBy("tag", "gram").agg(
+    return texts.select("cls", "text").mapInArrow(run_on if tokens is RUNNING else run, "tag int, gram long, ctx long, suffix long, c long").groupBy("tag", "gram").agg(
         F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.sum("c").alias("c"))
 
 
@@ -149,6 +290,17 @@ def _grams(cls: int, words: Counter, order: int):
             pa.array(np.bincount(back, weights=times[at]).astype(np.int64))], names=["tag", "gram", "ctx", "suffix", "c"])
 
 
+def _counted(cls: int, grams: _Grams):
+    for k, at, h, ctx, suffix in grams.orders():
+        code, found = pd.factorize(h[at])
+        first = np.empty(len(found), dtype=np.int64)
+        first[code] = at
+        yield pa.RecordBatch.from_arrays([
+            pa.array((64 * (cls + 1) + 2 * k + (grams.s[first, -k] == START)).astype(np.int32)), pa.array(found.view(np.int64)),
+            pa.array(ctx[first].view(np.int64)), pa.array(suffix[first].view(np.int64)),
+            pa.array(np.bincount(code, weights=grams.times[at], minlength=len(found)).astype(np.int64))], names=["tag", "gram", "ctx", "suffix", "c"])
+
+
 def train(counts: DataFrame, order: int, classes: int = 1, shared: int = 0) -> DataFrame:
     """The model's rows (key, v: each class's share, then each class's weight, 4 bytes each) from ``count_grams``, stored."""
     tables = [stored(counts)]
@@ -213,17 +365,21 @@ def distinct_keys(words: list[str], order: int) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _looked(keys: pd.Index, values: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The values of ``k``. Absent n-grams have share 0 and leave all weight below."""
+    absent = np.repeat([0.0, 1.0], values.shape[1] // 2)
+    at = keys.get_indexer(k)
+    return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.tile(absent, (len(k), 1))
+
+
 def word_logprobs(words: list[str], order: int, keys: pd.Index, values: np.ndarray) -> np.ndarray:
-    """(words, classes) log-probabilities; ``values`` (keys, shares and weights). Absent n-grams have share 0 and leave all weight below."""
+    """(words, classes) log-probabilities; ``values`` (keys, shares and weights)."""
+    if len(words) > WORDS:
+        return np.concatenate([word_logprobs(words[at:at + WORDS], order, keys, values) for at in range(0, len(words), WORDS)])
     symbols, place, lens, predicted = word_symbols(words)
     h = gram_hashes(symbols, order)
     classes = values.shape[1] // 2
-    absent = np.repeat([0.0, 1.0], classes)
-
-    def look(k: np.ndarray) -> np.ndarray:
-        at = keys.get_indexer(k)
-        return np.where((at < 0)[:, None], absent, values[at]) if len(keys) else np.tile(absent, (len(k), 1))
-
+    look = lambda k: _looked(keys, values, k)
     p = [np.full(len(symbols), 1 / ALPHABET) for _ in range(classes)]
     below = np.zeros(len(symbols), dtype=np.int64)  # number of the context among the distinct n-grams one order below
     weights = look(gram_key(np.zeros(1, dtype=np.uint64), 0))[:, classes:]
@@ -275,8 +431,8 @@ def _unpack_keys(data: bytes) -> np.ndarray:
 def _runs(batches, block_chars: int):
     """(name, ids, texts as bytes): runs of a task's rows of about ``block_chars`` bytes, named by their ids."""
     ids, held, size = [], [], 0
-    for batch in batches:
-        for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+    for part in (p for batch in batches for p in slices(batch, "text", SLICE_CHARS)):
+        for i, t in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
             b = (t or "").encode()
             if held and size + len(b) > block_chars:
                 yield xxhash.xxh3_64_intdigest(b"".join(ids)) - (1 << 63), ids, held
@@ -295,10 +451,12 @@ def _words_of(texts: list[bytes], tokens) -> list[str]:
     return list(seen)
 
 
-def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens: Callable[[str], list[str]],
+def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens: Callable[[str], list[str]] | None,
           features: Callable[[np.ndarray, np.ndarray], list[float]], names: list[str]) -> DataFrame:
     """(id, *names) for ``texts`` (id binary, text): ``features(logprobs (words, classes), symbols (words,))`` of each text.
 
+    Running text counts as one word (as none, if it is blank).
+
     The rows are read twice, for the blocks' keys and for their texts, in the same
     order and partitions both times: rows that do not come straight from files, but
     from a shuffle, are stored first. A block is named by the ids in it.
@@ -318,11 +476,15 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
     def ask(batches):
         """A block's distinct keys by shard, sorted."""
         for block, _, held in _runs(batches, BLOCK_CHARS):
-            words = _words_of(held, tokens)
-            found = [np.empty(0, dtype=np.uint64)]
-            for at in range(0, len(words), 100_000):
-                found.append(distinct_keys(words[at:at + 100_000], order))
-            keys = distinct_sorted(np.concatenate(found))
+            if tokens is RUNNING:
+                keys = running_keys((b.decode() for b in held), order)
+            else:
+                words = _words_of(held, tokens)
+                found = [np.empty(0, dtype=np.uint64)]
+                for at in range(0, len(words), WORDS):
+                    found.append(distinct_keys(words[at:at + WORDS], order))
+                keys = distinct_sorted(np.concatenate(found))
+                del words, found
             shard = (keys & np.uint64(shards - 1)).astype(np.int64)
             cuts = np.searchsorted(np.sort(shard), np.arange(shards + 1))
             keys = keys[np.argsort(shard, kind="stable")]
@@ -371,7 +533,16 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
             for ids, payload in zip(b.column("ids"), b.column("payload")):
                 yield from _score_block(_unpack(ids.as_py()), _unpack(payload.as_py()), keys, vals)
 
+    def _score_running(ids, payload, keys, vals):
+        logs, sizes = running_logprobs([b.decode() for b in payload], order, keys, vals)
+        some = (sizes > 0).astype(int)
+        cols = zip(*[features(logs[i:i + some[i]], sizes[i:i + some[i]]) for i in range(len(ids))])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *[pa.array(c, pa.float64()) for c in cols]], names=["id", *names])
+
     def _score_block(ids, payload, keys, vals):
+        if tokens is RUNNING:
+            yield from _score_running(ids, payload, keys, vals)
+            return
         number: dict[str, int] = {}
         logs, sizes = np.empty((0, classes)), np.empty(0)
         at = 0

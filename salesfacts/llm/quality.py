@@ -22,14 +22,12 @@ same probability; repeated rows get the same result; an empty table gives no row
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesfacts.llm.common import checkpointed, discard
-from salesfacts.llm.kneser_ney import count_grams, score, train
+from salesfacts.llm.kneser_ney import RUNNING, count_grams, score, train
 from salesfacts.llm.toxicity import SMALL_LABELS, text_id
 
 ORDER = 5
@@ -38,7 +36,7 @@ FOLDS = 2
 
 
 def tokens(text: str, order: int = ORDER) -> list[str]:
-    """The words, each after the last symbols of the word before it (``kneser_ney``)."""
+    """The words, each after the last symbols of the word before it, as ``RUNNING`` text has them (``kneser_ney``)."""
     words = text.split()
     tails = {w: ("\x02" + w)[2 - order:] if order > 2 else "" for w in set(words)}
     return words[:1] + [f"{tails[a]}\n{b}" for a, b in zip(words, words[1:])]
@@ -60,13 +58,12 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE,
     if trusted.count() <= SMALL_LABELS:
         trusted = F.broadcast(trusted)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"), "lang")
-    split = partial(tokens, order=order)
     # Not named, so that nothing holds the counts' shuffles once the model stands.
-    model = train(count_grams(texts.join(trusted, "_id").select(fold(F.col("text")).alias("cls"), "text"), order, split), order, classes=FOLDS)
+    model = train(count_grams(texts.join(trusted, "_id").select(fold(F.col("text")).alias("cls"), "text"), order, RUNNING), order, classes=FOLDS)
     logs = [f"logs{i}" for i in range(FOLDS)]
     # The part is the last byte of the id that the scores carry.
     named = texts.select(F.concat(text_id(F.col("text")), F.unhex(F.lpad(F.hex(fold(F.col("text"))), 2, "0"))).alias("id"), "text")
-    scored = score(named, model, order, FOLDS, split, features, [*logs, "symbols"]).dropDuplicates(["id"])
+    scored = score(named, model, order, FOLDS, RUNNING, features, [*logs, "symbols"]).dropDuplicates(["id"])
     part = F.conv(F.hex(F.substring("id", 17, 1)), 16, 10).cast("int")
     seen_by = F.element_at(F.array(*logs), F.pmod(part + 1, F.lit(FOLDS)) + 1)
     scored = checkpointed(scored.select(F.substring("id", 1, 16).alias("_text_id"), F.when(F.col("symbols") > 0, F.exp(-seen_by / F.col("symbols"))).alias("perplexity")))

@@ -2,12 +2,16 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 from functools import partial
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from salesfacts.llm import kneser_ney
 from salesfacts.llm.kneser_ney import count_grams, score, train
 from salesfacts.llm.quality import quality, tokens
 from salesfacts.llm.toxicity import held_out, score_toxicity, text_id
@@ -225,6 +229,49 @@ def test_unseen_good_texts_are_kept_as_trusted_ones_are(spark):
     assert not any(done[i] for i, _, _ in junk)
 
 
+def _counts(batches):
+    rows = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(5)))]
+    return {r[:2]: r[2:] for r in rows if r} if len(rows) == len({r[:2] for r in rows}) else rows
+
+
+@pytest.mark.parametrize("run_chars", [1 << 19, 20, 1])
+def test_running_text_equals_its_tokens(monkeypatch, run_chars):
+    monkeypatch.setattr(kneser_ney, "RUN_CHARS", run_chars)
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("ab\u00e9 \n\t ") for _ in range(rng.randrange(60))) for _ in range(120)] + ["", " ", "a", "a b", " \x1c x"]
+    for order in (1, 2, 3, 5):
+        words = [tokens(t, order) for t in texts]
+        distinct = Counter(w for ws in words for w in ws)
+        grams = kneser_ney._Grams.merged([kneser_ney.running_grams(run, order)[1] for run in kneser_ney.running_pieces(texts)], order)
+        assert _counts(kneser_ney._counted(1, grams)) == _counts(kneser_ney._grams(1, distinct, order))
+        keys = np.unique(kneser_ney.distinct_keys(list(distinct), order))
+        assert np.isin(kneser_ney.running_keys(texts, order), keys).all()
+        known = keys[np.random.default_rng(3).random(len(keys)) < 0.6]
+        values = np.random.default_rng(4).random((len(known), 4)).astype(np.float32)
+        logs, symbols = kneser_ney.running_logprobs(texts, order, pd.Index(known), values)
+        for i, ws in enumerate(words):
+            want = kneser_ney.word_logprobs(ws, order, pd.Index(known), values).sum(axis=0) if ws else [0, 0]
+            assert logs[i] == pytest.approx(want, rel=1e-9) and symbols[i] == sum(len(w) - w.find("\n") for w in ws)
+
+
+def _peak_mb(fn):
+    tracemalloc.start()
+    try:
+        fn()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_a_run_of_new_words_takes_bounded_memory():
+    """150,000 new words were laid out together, 160 MB and more; now some 25,000 at a time."""
+    words = [f"{i:07d}" for i in range(150_000)]
+    keys = pd.Index(np.arange(4, dtype=np.uint64))
+    assert _peak_mb(lambda: kneser_ney.word_logprobs(words, 5, keys, np.zeros((4, 4), dtype=np.float32))) < 90
+    text = " ".join(words * 3)
+    assert _peak_mb(lambda: kneser_ney.running_logprobs([text], 5, keys, np.zeros((4, 4), dtype=np.float32))) < 160
+
+
 def test_toxicity_order_reaches_five_characters():
     from salesfacts.llm import toxicity
 

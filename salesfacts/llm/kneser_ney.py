@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -47,10 +48,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from salesfacts.llm.common import discard, distinct_sorted, release, slices, stored
 
 START, END = 2, 3
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS, RUNNING_BLOCK_CHARS = 12_000_000, 32_000_000
 SLICE_CHARS = 2 << 20
 WORDS = 25_000  # distinct words whose symbols are laid out at a time
 RUN_CHARS = 1 << 19  # of running text laid out at a time
+RUNS = 24  # whose probabilities are looked up together
 RUN_GRAMS = 400_000  # distinct n-grams of running text that are held while they are counted
 RUNNING = None
 LEAST_SHARDS = 64
@@ -219,16 +221,23 @@ def running_logprobs(texts: list[str], order: int, keys: pd.Index, values: np.nd
     """(texts, classes) log-probabilities and each text's predicted symbols."""
     classes = values.shape[1] // 2
     out, symbols = np.zeros((len(texts), classes)), np.zeros(len(texts), dtype=np.int64)
-    for run in running_pieces(texts):
-        number, grams, sizes = running_grams(run, order)
-        p = np.full((len(grams.key), classes), 1 / ALPHABET)
-        for k, at, h, ctx, _ in grams.orders():
+    pieces = running_pieces(texts)
+    while runs := list(islice(pieces, RUNS)):
+        held, found = [], _Grams.merged([], order)
+        for run in runs:
+            number, grams, sizes = running_grams(run, order)
+            held.append((number.astype(np.int32), grams.key, sizes))
+            found = _Grams.merged([found, grams], order)
+        p = np.full((len(found.key), classes), 1 / ALPHABET)
+        for k, at, h, ctx, _ in found.orders():
             share, weight = _looked(keys, values, gram_key(h[at], k))[:, :classes], _looked(keys, values, gram_key(ctx[at], k - 1))[:, classes:]
             p[at] = share + weight * p[at]
-        logs, owner = np.log(np.maximum(p, 1e-12)), [i for i, _, _ in run]
-        np.add.at(symbols, owner, sizes)
-        for c in range(classes):
-            np.add.at(out[:, c], owner, np.add.reduceat(logs[:, c][number], np.cumsum(sizes) - sizes))
+        logs, places = np.log(np.maximum(p, 1e-12)), pd.Index(found.key)
+        for run, (number, key, sizes) in zip(runs, held):
+            owner, own = [i for i, _, _ in run], logs[places.get_indexer(key)]
+            np.add.at(symbols, owner, sizes)
+            for c in range(classes):
+                np.add.at(out[:, c], owner, np.add.reduceat(own[:, c][number], np.cumsum(sizes) - sizes))
     return out, symbols
 
 
@@ -428,6 +437,16 @@ def _unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
+def _pack_values(v: np.ndarray) -> bytes:
+    """Rows of numbers of 4 bytes, byte by byte: n-grams that were seen once share most of theirs."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(v, dtype="<f4").view(np.uint8).reshape(len(v), 4 * v.shape[1]).T.tobytes())
+
+
+def _unpack_values(data: bytes, columns: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(4 * columns, -1).T).view("<f4")
+
+
 def _runs(batches, block_chars: int):
     """(name, ids, texts as bytes): runs of a task's rows of about ``block_chars`` bytes, named by their ids."""
     ids, held, size = [], [], 0
@@ -468,14 +487,16 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
     while shards < int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         shards *= 2
 
+    block_chars = RUNNING_BLOCK_CHARS if tokens is RUNNING else BLOCK_CHARS
+
     def hold(batches):
-        for block, ids, held in _runs(batches, BLOCK_CHARS):
+        for block, ids, held in _runs(batches, block_chars):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_pack(ids)], pa.binary()), pa.array([_pack(held)], pa.binary())],
                                              names=["block", "ids", "payload"])
 
     def ask(batches):
         """A block's distinct keys by shard, sorted."""
-        for block, _, held in _runs(batches, BLOCK_CHARS):
+        for block, _, held in _runs(batches, block_chars):
             if tokens is RUNNING:
                 keys = running_keys((b.decode() for b in held), order)
             else:
@@ -513,7 +534,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
                 at = np.minimum(np.searchsorted(mk, keys), max(len(mk) - 1, 0))
                 hit = mk[at] == keys if len(mk) else np.zeros(len(keys), dtype=bool)
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_pack_keys(keys[hit])], pa.binary()),
-                                                  pa.array([mv[at[hit]].astype("<f4").tobytes()], pa.binary())], names=["block", "keys", "vals"])
+                                                  pa.array([_pack_values(mv[at[hit]])], pa.binary())], names=["block", "keys", "vals"])
 
     answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(on_tables(answer, "block long, keys binary, vals binary"), "block long, keys binary, vals binary")
 
@@ -525,7 +546,7 @@ def score(texts: DataFrame, model: DataFrame, order: int, classes: int, tokens:
         for b in right:
             for k, v in zip(b.column("keys"), b.column("vals")):
                 keys.append(_unpack_keys(k.as_py()))
-                vals.append(np.frombuffer(v.as_py(), dtype="<f4").reshape(-1, 2 * classes))
+                vals.append(_unpack_values(v.as_py(), 2 * classes))
         keys, vals = np.concatenate(keys), np.concatenate(vals)
         keys, first = np.unique(keys, return_index=True)
         keys, vals = pd.Index(keys), vals[first]

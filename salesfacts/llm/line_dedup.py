@@ -56,6 +56,13 @@ SLICE_BYTES = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` stored; the shuffle files that it was made from go at once, not with a later collection of the driver's."""
+    out = stored(df)
+    release(df.sparkSession)
+    return out
+
+
 def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """(doc_id, n, line, h) of the lines that take part (``short``: of all that are not blank); line in normal form."""
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "raw"))
@@ -237,10 +244,10 @@ def _compared(rows: DataFrame) -> DataFrame:
 
 def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int) -> tuple[DataFrame | None, DataFrame | None]:
     """The links confirmed in bands (key, h) under the components ``known``, and the bands that are left for the next round."""
-    marked = stored(bands.join(small(known), bands["h"] == known["id"], "left").select("key", "h", F.coalesce("component", "h").alias("comp")))
+    marked = _kept(bands.join(small(known), bands["h"] == known["id"], "left").select("key", "h", F.coalesce("component", "h").alias("comp")))
     parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
     open_ = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
-    met = stored(marked.join(open_, "key").select("key", "h", "comp", "size", F.col("top.comp").alias("top"), (F.col("size") - F.col("top.n")).alias("outside")))
+    met = _kept(marked.join(open_, "key").select("key", "h", "comp", "size", F.col("top.comp").alias("top"), (F.col("size") - F.col("top.n")).alias("outside")))
     discard(marked)
     kind = F.when(F.col("size") <= LEAF, "few").when(F.col("outside") <= LEAF, "ruled").otherwise("wide")
     kinds = {r["kind"] for r in met.groupBy(kind.alias("kind")).count().collect()}  # 3 rows
@@ -262,11 +269,11 @@ def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int)
         wide = rows.where("kind = 'wide'")
         pivots = wide.groupBy("key").agg(F.min_by(member, F.xxhash64("h", "key", F.lit(turn))).alias("p")).select("key", F.array("p").alias("x"))
         work.append(wide.groupBy("key", block).agg(F.collect_list(member).alias("y")).join(pivots, "key").select("key", "s", "x", "y"))
-    likely = stored(reduce(DataFrame.union, [_likely(w) for w in work]))
+    likely = _kept(reduce(DataFrame.union, [_likely(w) for w in work]))
     side = lambda k: F.collect_list(F.when(F.col("side") == k, F.struct("h", "comp", "line")))
     members = likely.join(texts.select("h", "line"), "h").groupBy("key", "s").agg(side(0).alias("x"), side(1).alias("y"))
-    links = stored(_compared(members))
-    left = stored(_keys(met.where(kind == "wide").select("key", "h").join(texts.select("h", "line"), "h"), turn + 1)) if "wide" in kinds else None
+    links = _kept(_compared(members))
+    left = _kept(_keys(met.where(kind == "wide").select("key", "h").join(texts.select("h", "line"), "h"), turn + 1)) if "wide" in kinds else None
     discard(met, likely)
     return links, left
 
@@ -274,12 +281,12 @@ def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int)
 def _linked(docs: DataFrame) -> DataFrame:
     """(id, component) of the hashes of lines that are linked with another's."""
     spark = docs.sparkSession
-    keys = stored(_keys(_lines(docs).select("h", "line")))
+    keys = _kept(_keys(_lines(docs).select("h", "line")))
     shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    active = stored(keys.join(shared, "key"))
+    active = _kept(keys.join(shared, "key"))
     discard(keys)
-    need = stored(active.select("h").distinct())
-    texts = stored(_sketched(_lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))))
+    need = _kept(active.select("h").distinct())
+    texts = _kept(_sketched(_lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))))
     discard(need)
     found = []
     known = spark.createDataFrame([], "id long, component long")
@@ -309,12 +316,12 @@ def dedup_lines(docs: DataFrame, short_repeats: bool = False) -> DataFrame:
     component = small(linked).select(F.col("id").alias("h"), "component")
     places = _lines(lines, short_repeats).select("doc_id", "n", "h").join(component, "h", "left").select(
         "doc_id", "n", F.coalesce("component", "h").alias("component"))
-    places = stored(places)
+    places = _kept(places)
     discard(linked)
     first = places.groupBy("component").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("m")).where("m > 1")
-    first = stored(first.select("component", F.col("first.doc_id").alias("_doc"), F.col("first.n").alias("_n")))
+    first = _kept(first.select("component", F.col("first.doc_id").alias("_doc"), F.col("first.n").alias("_n")))
     extra = places.join(small(first), "component").where((F.col("doc_id") != F.col("_doc")) | (F.col("n") != F.col("_n")))
-    drops = stored(extra.groupBy("doc_id").agg(F.sort_array(F.collect_set("n")).alias("_drop")))
+    drops = _kept(extra.groupBy("doc_id").agg(F.sort_array(F.collect_set("n")).alias("_drop")))
     discard(places, first)
     out = docs.drop("n_lines", "n_dropped").join(drops.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
     kept = F.expr("array_join(filter(split(text, '\\n'), (x, i) -> NOT array_contains(_drop, i)), '\\n')")

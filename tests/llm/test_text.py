@@ -251,3 +251,13 @@ def test_short_repeats_go_on_request(spark):
     df = spark.createDataFrame([(1, "Yes.\n\nno"), (2, "yes.\n \n\t\nno\nother"), (None, "no")], "doc_id long, text string")
     got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in dedup_lines(df, short_repeats=True).collect()}
     assert got == {1: ("Yes.\n\nno", 0), 2: (" \n\t\nother", 2), None: ("no", 0)}
+
+
+def test_shuffles_go_after_each_stored_step(spark, monkeypatch):
+    seen = []
+    for name in ("stored", "release"):
+        monkeypatch.setattr(line_dedup, name, lambda x, name=name, fn=getattr(line_dedup, name): (fn(x), seen.append(name))[0])
+    rows = [(i, f"a line that comes in every document of these {i % 2}") for i in range(4)]
+    assert line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_dropped = 1").count() == 3
+    at = [i for i, name in enumerate(seen) if name == "stored"]
+    assert len(at) > 5 and all(seen[i + 1] == "release" for i in at)

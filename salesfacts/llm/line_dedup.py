@@ -1,11 +1,13 @@
 """Fuzzy line deduplication by MinHash: banded signatures, exact Jaccard, distributed union-find.
 
 A line's normal form is lower-cased and trimmed; lines of at least ``MIN_CHARS``
-characters take part. Equal lines are one (by a 64-bit hash). A line's signature is
-the ``BOTTOM`` smallest hashes of its ``SHINGLE``-character shingles, and each pair of
-them is a band: lines that share a band are compared, first by their ``SKETCH`` smallest
-hashes, and where enough of these are the same by the exact Jaccard similarity of
-their full sets of shingles (as 64-bit hashes).
+characters take part. Equal lines are one (by a 64-bit hash). A line's signature has
+the least token of its ``SHINGLE``-character shingles under ``BANDS * ROWS`` hash functions,
+and each ``ROWS`` of them are a band: of lines at similarity 0.8 0.998 share one or more, of
+lines that have only common shingles of their language alike next to none. Lines
+that share a band are compared, first by their ``SKETCH`` smallest hashes, and where
+enough of these are the same by the exact Jaccard similarity of their full sets of
+shingles (as 64-bit hashes).
 
 Bands are worked through in ``STEPS`` parts by key, each after the links of those
 before it were merged into components, so a band whose lines are of one component
@@ -34,11 +36,13 @@ may lose all its lines and then has an empty text; an empty table gives no rows;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesfacts.llm.common import discard, distinct_sorted, release, slices, small, stored
@@ -47,13 +51,17 @@ from salesfacts.llm.components import components
 MIN_CHARS = 16
 SIMILARITY = 0.8
 SHINGLE = 5
-BOTTOM = 4
+BANDS, ROWS = 12, 4
 STEPS = 2
 LEAF = 512  # lines up to which a band is compared within
 BLOCK = 256  # lines of a larger band that one row holds
 SKETCH, LIKELY = 16, 0.375  # smallest hashes compared first; the share that alike lines are sure to have in common
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+SEEN = 100_000  # hashes of lines that a task remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_RNG = np.random.default_rng(4)
+_MULTIPLY = _RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_FLIP = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -110,17 +118,18 @@ def smallest(lines: list[str], k: int, seed: int = 0) -> np.ndarray:
 
 
 def band_keys(lines: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the line, key) for each pair of a line's smallest hashes; for a line with one shingle only that."""
-    low = smallest(lines, BOTTOM, seed)
-    pairs = [(i, j) for i in range(BOTTOM) for j in range(i + 1, BOTTOM)]
-    keys = np.stack([_mixed(low[:, i] * _MIX + low[:, j]) for i, j in pairs], axis=1)
-    wanted = np.stack([(low[:, j] != 0) | ((i, j) == (0, 1)) for i, j in pairs], axis=1)
-    place, which = np.nonzero(wanted)
-    return place, keys[place, which]
+    """(place of the line, key) for each of a line's ``BANDS`` bands."""
+    owner, h = _windows(lines, seed)
+    begin, tokens = np.searchsorted(owner, np.arange(len(lines))), (h >> np.uint64(32)).astype(np.uint32)
+    keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[:, None], len(lines), axis=1)
+    for i in range(BANDS * ROWS):  # each function permutes the 32-bit tokens
+        least = np.minimum.reduceat((tokens ^ _FLIP[i]) * _MULTIPLY[i], begin) if len(lines) else tokens
+        keys[i // ROWS] = _mixed(keys[i // ROWS] * _MIX + least)
+    return np.tile(np.arange(len(lines)), BANDS), keys.ravel()
 
 
 def _keys(rows: DataFrame, seed: int = 0) -> DataFrame:
-    """(key, h), distinct, of lines (h, line); with a column ``key`` the new keys are parts of it."""
+    """(key, h), distinct, of the bands that lines (h, line) share with others; with a column ``key`` the new keys are parts of it."""
     parts = "key" in rows.columns
 
     def run(batches):
@@ -129,8 +138,8 @@ def _keys(rows: DataFrame, seed: int = 0) -> DataFrame:
             for piece in slices(batch, "line", SLICE_BYTES):
                 h = piece.column("h").to_numpy()
                 old = piece.column("key").to_numpy() if parts else np.zeros(len(h), dtype=np.int64)
-                fresh = [i for i, x in enumerate(zip(old.tolist(), h.tolist())) if x not in seen and not seen.add(x)]
-                if len(seen) > 300_000:
+                fresh = [i for i, x in enumerate(zip(old.tolist(), h.tolist()) if parts else h.tolist()) if x not in seen and not seen.add(x)]
+                if len(seen) > SEEN:
                     seen.clear()  # repeats then go in Spark's distinct
                 if fresh:
                     lines = piece.column("line").take(pa.array(fresh)).to_pylist()
@@ -139,7 +148,9 @@ def _keys(rows: DataFrame, seed: int = 0) -> DataFrame:
                     keys = _mixed(keys ^ old.view(np.uint64)) if parts else keys
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(h)], names=["key", "h"])
 
-    return rows.mapInArrow(run, "key long, h long").distinct()
+    band = Window.partitionBy("key")  # one exchange for both: shared or not, and distinct
+    keys = rows.mapInArrow(run, "key long, h long").select("key", "h", F.min("h").over(band).alias("_lo"), F.max("h").over(band).alias("_hi"))
+    return keys.where("_lo <> _hi").select("key", "h").distinct()
 
 
 def _alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -179,23 +190,37 @@ def _partners(sketches: np.ndarray, comps: np.ndarray, first: int) -> np.ndarray
     return out
 
 
+def _flat(column: pa.Array) -> tuple[pa.StructArray, np.ndarray]:
+    """The members of a column of arrays, one after the other, and how many each row has."""
+    return column.flatten(), pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+
+
+def _places(xn: np.ndarray, yn: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """For each row the places of its lines where all lines ``x`` stand before all ``y``, and how many of them are ``x``."""
+    xe, ye = np.cumsum(xn), np.cumsum(yn) + xn.sum()
+    for a, n, b, m in zip((xe - xn).tolist(), xn.tolist(), (ye - yn).tolist(), yn.tolist()):
+        yield np.concatenate([np.arange(a, a + n), np.arange(b, b + m)]), n
+
+
 def _likely(rows: DataFrame) -> DataFrame:
     """(key, s, side, h, comp): of each row's lines ``x`` (side 0) and ``y`` (side 1), arrays of (h, comp, sk), those with a likely
     partner of another component, among the pairs of ``x`` with itself and with ``y``; a null ``y`` is none."""
     def run(batches):
         for batch in batches:
-            parts = []
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                x, y = (row.column(c).flatten() for c in ("x", "y"))
-                h, comp = (np.concatenate([v.field(c).to_numpy() for v in (x, y)]) for c in ("h", "comp"))
-                sk = np.frombuffer(b"".join(x.field("sk").to_pylist() + y.field("sk").to_pylist()), dtype="<u4").reshape(-1, SKETCH)
-                at = np.flatnonzero(_partners(sk, comp, len(x)))
-                if len(at):
-                    key, s = (np.full(len(at), row.column(c)[0].as_py(), dtype=np.int64) for c in ("key", "s"))
-                    parts.append((key, s, (at >= len(x)).astype(np.int64), h[at], comp[at]))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=["key", "s", "side", "h", "comp"])
+            (x, xn), (y, yn) = (_flat(batch.column(c)) for c in ("x", "y"))
+            h, comp = (np.concatenate([v.field(c).to_numpy() for v in (x, y)]) for c in ("h", "comp"))
+            sk = np.frombuffer(b"".join(x.field("sk").to_pylist() + y.field("sk").to_pylist()), dtype="<u4").reshape(-1, SKETCH)
+            places, counts, sides = [], [], []
+            for own, first in _places(xn, yn):
+                at = _partners(sk[own], comp[own], first).nonzero()[0]
+                places.append(own[at])
+                counts.append(len(at))
+                sides.append(at >= first)
+            if sum(counts):
+                at = np.concatenate(places)
+                named = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("key", "s")]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*named, np.concatenate(sides).astype(np.int64), h[at], comp[at])],
+                                                 names=["key", "s", "side", "h", "comp"])
 
     return rows.select("key", "s", "x", "y").mapInArrow(run, "key long, s long, side long, h long, comp long")
 
@@ -224,19 +249,21 @@ def _compared(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             found: list[tuple[int, int]] = []
-            held, lines, size = [], [], 0
-            for i in range(batch.num_rows + 1):
-                if held and (i == batch.num_rows or size > SLICE_BYTES):
-                    sets = line_sets(lines)
-                    for at, hs, comps, first in held:
-                        found += links_between(hs, comps, sets[at:at + len(hs)], first)
-                    held, lines, size = [], [], 0
-                if i < batch.num_rows:
-                    x, y = batch.column("x")[i].as_py(), batch.column("y")[i].as_py() or []
-                    both = x + y
-                    held.append((len(lines), [r["h"] for r in both], [r["comp"] for r in both], len(x)))
-                    lines += [r["line"] for r in both]
-                    size += sum(len(r["line"]) for r in both)
+            (x, xn), (y, yn) = (_flat(batch.column(c)) for c in ("x", "y"))
+            h, comp = (np.concatenate([v.field(c).to_numpy() for v in (x, y)]) for c in ("h", "comp"))
+            lines = pa.concat_arrays([x.field("line"), y.field("line")])
+            bytes_of = pc.binary_length(lines).to_numpy(zero_copy_only=False)
+            held, size, rest = [], 0, len(xn)
+            for at, first in _places(xn, yn):
+                held.append((at, first))
+                size, rest = size + bytes_of[at].sum(), rest - 1
+                if size > SLICE_BYTES or not rest:
+                    sets = line_sets(lines.take(pa.array(np.concatenate([at for at, _ in held]))).to_pylist())
+                    begin = 0
+                    for at, first in held:
+                        found += links_between(h[at].tolist(), comp[at].tolist(), sets[begin:begin + len(at)], first)
+                        begin += len(at)
+                    held, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     return rows.select("x", "y").mapInArrow(run, "a long, b long")
@@ -245,8 +272,11 @@ def _compared(rows: DataFrame) -> DataFrame:
 def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int) -> tuple[DataFrame | None, DataFrame | None]:
     """The links confirmed in bands (key, h) under the components ``known``, and the bands that are left for the next round."""
     marked = _kept(bands.join(small(known), bands["h"] == known["id"], "left").select("key", "h", F.coalesce("component", "h").alias("comp")))
-    parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    open_ = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("h")).alias("all"))
+    open_ = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"),
+                                     F.bit_xor("all").alias("all")).where("comps > 1")
+    # alike lines share most of their bands: of those that hold the same lines (by a 64-bit hash) one is compared
+    open_ = open_.groupBy("size", "all").agg(F.min(F.struct("key", "top")).alias("o")).select("o.key", "size", "o.top")
     met = _kept(marked.join(open_, "key").select("key", "h", "comp", "size", F.col("top.comp").alias("top"), (F.col("size") - F.col("top.n")).alias("outside")))
     discard(marked)
     kind = F.when(F.col("size") <= LEAF, "few").when(F.col("outside") <= LEAF, "ruled").otherwise("wide")
@@ -281,10 +311,7 @@ def _band_round(bands: DataFrame, known: DataFrame, texts: DataFrame, turn: int)
 def _linked(docs: DataFrame) -> DataFrame:
     """(id, component) of the hashes of lines that are linked with another's."""
     spark = docs.sparkSession
-    keys = _kept(_keys(_lines(docs).select("h", "line")))
-    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    active = _kept(keys.join(shared, "key"))
-    discard(keys)
+    active = _kept(_keys(_lines(docs).select("h", "line")))
     need = _kept(active.select("h").distinct())
     texts = _kept(_sketched(_lines(docs).select("h", "line").join(small(need), "h").groupBy("h").agg(F.min("line").alias("line"))))
     discard(need)

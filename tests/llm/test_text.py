@@ -261,3 +261,25 @@ def test_shuffles_go_after_each_stored_step(spark, monkeypatch):
     assert line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_dropped = 1").count() == 3
     at = [i for i, name in enumerate(seen) if name == "stored"]
     assert len(at) > 5 and all(seen[i + 1] == "release" for i in at)
+
+
+def test_lines_of_common_shingles_share_no_bands(spark):
+    """Prose of a few syllables: unlike lines have many shingles in common, but only copies share bands and bring their texts."""
+    rng = random.Random(21)
+    syllables = [a + b for a in "bdfgklm" for b in "aeiou"]
+    prose = lambda: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(60))
+    lines = [prose() for _ in range(1500)]
+    copies = [line + " end" for line in lines[:20]]
+    rows = spark.createDataFrame(list(enumerate(lines + copies)), "doc_id long, text string")
+    met = line_dedup._keys(line_dedup._lines(rows).select("h", "line"))
+    assert met.select("h").distinct().count() < 100 and met.count() < 1500
+    assert dedup_lines(rows).where("n_dropped = 1 AND doc_id >= 1500").count() == 20
+
+
+def test_bands_of_the_same_lines_are_compared_once(spark, monkeypatch):
+    compared = []
+    likely = line_dedup._likely
+    monkeypatch.setattr(line_dedup, "_likely", lambda rows: compared.append(rows.count()) or likely(rows))
+    lines = [f"this is the line number {i} of a text that has words enough to be told from all of the others" for i in range(2)]
+    assert dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("n_dropped = 1").count() == 1
+    assert compared == [1]

@@ -4,6 +4,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,3 +284,53 @@ def test_bands_of_the_same_lines_are_compared_once(spark, monkeypatch):
     lines = [f"this is the line number {i} of a text that has words enough to be told from all of the others" for i in range(2)]
     assert dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("n_dropped = 1").count() == 1
     assert compared == [1]
+
+
+def test_unlike_lines_of_shared_bands_bring_no_texts(spark, monkeypatch):
+    """Lines of much the same words, but unlike, often share a band with some other; only those whose prints are alike bring their texts."""
+    texts = []
+    sketched = line_dedup._sketched
+    monkeypatch.setattr(line_dedup, "_sketched", lambda rows: texts.append(rows.count()) or sketched(rows))
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    base = [word() for _ in range(40)]
+    lines = [" ".join(w if rng.random() < 0.55 else word() for w in base) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(lines + [line + " end" for line in lines[:20]])), "doc_id long, text string")
+    assert line_dedup._keys(line_dedup._lines(rows).select("h", "line")).select("h").distinct().count() > 200
+    assert dedup_lines(rows).where("n_dropped = 1 AND doc_id >= 400").count() == 20
+    assert texts and texts[0] < 100
+
+
+def test_sets_of_bands_equal_plain_comparisons(monkeypatch):
+    rng = np.random.default_rng(23)
+    sizes = np.array([2, 2, 3, 9, 40, 70])
+    h = np.arange(sizes.sum(), dtype=np.uint64)
+    base = rng.integers(0, 1 << 63, (2, 6), dtype=np.uint64)[:, rng.integers(0, 6, len(h))]
+    marks = base ^ (rng.integers(0, 1 << 63, (2, len(h)), dtype=np.uint64) & rng.integers(0, 1 << 63, (2, len(h)), dtype=np.uint64) & np.uint64(0x1111111111111111))
+    ends = np.cumsum(sizes)
+    alike = lambda a, b: sum((int(x) ^ int(y)) >> 2 * i & 3 > 0 for x, y in zip(marks[:, a], marks[:, b]) for i in range(32)) <= line_dedup.UNLIKE
+    for pairs, within in ((1 << 21, 4096), (5, 4096), (1 << 21, 50)):
+        monkeypatch.setattr(line_dedup, "PAIRS", pairs)
+        monkeypatch.setattr(line_dedup, "WITHIN", within)
+        want = set()
+        for lo, hi in zip(ends - sizes, ends):
+            parts = [{i} for i in range(lo, hi)] if hi - lo <= within else [set(range(lo, hi))]
+            for a in range(lo, hi):
+                for b in range(lo, a):
+                    x, y = (next(p for p in parts if k in p) for k in (a, b))
+                    if x is not y and alike(a, b):
+                        parts = [p for p in parts if p is not x and p is not y] + [x | y]
+            want |= {frozenset(map(int, p)) for p in parts if len(p) > 1}
+        got = {}
+        for name, line in zip(*line_dedup.groups(h, marks, sizes)):
+            got.setdefault(int(name), set()).add(int(line))
+        assert {frozenset(p) for p in got.values()} == want and 5 < len(want) < 60
+
+
+def test_buckets_beyond_most_keep_all_bands(spark, monkeypatch):
+    lines = [f"this is the line number {i // 2} {'of a text that has words enough to be told from all of the others ' * 2}{'x' * (i % 2)}" for i in range(40)]
+    rows = line_dedup._lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).select("h", "line")
+    sets = lambda df: {frozenset(r["x"]) for r in df.groupBy("key").agg(F.collect_set("h").alias("x")).collect() if len(r["x"]) > 1}
+    bands = sets(line_dedup._keys(rows))
+    monkeypatch.setattr(line_dedup, "MOST", 1)
+    assert len(bands) > 1 and sets(line_dedup._shared(rows)) == bands
